@@ -103,6 +103,19 @@ def pack_requests(
     return pack_next_fit(blocks, ["shard"], list(order), "n", max_points, rows_per_cell)
 
 
+def assign_requests(
+    series: DataFrame, max_points: int = MAX_POINTS, rows_per_cell: int = ROWS_PER_CELL
+) -> DataFrame:
+    """Give every series its request (C4). ``series`` carries shard.
+
+    Only keys and sizes go through the packing; the series are joined back on the key they are
+    already partitioned by, so their arrays are not shuffled again.
+    """
+    key = [*CHANNEL_KEY, "batch"]
+    blocks = pack_requests(series.select("shard", *key, "last_seq", "n"), max_points, rows_per_cell)
+    return series.join(blocks.select(*key, "request_id"), key)
+
+
 def build_requests(series: DataFrame) -> DataFrame:
     """One row per request with all its series (C5). ``series`` carries shard and request_id.
 

@@ -22,11 +22,24 @@ KINDS = {
     "uint64": ("v_u64", U64, "u64s", 2),
 }
 
-POINTS_DDL = (
-    "channel string, tags map<string,string>, tags_key string, ts_ns bigint, seq bigint, kind string, "
-    + ", ".join(f"{col} {ddl}" for col, ddl, _, _ in KINDS.values())
+_DOUBLES = T.ArrayType(T.DoubleType())
+_STRINGS = T.ArrayType(T.StringType())
+_VALUE_TYPES = {
+    "double": T.DoubleType(), "string": T.StringType(), "bigint": T.LongType(),
+    "array<double>": _DOUBLES, "array<string>": _STRINGS, U64: T.DecimalType(20, 0),
+}
+
+POINTS = T.StructType(
+    [
+        T.StructField("channel", T.StringType()),
+        T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("tags_key", T.StringType()),
+        T.StructField("ts_ns", T.LongType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("kind", T.StringType()),
+        *[T.StructField(col, _VALUE_TYPES[ddl]) for col, ddl, _, _ in KINDS.values()],
+    ]
 )
-POINTS = T.StructType.fromDDL(POINTS_DDL)
 
 UNION_DDL = (
     "struct<tag:int,d:double,s:string,l:bigint,da:array<double>,sa:array<string>,json:string>"
