@@ -193,3 +193,19 @@ ORACLES = {
       row_number() over (partition by channel order by request_id desc, last_seq desc) as k from ({REQUESTS}))
       where k = 1""",
 }
+
+_EV_BLOCKS_50 = f"""select 0 as shard, channel, tags_key, batch, count(*) as n, max(seq) as last_seq from (
+  select *, (row_number() over (partition by channel, tags_key order by seq) - 1) // 50 as batch from ({EV}))
+  group by channel, tags_key, batch"""
+
+DELIVERY_ORACLES = {
+    "stream_equals_batch": f"select channel, 'double' as kind, count(*) as n from ({EV}) group by 1",
+    "batch_stream": ORACLES["batch_by_delay"],
+    "fallback_route": f"""select case when channel = 'ev.click' then 'fallback' else 'primary' end as sink, channel,
+      count(distinct request_id) as requests, sum(n)::bigint as n from ({REQUESTS}) group by 1, 2""",
+    "dual_write": f"""select s.sink, channel, n from (select channel, count(*) as n from ({EV}) group by 1),
+      (values ('table'), ('files')) s(sink)""",
+    "spool_ingest": f"select channel, count(*) as n from ({_all()}) group by 1",
+    "delivery_stats": f"""select 0::bigint as batch, count(distinct request_id) as requests, sum(n)::bigint as points
+      from ({_next_fit(_EV_BLOCKS_50, "last_seq, channel, tags_key, batch", 50)})""",
+}

@@ -18,6 +18,7 @@ def local_session(app: str = "seriesloom", cpus: int | str = "*", **conf: str) -
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         "spark.sql.python.filterPushdown.enabled": "true",
         **conf,
