@@ -75,7 +75,10 @@ def block_point_count(timestamps: Column) -> Column:
 
 def unpack_series(series: DataFrame, kinds: tuple[str, ...] = tuple(KINDS)) -> DataFrame:
     """Series back to points; ``seq`` is the position in the series after ``first_seq``."""
-    arrays = [F.col(KINDS[k][2]) for k in kinds]
+    arrays = [  # the arrays of the other kinds are null, which would make the whole zip null
+        F.coalesce(column, F.array().cast(f"array<{ddl}>")).alias(column)
+        for k, (_, ddl, column, _) in KINDS.items() if k in kinds
+    ]
     flat = series.select(
         "channel", "tags", "tags_key", "kind", "batch",
         F.posexplode(F.arrays_zip(F.col("timestamps"), *arrays)).alias("pos", "p"),
