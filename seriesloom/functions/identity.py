@@ -45,9 +45,11 @@ def tag_map(tags: Column | Mapping[str, Column] | None, entries: bool = False) -
         return F.create_map(*pairs) if pairs else _no_tags()
     if not entries:
         return F.coalesce(F.map_from_entries(F.array_sort(F.map_entries(tags))), _no_tags())
+    keys = F.transform(tags, lambda e: e["key"])
     rest = lambda i: F.slice(tags, i + F.lit(2), F.size(tags))
     last = F.filter(tags, lambda e, i: ~F.exists(rest(i), lambda later: later["key"] == e["key"]))
-    return F.coalesce(F.map_from_entries(F.array_sort(last)), _no_tags())
+    single = F.when(F.size(F.array_distinct(keys)) == F.size(tags), tags).otherwise(last)
+    return F.coalesce(F.map_from_entries(F.array_sort(single)), _no_tags())
 
 
 def tags_key(tags: Column | Mapping[str, Column] | None) -> Column:
@@ -56,22 +58,18 @@ def tags_key(tags: Column | Mapping[str, Column] | None) -> Column:
     With a dict of columns the order is known when the plan is built, so the key is a plain
     concatenation inside generated code. A null tag value is refused.
     """
-    if tags is None:
+    if not isinstance(tags, Column) and not tags:
         return F.lit("")
+    null = F.raise_error(F.lit("tag values must be strings, got null"))
     if isinstance(tags, Mapping):
         parts = [
             F.concat(_escape(F.lit(k)), F.lit("="), _escape(tags[k].cast("string"))) for k in sorted(tags)
         ]
-        key = F.concat(*[x for p in parts for x in (F.lit(";"), p)][1:]) if parts else F.lit("")
-    else:
-        pairs = F.transform(
-            F.array_sort(F.map_entries(tags)),
-            lambda e: F.concat(_escape(e["key"]), F.lit("="), _escape(e["value"])),
-        )
-        key = F.when(tags.isNull(), "").when(
-            ~F.exists(F.map_values(tags), lambda v: v.isNull()), F.array_join(pairs, ";")
-        )
-    return F.coalesce(key, F.raise_error(F.lit("tag values must be strings, got null")))
+        return F.coalesce(F.concat(*[x for p in parts for x in (F.lit(";"), p)][1:]), null)
+    pair = lambda e: F.concat(
+        _escape(e["key"]), F.lit("="), F.coalesce(_escape(e["value"]), null)
+    )
+    return F.coalesce(F.array_join(F.transform(F.array_sort(F.map_entries(tags)), pair), ";"), F.lit(""))
 
 
 def tags_from_key(key: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 NS = 1_000_000_000
 
-_ISO = r"^\s*(.+?)(?:\.(\d+))?\s*(Z|z|UTC|[+-]\d{2}:?\d{2})?\s*$"
+_BELOW_MICROS = r"\.\d{6}(\d{1,3})"  # the cast itself keeps six fraction digits
 
 
 def _div(a: Column, b: int) -> Column:
@@ -61,11 +61,8 @@ def ts_from_iso(text: Column) -> Column:
 
     Text without an offset is local to the session, as a naive clock reading is local to its host.
     """
-    part = lambda i: F.regexp_extract(text, _ISO, i)
-    zone = F.when(F.upper(part(3)).isin("Z", "UTC"), "+00:00").otherwise(part(3))
-    seconds = F.unix_seconds(F.concat(part(1), zone).cast("timestamp"))
-    nanos = F.rpad(F.substring(part(2), 1, 9), 9, "0").cast("bigint")
-    return seconds * F.lit(NS) + nanos
+    below_micros = F.rpad(F.regexp_extract(text, _BELOW_MICROS, 1), 3, "0").cast("bigint")
+    return F.unix_micros(text.cast("timestamp")) * F.lit(1000) + below_micros
 
 
 def to_ts_ns(ts: Column, dtype: T.DataType) -> Column:
