@@ -80,3 +80,10 @@ def u64_wrap(value: Column) -> Column:
     top = F.lit(str(2**63)).cast("decimal(38,0)")
     turn = F.lit(str(2**64)).cast("decimal(38,0)")
     return F.when(wide >= top, wide - turn).otherwise(wide).cast("bigint")
+
+
+def u64_unwrap(value: Column) -> Column:
+    """The unsigned number behind its two's-complement reading."""
+    wide = value.cast("decimal(38,0)")
+    turn = F.lit(str(2**64)).cast("decimal(38,0)")
+    return F.when(value < 0, wide + turn).otherwise(wide).cast(U64)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions.identity import tags_from_key
+from seriesloom.functions.values import u64_unwrap, u64_wrap
 from seriesloom.operators.segments import pack_next_fit
 from seriesloom.operators.spread import ROWS_PER_CELL, rank_in_key
 from seriesloom.schema import CHANNEL_KEY, KINDS
@@ -24,37 +25,58 @@ def batch_by_count(
     return ranked.withColumn("batch", batch).drop("_rank")
 
 
+# Slots that the values of a batch are collected in: text and JSON share one, as do both
+# integer kinds (an unsigned number travels as its two's complement).
+_SLOTS = {
+    "double": ("d", "double"), "string": ("s", "string"), "struct": ("s", "string"), "int": ("l", "bigint"),
+    "uint64": ("l", "bigint"), "double_array": ("da", "array<double>"), "string_array": ("sa", "array<string>"),
+}
+
+
+def _slots(kinds: tuple[str, ...]) -> list[Column]:
+    filled: dict[str, list[Column]] = {}
+    for kind in kinds:
+        value = F.col(KINDS[kind][0])
+        filled.setdefault(_SLOTS[kind][0], []).append(u64_wrap(value) if kind == "uint64" else value)
+    return [F.coalesce(*values).alias(slot) for slot, values in filled.items()]
+
+
+def _typed_array(kind: str) -> Column:
+    values = F.col("_points")[_SLOTS[kind][0]]
+    if kind == "uint64":
+        values = F.transform(values, u64_unwrap)
+    return F.when(F.col("kind") == kind, values)
+
+
 def pack_batches(batched: DataFrame, kinds: tuple[str, ...] = tuple(KINDS), on_conflict: str = "fail") -> DataFrame:
     """One series per channel and batch, points in arrival order.
 
     The input must carry ``batch``, so that an array never holds more than one batch. Values
     sit in one typed array per kind. Two kinds in one batch are refused (C6) unless
     ``on_conflict`` is ``split``, which makes one series per kind. ``kinds`` may name the kinds
-    that occur, to spare the unused arrays.
+    that occur, to spare the unused slots; other kinds are refused then.
     """
+    names = list(kinds)
     keys = [*CHANNEL_KEY, "batch", *(["kind"] if on_conflict == "split" else [])]
-    lists = [
-        F.collect_list(F.when(F.col("kind") == k, F.struct("seq", "ts_ns", F.col(KINDS[k][0]).alias("v")))).alias(k)
-        for k in kinds
-    ]
-    whole = [F.min("kind").alias("kind"), F.max("kind").alias("_kind")] if on_conflict == "fail" else []
-    packed = batched.groupBy(*keys).agg(
-        *whole, *lists, F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"),
-        F.count(F.lit(1)).alias("n"),
+    bit = F.coalesce(*[F.when(F.col("kind") == k, 1 << i) for i, k in enumerate(names)], F.lit(1 << len(names)))
+    collected = batched.groupBy(*keys).agg(
+        F.bit_or(bit).alias("_kinds"),  # the kinds seen, as a set of bits
+        F.collect_list(F.struct("seq", "ts_ns", *_slots(kinds))).alias("_points"),
     )
-    if on_conflict == "fail":
-        packed = packed.where(
-            F.when(F.col("kind") == F.col("_kind"), F.lit(True)).otherwise(F.raise_error(F.lit(_MISMATCH)))
-        )
-    sorted_ = packed.select(*keys, *(["kind"] if whole else []), "first_seq", "last_seq", "n",
-                            *[F.sort_array(k).alias(k) for k in kinds])
-    stamps = F.coalesce(*[F.when(F.col("kind") == k, F.col(k)["ts_ns"]) for k in kinds])
-    return sorted_.select(
+    one_kind = F.coalesce(
+        *[F.when(F.col("_kinds") == 1 << i, F.lit(k)) for i, k in enumerate(names)], F.raise_error(F.lit(_MISMATCH))
+    )
+    packed = collected.select(
+        *CHANNEL_KEY, "batch", one_kind.alias("kind"), F.sort_array("_points").alias("_points")
+    )
+    return packed.select(
         "channel", tags_from_key(F.col("tags_key")).alias("tags"), "tags_key", "batch", "kind",
-        "first_seq", "last_seq", F.col("n").alias("n"), stamps.alias("timestamps"),
+        F.element_at("_points", 1)["seq"].alias("first_seq"),
+        F.element_at("_points", -1)["seq"].alias("last_seq"),
+        F.size("_points").cast("bigint").alias("n"),
+        F.col("_points")["ts_ns"].alias("timestamps"),
         *[
-            (F.when(F.col("kind") == k, F.col(k)["v"]) if k in kinds else F.lit(None))
-            .cast(f"array<{ddl}>").alias(column)
+            (_typed_array(k) if k in kinds else F.lit(None)).cast(f"array<{ddl}>").alias(column)
             for k, (_, ddl, column, _) in KINDS.items()
         ],
     )

@@ -78,20 +78,21 @@ def rank_in_key(
     running sum over one row per cell of hot keys only; without hot keys this is a plain window.
     """
     cells, any_hot = split_hot_keys(df, keys, order, rows_per_cell, fineness)
-    inside = F.row_number().over(W.partitionBy(*keys, "_cell").orderBy(order, *ties)) - 1
     if not any_hot:
         inside = F.row_number().over(W.partitionBy(*keys).orderBy(order, *ties)) - 1
         return df.withColumn(name, inside.cast("bigint"))
+    place = ["_cell", *keys]  # the cell first: it tells the rows of a hot key apart when sorting
+    inside = F.row_number().over(W.partitionBy(*place).orderBy(order, *ties)) - 1
     earlier = W.partitionBy(*keys).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
     before = (
         cells.where(F.col("_cell").isNotNull())
-        .groupBy(*keys, "_cell")
+        .groupBy(*place)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, "_cell", F.sum("_n").over(earlier).alias("_before"))
+        .select(*place, F.sum("_n").over(earlier).alias("_before"))
     )
     return (
         cells.withColumn("_inside", inside)
-        .join(before, [*keys, "_cell"], "left")
+        .join(before, place, "left")
         .withColumn(name, (F.col("_inside") + F.coalesce("_before", F.lit(0))).cast("bigint"))
         .drop("_cell", "_inside", "_before")
     )
