@@ -128,17 +128,26 @@ def pack_requests(
     return pack_next_fit(blocks, ["shard"], list(order), "n", max_points, rows_per_cell)
 
 
+BLOCK_KEY = [*CHANNEL_KEY, "batch"]
+
+
+def request_blocks(
+    series: DataFrame, max_points: int = MAX_POINTS, rows_per_cell: int = ROWS_PER_CELL
+) -> DataFrame:
+    """The request of every series, by key (C4). Only keys and sizes go through the packing."""
+    blocks = pack_requests(series.select("shard", *BLOCK_KEY, "last_seq", "n"), max_points, rows_per_cell)
+    return blocks.select(*BLOCK_KEY, "request_id")
+
+
 def assign_requests(
     series: DataFrame, max_points: int = MAX_POINTS, rows_per_cell: int = ROWS_PER_CELL
 ) -> DataFrame:
-    """Give every series its request (C4). ``series`` carries shard.
+    """Give every series its request. ``series`` carries shard.
 
-    Only keys and sizes go through the packing; the series are joined back on the key they are
-    already partitioned by, so their arrays are not shuffled again.
+    The series are joined back on the key they are already partitioned by, so their arrays are
+    not shuffled again.
     """
-    key = [*CHANNEL_KEY, "batch"]
-    blocks = pack_requests(series.select("shard", *key, "last_seq", "n"), max_points, rows_per_cell)
-    return series.join(blocks.select(*key, "request_id"), key)
+    return series.join(request_blocks(series, max_points, rows_per_cell), BLOCK_KEY)
 
 
 def build_requests(series: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -37,6 +38,7 @@ FORMAT = "series_avro"
 DATASET_KEY = "dataset_rid"
 STAGING = "_staging"
 _BLOCK_BYTES = 1 << 20
+_PARALLEL_MOVES = 32  # file renames under way at once on commit
 _BATCH_POINTS = 250_000
 _ARRAYS = {
     "double": "doubles", "string": "strings", "int": "longs",
@@ -225,11 +227,10 @@ class SeriesWriter(DataSourceArrowWriter):
         staging = self._staging(plain)
         fs.create_dir(plain, recursive=True)
         old = [f.path for f in list_files(self.path)] if self.overwrite else []
-        for message in messages:
-            if message is not None and message.name:
-                fs.move(f"{staging}/{message.name}", f"{plain}/{message.name}")
-        for path in old:
-            fs.delete_file(path)
+        names = [m.name for m in messages if m is not None and m.name]
+        with ThreadPoolExecutor(_PARALLEL_MOVES) as pool:
+            list(pool.map(lambda name: fs.move(f"{staging}/{name}", f"{plain}/{name}"), names))
+            list(pool.map(fs.delete_file, old))
         self._drop_staging(fs, staging)
 
     def abort(self, messages):

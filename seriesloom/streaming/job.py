@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
-from seriesloom.operators.packing import assign_requests, pack_series, with_shard
+from seriesloom.operators.packing import BLOCK_KEY, pack_series, request_blocks, with_shard
 from seriesloom.schema import check_points
 from seriesloom.streaming.sinks import DualSink, FallbackSink, FileSink, ListeningSink, SendSink, Sink
 
@@ -129,17 +129,17 @@ class IngestJob:
             points = batch.persist()  # read by the hot-key pass and by the packing
             packed = pack_series(points, options.max_points_per_record)
             packed = with_shard(packed, options.request_dispatcher_tasks).persist()
-            series = assign_requests(packed, options.max_points_per_record)
+            requests = request_blocks(packed, options.max_points_per_record).persist()
             try:
                 if not packed.isEmpty():  # an empty buffer sends nothing (C9)
-                    target.write(series, batch_id)
+                    target.write(packed.join(requests, BLOCK_KEY), batch_id)
             except Exception as e:  # noqa: BLE001 - the policy decides
                 if self.on_failure != "drop":
                     raise
                 log.error("batch %s is dropped: %s", batch_id, e)
             finally:
-                packed.unpersist()
-                points.unpersist()
+                for cached in (requests, packed, points):
+                    cached.unpersist()
 
         return deliver
 

@@ -88,7 +88,10 @@ class SpoolIngest:
         checks = f"{self.errors_path}/batch_id={batch_id}"
         if not self.table.holds(spark, batch_id):
             paths.mapInArrow(_check, "path string, ok boolean, error string").write.mode("overwrite").parquet(checks)
-            good = spark.read.parquet(checks).where("ok").select("path").repartition("path")
+            good = spark.read.parquet(checks).where("ok").select("path")
+            # One file per task. The number is given because paths are tiny: left to itself,
+            # adaptive execution would put them all into one partition.
+            good = good.repartition(max(1, good.count()))
             schema = to_arrow_schema(spark.createDataFrame([], READ_DDL).schema)
             series = good.mapInArrow(_decoder(schema), READ_DDL)
             self.table.write(series.withColumn("n", F.size("timestamps").cast("bigint")), batch_id)
