@@ -150,6 +150,21 @@ def assign_requests(
     return series.join(request_blocks(series, max_points, rows_per_cell), BLOCK_KEY)
 
 
+def requests_from_points(
+    points: DataFrame, shard: Column, max_points: int = MAX_POINTS, capacity: int = MAX_POINTS,
+    kinds: tuple[str, ...] = tuple(KINDS), rows_per_cell: int = ROWS_PER_CELL,
+) -> DataFrame:
+    """Points to series that carry shard and request_id (C2, C1 and C4 in one).
+
+    Block sizes are counted from the points, so that deciding the requests never builds arrays.
+    ``shard`` is an expression over channel and tags_key.
+    """
+    batched = batch_by_count(points, max_points, rows_per_cell)
+    blocks = batched.groupBy(*BLOCK_KEY).agg(F.max("seq").alias("last_seq"), F.count(F.lit(1)).alias("n"))
+    requests = pack_requests(blocks.withColumn("shard", shard), capacity, rows_per_cell)
+    return pack_batches(batched, kinds).join(requests.select("shard", *BLOCK_KEY, "request_id"), BLOCK_KEY)
+
+
 def build_requests(series: DataFrame) -> DataFrame:
     """One row per request with all its series (C5). ``series`` carries shard and request_id.
 

@@ -274,8 +274,7 @@ def pack_requests_next_fit(spark, sf):
 
 
 def _request_series(spark, sf):
-    series = packing.pack_series(t.ev(spark, sf), BATCH, kinds=("double",))
-    return packing.assign_requests(series.withColumn("shard", F.col("channel")), CAPACITY)
+    return packing.requests_from_points(t.ev(spark, sf), F.col("channel"), BATCH, CAPACITY, kinds=("double",))
 
 
 def build_requests(spark, sf):

@@ -54,8 +54,7 @@ def batch_stream_q(spark, sf):
 
 def _requests(spark, sf):
     """Event series in requests, one request sequence per channel."""
-    series = packing.pack_series(t.ev(spark, sf), BATCH, kinds=("double",))
-    return packing.assign_requests(series.withColumn("shard", F.col("channel")), CAPACITY)
+    return packing.requests_from_points(t.ev(spark, sf), F.col("channel"), BATCH, CAPACITY, kinds=("double",))
 
 
 def _refuse_clicks(payload: bytes, meta: dict) -> None:
