@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 
 from seriesloom.operators.spread import ROWS_PER_CELL, split_hot_keys
 
-_FINENESS = 8
+_FINENESS = 4
+_SEGMENTS_PER_CELL = 64
 
 
 def _first_above(values: np.ndarray, limit: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -64,14 +65,30 @@ class DelayRule:
     def leave(self, rows, cut, state):
         return (int(rows[cut]), len(rows) - 1 - cut) if cut >= 0 else (state[0], state[1] + len(rows))
 
-    def last_entry(self, rows):
-        return self.enter(rows, (int(rows[0]), 0))[0]
+    def enter_all(self, rows, x, y):
+        by_time = np.searchsorted(rows, x + self.delay, side="right")
+        return np.minimum(by_time, self.max_points - y - 1), np.zeros_like(y)
 
-    def guard(self, rows, at):
-        return int(rows[at - 1]) if at else -(2**63)
+    def leave_all(self, rows, cuts):
+        return rows[cuts], len(rows) - 1 - cuts
+
+    def pass_all(self, rows, x, y):
+        return x, y + len(rows)
+
+    def guards(self, rows, seen):
+        """For each entry the last arrival before it: no earlier row may have closed the batch."""
+        before = seen.last if seen.count else -(2**63)
+        return np.concatenate(([before], rows[:-1]))
+
+    def possible(self, seen, at, guards):
+        return (at < self.max_points) & (guards <= seen.first + self.delay)
 
     def reaches(self, state, at, guard):
-        return guard <= state[0] + self.delay and at <= self.max_points - state[1] - 1
+        return (guard <= state[0] + self.delay) & (at <= self.max_points - state[1] - 1)
+
+    @property
+    def max_entries(self):
+        return self.max_points
 
 
 @dataclass(frozen=True)
@@ -106,14 +123,30 @@ class FitRule:
     def leave(self, rows, cut, state):
         return 0, int(rows[cut:].sum()) if cut >= 0 else state[1] + int(rows.sum())
 
-    def last_entry(self, rows):
-        return int(np.searchsorted(self._until(rows)[1:], self.capacity, side="right"))
+    def enter_all(self, rows, x, y):
+        fits = np.searchsorted(self._until(rows)[1:], self.capacity - y, side="right")
+        return np.where(y == 0, 0, fits), (y == 0).astype(np.int64)
+
+    def leave_all(self, rows, cuts):
+        total = self._until(rows)
+        return np.zeros_like(cuts), total[-1] - total[cuts]
+
+    def pass_all(self, rows, x, y):
+        return x, y + rows.sum()
 
-    def guard(self, rows, at):
-        return int(rows[:at].sum())
+    def guards(self, rows, seen):
+        """For each entry the points before it in the cell: they must fit into the open request."""
+        return seen.total + self._until(rows)[:-1]
+
+    def possible(self, seen, at, guards):
+        return (at == 0) | (guards < self.capacity)
 
     def reaches(self, state, at, guard):
-        return at == 0 or (state[1] > 0 and state[1] + guard <= self.capacity)
+        return (at == 0) | ((state[1] > 0) & (state[1] + guard <= self.capacity))
+
+    @property
+    def max_entries(self):
+        return self.capacity
 
 
 Rule = DelayRule | FitRule
@@ -132,27 +165,65 @@ def walk(rule: Rule, rows: np.ndarray, jump: list[int], base: int, state, first:
     return numbers[:-1], rule.leave(rows, last, state), int(numbers[-1])
 
 
-def summarise(rule: Rule, rows: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-    """Ranges of entry cuts that end alike: (first entry, guard, end state, cuts made)."""
-    n = len(rows)
-    jump = rule.jumps(rows, np.full(n, n))
-    last = np.where(jump < n, jump, np.arange(n))
-    hops = (jump < n).astype(np.int64)
-    while True:  # pointer doubling: follow all entries to their last cut at once
-        further = last[last]
-        if np.array_equal(further, last):
-            break
-        hops, last = hops + hops[last], further
-    entries = np.arange(min(rule.last_entry(rows), n - 1) + 1)
-    ends = np.stack([last[entries], hops[entries]])
-    starts = entries[np.concatenate(([True], (ends[:, 1:] != ends[:, :-1]).any(axis=0)))]
-    out = [(int(i), rule.guard(rows, i), *rule.leave(rows, last[i], (0, 0)), int(hops[i]) + 1) for i in starts]
-    return [*out, (n, rule.guard(rows, n), 0, 0, 0)]  # the last one: no cut in this cell at all
-
-
-def step(rule: Rule, cell: list[tuple[int, int, int, int, int]], state):
+Summary = np.ndarray  # rows of (first entry, guard, end state x, end state y, cuts made)
+
+
+class Summariser:
+    """What each entry cut leads to at the end of a cell, worked out as the rows stream by.
+
+    All open possibilities are advanced through a batch at once, and neighbouring ones that
+    have come to the same state are merged, so memory follows the number of possible entries
+    (at most one segment's length) and not the size of the cell.
+    """
+
+    def __init__(self, rule: Rule):
+        self.rule = rule
+        self.open = np.empty((0, 5), dtype=np.int64)
+        self.count = self.total = 0
+        self.first = self.last = None
+
+    def feed(self, rows: np.ndarray) -> None:
+        rule, n = self.rule, len(rows)
+        self.first = int(rows[0]) if self.first is None else self.first
+        jump = rule.jumps(rows, np.full(n, n))
+        end = np.where(jump < n, jump, np.arange(n))
+        hops = (jump < n).astype(np.int64)
+        while True:  # pointer doubling: the last cut that each cut of this batch leads to
+            further = end[end]
+            if np.array_equal(further, end):
+                break
+            hops, end = hops + hops[end], further
+
+        at, guard, x, y, cuts = self.open.T
+        cut, free = rule.enter_all(rows, x, y)
+        hit = cut < n
+        passed_x, passed_y = rule.pass_all(rows, x, y)
+        reached = np.where(hit, cut, 0)
+        left_x, left_y = rule.leave_all(rows, end[reached])
+        advanced = np.stack([
+            at, guard, np.where(hit, left_x, passed_x), np.where(hit, left_y, passed_y),
+            cuts + np.where(hit, hops[reached] + 1 - free, 0),
+        ], axis=1)
+
+        entries, guards = self.count + np.arange(n), rule.guards(rows, self)
+        new = np.flatnonzero(rule.possible(self, entries, guards))
+        new_x, new_y = rule.leave_all(rows, end[new])
+        added = np.stack([entries[new], guards[new], new_x, new_y, hops[new] + 1], axis=1)
+
+        both = np.concatenate([advanced, added])
+        differs = (both[1:, 2:] != both[:-1, 2:]).any(axis=1)
+        self.open = both[np.concatenate(([True], differs))]
+        self.count, self.total, self.last = self.count + n, self.total + int(rows.sum()), int(rows[-1])
+
+    def result(self) -> Summary:
+        none = self.count, (self.last if self.rule.closes else self.total), 0, 0, 0  # no cut in this cell
+        return np.concatenate([self.open, np.array([none], dtype=np.int64)])
+
+
+def step(rule: Rule, cell: Summary, state):
     """State after a summarised cell, and the number of cuts counted in it."""
-    at, guard, x, y, cuts = [part for part in cell if rule.reaches(state, part[0], part[1])][-1]
+    reached = np.flatnonzero(rule.reaches(state, cell[:, 0], cell[:, 1]))[-1]
+    at, guard, x, y, cuts = cell[reached].tolist()
     if cuts == 0:
         return ((state[0], state[1] + at) if rule.closes else (0, state[1] + guard)), 0
     return (x, y), cuts - (1 if not rule.closes and state[1] == 0 else 0)
@@ -202,46 +273,82 @@ def _numbering(rule: Rule, keys: list[str], weight: str, name: str, schema: pa.S
     return number
 
 
+_SUMMARY = ("_at", "_guard", "_x", "_y", "_cuts")
+
+
+def _in_order(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """All rows of a key in one partition, sorted.
+
+    Hashing the key again keeps this exchange: one by the key itself is dropped when a join below
+    already has that partitioning, and is lost when that join is turned into a broadcast at run time.
+    """
+    return df.repartition(F.xxhash64(*keys)).sortWithinPartitions(*keys, *order)
+
+
 def _cell_states(hot: DataFrame, rule: Rule, keys: list[str], order: list[str], weight: str) -> DataFrame:
-    """State and segment number that each cell of a hot key starts from."""
+    """State and segment number that each cell of a hot key starts from.
+
+    Cells are summarised in parallel. The summaries of a key then stream, cell after cell,
+    through one task that keeps nothing but the state.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     def longs(*names: str) -> T.StructType:
         return T.StructType([*[hot.schema[k] for k in keys], *[T.StructField(c, T.LongType()) for c in names]])
 
-    summary_type = longs("_cell", "_at", "_guard", "_x", "_y", "_cuts", "_start")
-    state_type = longs("_cell", "_x", "_y", "_first")
+    summary_type, state_type = longs("_cell", *_SUMMARY, "_start"), longs("_cell", "_x", "_y", "_first")
     summary_arrow, state_arrow = to_arrow_schema(summary_type), to_arrow_schema(state_type)
 
-    def cell_summary(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([(c, "ascending") for c in order])
-        values = rows[weight].to_numpy().astype(np.int64)
-        parts = summarise(rule, values)
-        columns = {c: rows[c].slice(0, 1).to_pylist() * len(parts) for c in [*keys, "_cell"]}
-        for i, c in enumerate(("_at", "_guard", "_x", "_y", "_cuts")):
-            columns[c] = [p[i] for p in parts]
-        columns["_start"] = [rule.start(values)[0]] * len(parts)
-        return pa.table([columns[f.name] for f in summary_arrow], schema=summary_arrow)
-
-    def follow(parts: pa.Table) -> pa.Table:
-        parts = parts.sort_by([("_cell", "ascending"), ("_at", "ascending")])
-        cells: dict[int, list] = {}
-        for cell, *part in zip(*[parts[c].to_pylist() for c in ("_cell", "_at", "_guard", "_x", "_y", "_cuts")]):
-            cells.setdefault(cell, []).append(tuple(part))
-        state, first = (parts["_start"][0].as_py(), 0), 0
-        found = []
-        for cell, summary in cells.items():
-            found.append((cell, *state, first))
-            state, cuts = step(rule, summary, state)
-            first += cuts
-        columns = {k: parts[k].slice(0, 1).to_pylist() * len(found) for k in keys}
-        for i, c in enumerate(("_cell", "_x", "_y", "_first")):
-            columns[c] = [f[i] for f in found]
-        return pa.table([columns[f.name] for f in state_arrow], schema=state_arrow)
-
-    return hot.groupBy(*keys, "_cell").applyInArrow(cell_summary, summary_type).groupBy(*keys).applyInArrow(
-        follow, state_type
-    )
+    def cell_rows(cell: tuple, summary: Summariser) -> pa.RecordBatch:
+        parts = summary.result()
+        columns = dict(zip([*keys, "_cell"], [[v] * len(parts) for v in cell]))
+        columns |= {c: parts[:, i] for i, c in enumerate(_SUMMARY)}
+        columns["_start"] = np.full(len(parts), rule.start([summary.first])[0])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[f.name], f.type) for f in summary_arrow], schema=summary_arrow
+        )
+
+    def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_cell = summary = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            values = batch.column(weight).to_numpy(zero_copy_only=False).astype(np.int64)
+            starts = _run_starts(batch, [*keys, "_cell"]).tolist()
+            for lo, hi in zip(starts, [*starts[1:], batch.num_rows]):
+                cell = tuple(batch.column(c)[lo].as_py() for c in [*keys, "_cell"])
+                if cell != open_cell:
+                    if summary:
+                        yield cell_rows(open_cell, summary)
+                    open_cell, summary = cell, Summariser(rule)
+                summary.feed(values[lo:hi])
+        if summary:
+            yield cell_rows(open_cell, summary)
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_cell, parts, open_key, state, first = None, [], None, None, 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            found = []
+            numbers = np.stack([batch.column(c).to_numpy() for c in _SUMMARY], axis=1)
+            starts = _run_starts(batch, [*keys, "_cell"]).tolist()
+            for lo, hi in zip(starts, [*starts[1:], batch.num_rows]):
+                cell = tuple(batch.column(c)[lo].as_py() for c in [*keys, "_cell"])
+                if cell != open_cell:
+                    if parts:
+                        state, cuts = step(rule, np.concatenate(parts), state)
+                        first += cuts
+                    if cell[:-1] != open_key:
+                        open_key, state, first = cell[:-1], (batch.column("_start")[lo].as_py(), 0), 0
+                    found.append((*cell, *state, first))
+                    open_cell, parts = cell, []
+                parts.append(numbers[lo:hi])
+            columns = zip(*found) if found else [[]] * len(state_arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, state_arrow)], schema=state_arrow)
+
+    found = _in_order(hot, [*keys, "_cell"], order).mapInArrow(summaries, summary_type)
+    return _in_order(found, keys, ["_cell", "_at"]).mapInArrow(follow, state_type)
 
 
 def segment(
@@ -252,7 +359,9 @@ def segment(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, T.LongType())])
-    cells, any_hot = split_hot_keys(df, keys, order[0], rows_per_cell, _FINENESS)
+    # Cells much longer than a segment, so that their summaries are short against their rows.
+    enough = max(rows_per_cell, _SEGMENTS_PER_CELL * rule.max_entries)
+    cells, any_hot = split_hot_keys(df, keys, order[0], enough, _FINENESS)
     run_keys = list(keys)
     if any_hot:
         run_keys.append("_cell")
@@ -261,10 +370,7 @@ def segment(
     else:
         rows = df
     worker = _numbering(rule, run_keys, weight, name, to_arrow_schema(schema), any_hot)
-    # Hashing the key again keeps this exchange: one by the key itself is dropped when a join below
-    # already has that partitioning, and is lost when that join is turned into a broadcast at run time.
-    placed = rows.repartition(F.xxhash64(*run_keys)).sortWithinPartitions(*run_keys, *order)
-    return placed.mapInArrow(worker, schema)
+    return _in_order(rows, run_keys, order).mapInArrow(worker, schema)
 
 
 def batch_by_delay(

@@ -53,7 +53,12 @@ def test_rules_equal_folds_whole_and_in_cells(seed):
         jump = rule.jumps(cell, np.full(len(cell), len(cell))).tolist()
         numbers, _, _ = segments.walk(rule, cell, jump, 0, state, first)
         got += numbers.tolist()
-        state, made = segments.step(rule, segments.summarise(rule, cell), state)
+        summary, at = segments.Summariser(rule), 0
+        while at < len(cell):  # batches of any size
+            size = rnd.randint(1, 9)
+            summary.feed(cell[at : at + size])
+            at += size
+        state, made = segments.step(rule, summary.result(), state)
         first += made
     assert got == want
 
@@ -91,11 +96,12 @@ def test_c2_rank_and_count_batches(arrivals, per_cell):
 
 @pytest.mark.parametrize("per_cell", [10**6, 300, 20])
 @pytest.mark.parametrize("max_points, delay", [(5, 10), (1000, 45), (3, 0), (1, 5)])
-def test_c3_delay_batches(arrivals, per_cell, max_points, delay):
+def test_c3_delay_batches(arrivals, monkeypatch, per_cell, max_points, delay):
     df, rows = arrivals
     want = {}
     for group in by_key(rows).values():
         want.update(zip([r[3] for r in group], delay_fold([r[2] for r in group], max_points, delay)))
+    monkeypatch.setattr(segments, "_SEGMENTS_PER_CELL", 0)
     got = segments.batch_by_delay(df, max_points, delay, rows_per_cell=per_cell)
     assert {r.seq: r.batch for r in got.collect()} == want
     assert got.columns == [*df.columns, "batch"]
@@ -103,11 +109,12 @@ def test_c3_delay_batches(arrivals, per_cell, max_points, delay):
 
 @pytest.mark.parametrize("per_cell", [10**6, 300, 20])
 @pytest.mark.parametrize("capacity", [1, 10, 250])
-def test_c4_requests(arrivals, per_cell, capacity):
+def test_c4_requests(arrivals, monkeypatch, per_cell, capacity):
     df, rows = arrivals
     want = {}
     for group in by_key(rows).values():
         want.update(zip([r[3] for r in group], fit_fold([r[4] for r in group], capacity)))
+    monkeypatch.setattr(segments, "_SEGMENTS_PER_CELL", 0)
     got = segments.pack_next_fit(df, ["channel", "tags_key"], ["seq"], "n", capacity, per_cell)
     assert {r.seq: r.request_id for r in got.collect()} == want
 
