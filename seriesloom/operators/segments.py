@@ -347,7 +347,7 @@ def _cell_states(hot: DataFrame, rule: Rule, keys: list[str], order: list[str],
             columns = zip(*found) if found else [[]] * len(state_arrow)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, state_arrow)], schema=state_arrow)
 
-    found = _in_order(hot, [*keys, "_cell"], order).mapInArrow(summaries, summary_type)
+    found = _in_order(hot, ["_cell", *keys], order).mapInArrow(summaries, summary_type)
     return _in_order(found, keys, ["_cell", "_at"]).mapInArrow(follow, state_type)
 
 
@@ -364,7 +364,7 @@ def segment(
     cells, any_hot = split_hot_keys(df, keys, order[0], enough, _FINENESS)
     run_keys = list(keys)
     if any_hot:
-        run_keys.append("_cell")
+        run_keys = ["_cell", *keys]  # the cell first: it tells the rows of a hot key apart when sorting
         hot = cells.where(F.col("_cell").isNotNull()).select(*dict.fromkeys([*run_keys, *order, weight]))
         rows = cells.join(_cell_states(hot, rule, keys, order, weight), run_keys, "left")
     else:
