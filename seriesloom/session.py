@@ -5,11 +5,20 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Rows handed to Python are counted into batches, and with a byte limit each row is also measured,
+# which costs several times the transfer itself for narrow points. Sessions may lift the limit for
+# points; whatever hands over whole series or requests sets it again for its own action.
+BATCH_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+NO_BATCH_BYTES = str(2**31 - 1)
+WIDE_BATCH_BYTES = str(64 << 20)
+
 
 def local_session(app: str = "seriesloom", cpus: int | str = "*", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster the caller brings the session."""
@@ -21,6 +30,7 @@ def local_session(app: str = "seriesloom", cpus: int | str = "*", **conf: str) -
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         "spark.sql.python.filterPushdown.enabled": "true",
+        BATCH_BYTES_CONF: NO_BATCH_BYTES,
         **conf,
     }
     if CHECKPOINT_CONF not in settings:
@@ -47,3 +57,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         spark.conf.set(CHECKPOINT_CONF, base)
     path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
     return path if "://" in path or path.startswith("file:") else os.path.abspath(path)
+
+
+@contextmanager
+def wide_rows(spark: SparkSession) -> Iterator[None]:
+    """Bound the bytes of a batch while an action hands large rows to Python."""
+    before = spark.conf.get(BATCH_BYTES_CONF)
+    spark.conf.set(BATCH_BYTES_CONF, WIDE_BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES_CONF, before)

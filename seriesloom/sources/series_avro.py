@@ -32,6 +32,7 @@ from pyspark.sql.datasource import (
 
 from seriesloom.operators.encoding import file_records
 from seriesloom.schema import UNION_DDL
+from seriesloom.session import wide_rows
 from seriesloom.sources import codec
 
 FORMAT = "series_avro"
@@ -284,7 +285,8 @@ def write_series(
     write = write.option("datasetKey", dataset_key)
     if dataset_id:
         write = write.option("datasetId", dataset_id)
-    write.save(path)
+    with wide_rows(series.sparkSession):
+        write.save(path)
 
 
 def read_series(spark: SparkSession, path: str, **options: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.operators.packing import build_requests
-from seriesloom.session import scratch_dir
+from seriesloom.session import scratch_dir, wide_rows
 from seriesloom.sources import series_avro
 
 log = logging.getLogger(__name__)
@@ -162,7 +162,8 @@ class SendSink:
         worker = _sender(self.send, meta, self.retries, self.backoff)
         self.status_path = self.status_path or scratch_dir(spark, "sent")
         folder = f"{self.status_path}/batch_id={batch_id}"
-        encoded.mapInArrow(worker, _STATUS_DDL).write.mode("overwrite").parquet(folder)
+        with wide_rows(spark):
+            encoded.mapInArrow(worker, _STATUS_DDL).write.mode("overwrite").parquet(folder)
         failed = spark.read.parquet(folder).where("not ok")
         n, credentials = failed.agg(F.count(F.lit(1)), F.coalesce(F.bool_or("credentials"), F.lit(False))).first()
         if n:
