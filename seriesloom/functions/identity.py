@@ -32,6 +32,17 @@ def channel_or_default(channel: Column) -> Column:
     return F.coalesce(channel, F.lit(DEFAULT_CHANNEL))
 
 
+def _last_of_equal(entries: Column) -> Column:
+    """Entries whose key does not come again later. The list is bound to a name by the outer
+    transform, so that it is built once and not for every comparison."""
+
+    def kept(all_: Column) -> Column:
+        later = lambda i: F.slice(all_, i + F.lit(2), F.size(all_))
+        return F.filter(all_, lambda e, i: ~F.exists(later(i), lambda x: x["key"] == e["key"]))
+
+    return F.element_at(F.transform(F.array(entries), kept), 1)
+
+
 def tag_map(tags: Column | Mapping[str, Column] | None, entries: bool = False) -> Column:
     """Canonical tag map: sorted by key, the last of equal keys wins, absent means empty.
 
@@ -45,11 +56,7 @@ def tag_map(tags: Column | Mapping[str, Column] | None, entries: bool = False) -
         return F.create_map(*pairs) if pairs else _no_tags()
     if not entries:
         return F.coalesce(F.map_from_entries(F.array_sort(F.map_entries(tags))), _no_tags())
-    keys = F.transform(tags, lambda e: e["key"])
-    rest = lambda i: F.slice(tags, i + F.lit(2), F.size(tags))
-    last = F.filter(tags, lambda e, i: ~F.exists(rest(i), lambda later: later["key"] == e["key"]))
-    single = F.when(F.size(F.array_distinct(keys)) == F.size(tags), tags).otherwise(last)
-    return F.coalesce(F.map_from_entries(F.array_sort(single)), _no_tags())
+    return F.coalesce(F.map_from_entries(F.array_sort(_last_of_equal(tags))), _no_tags())
 
 
 def tags_key(tags: Column | Mapping[str, Column] | None) -> Column:

@@ -29,7 +29,6 @@ def local_session(app: str = "seriesloom", cpus: int | str = "*", **conf: str) -
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
-        "spark.sql.python.filterPushdown.enabled": "true",
         BATCH_BYTES_CONF: NO_BATCH_BYTES,
         **conf,
     }

@@ -264,6 +264,8 @@ class SeriesAvro(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Make the format known; Spark refuses readers with filter push-down unless it is switched on."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SeriesAvro)
 
 

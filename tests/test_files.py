@@ -163,6 +163,13 @@ def test_channel_filters(spark, all_kinds, tmp_path):
     assert back.where("channel like 'double%'").count() == 2
 
 
+def test_reading_does_not_depend_on_session_settings(spark, all_kinds, tmp_path):
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    path = str(tmp_path / "out")
+    series_avro.write_series(packing.pack_series(all_kinds), path)
+    assert series_avro.read_series(spark, path).where("channel = 'longs'").count() == 1
+
+
 def test_lake_is_partitioned_by_kind(spark, all_kinds, tmp_path):
     path = str(tmp_path / "lake")
     encoding.write_lake(packing.pack_series(all_kinds), path)
