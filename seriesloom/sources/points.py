@@ -62,9 +62,12 @@ def points_from_rows(
 
 def points_typed(
     df: DataFrame, kind: str, channel: ColumnLike, ts: ColumnLike, value: ColumnLike,
-    tags: Tags = None, seq: ColumnLike | None = None,
+    tags: Tags = None, seq: ColumnLike | None = None, check_json: bool = False,
 ) -> DataFrame:
-    """Points of a declared kind; the column must already have its type."""
+    """Points of a declared kind; the column must already have its type.
+
+    JSON text of a ``struct`` is taken as it is (A12); ``check_json`` refuses text that is not JSON.
+    """
     value = _col(value)
     dtype = _dtype(df, value)
     want = KINDS[kind][1]
@@ -76,6 +79,9 @@ def points_typed(
         value = value.cast("bigint")
     elif dtype.simpleString() != want:
         raise TypeError(f"{kind} needs {want}, got {dtype.simpleString()}")
+    if kind == "struct" and check_json:
+        is_json = F.try_parse_json(value).isNotNull() | value.isNull()
+        value = F.when(is_json, value).otherwise(F.raise_error(F.lit("struct value is not JSON")))
     return _rows(df, channel, ts, kind, value, tags, seq)
 
 

@@ -6,6 +6,7 @@ import logging
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from seriesloom.operators.packing import BLOCK_KEY, pack_series, request_blocks, with_shard
@@ -39,10 +40,10 @@ class _Log:
 
 
 class _Gauge:
-    """Points whose fate is decided, delivered or given up."""
+    """Points taken up, and points whose fate is decided: delivered or given up."""
 
     def __init__(self):
-        self.settled = 0
+        self.accepted = self.settled = 0
 
     def on_success(self, summary: dict) -> None:
         self.settled += summary["points"]
@@ -131,7 +132,9 @@ class IngestJob:
             packed = with_shard(packed, options.request_dispatcher_tasks).persist()
             requests = request_blocks(packed, options.max_points_per_record).persist()
             try:
-                if not packed.isEmpty():  # an empty buffer sends nothing (C9)
+                accepted = packed.agg(F.sum("n")).first()[0]
+                if accepted:  # an empty buffer sends nothing (C9)
+                    self._gauge.accepted += accepted
                     target.write(packed.join(requests, BLOCK_KEY), batch_id)
             except Exception as e:  # noqa: BLE001 - the policy decides
                 if self.on_failure != "drop":
@@ -182,8 +185,7 @@ class IngestJob:
 
     def unflushed(self) -> int:
         """Points taken from the source whose delivery is not settled (C10); 0 after a drain."""
-        accepted = sum(p["numInputRows"] for p in self.query.recentProgress) if self.query else 0
-        return max(0, accepted - self._gauge.settled)
+        return self._gauge.accepted - self._gauge.settled
 
     def __enter__(self) -> IngestJob:
         return self.open()

@@ -73,6 +73,14 @@ def test_b7_to_b10_typed(spark):
             src.points_typed(df, "uint64", "ch", "ts", col).collect()
 
 
+def test_a12_json_is_checked_on_demand(spark):
+    df = spark.sql("select 'c' as ch, 1L as ts, '{\"v\": 1}' as good, '{v' as bad")
+    assert src.points_typed(df, "struct", "ch", "ts", "bad").first().v_json == "{v"
+    assert src.points_typed(df, "struct", "ch", "ts", "good", check_json=True).first().v_json == '{"v": 1}'
+    with pytest.raises(Exception, match="is not JSON"):
+        src.points_typed(df, "struct", "ch", "ts", "bad", check_json=True).collect()
+
+
 def test_b14_union_checks_the_schema(spark):
     p = src.points_from_rows(spark.sql("select 'c' as ch, 1L as ts, 1d as v"), "ch", "ts", "v")
     assert src.union_points(p, p).count() == 2
