@@ -56,6 +56,8 @@ def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and plain path of a URI or a local path."""
     if path.startswith("file:/") and not path.startswith("file://"):
         path = "file://" + path[len("file:"):]
+    if path.startswith("s3a://"):  # the name Hadoop gives to the same store
+        path = "s3://" + path[len("s3a://"):]
     if "://" in path:
         return pafs.FileSystem.from_uri(path)
     return pafs.LocalFileSystem(), os.path.abspath(path)
