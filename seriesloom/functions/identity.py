@@ -32,15 +32,18 @@ def channel_or_default(channel: Column) -> Column:
     return F.coalesce(channel, F.lit(DEFAULT_CHANNEL))
 
 
-def _last_of_equal(entries: Column) -> Column:
-    """Entries whose key does not come again later. The list is bound to a name by the outer
-    transform, so that it is built once and not for every comparison."""
+def _sorted_last(entries: Column) -> Column:
+    """Entries sorted by key, of equal keys the last one given: after a sort by key and place, those
+    whose successor has another key. The outer transform binds the list to a name, so that it is
+    built once and not for every comparison."""
 
     def kept(all_: Column) -> Column:
-        later = lambda i: F.slice(all_, i + F.lit(2), F.size(all_))
-        return F.filter(all_, lambda e, i: ~F.exists(later(i), lambda x: x["key"] == e["key"]))
+        after = lambda i: F.get(all_, i + F.lit(1))["key"]
+        last = F.filter(all_, lambda e, i: ~after(i).eqNullSafe(e["key"]))
+        return F.transform(last, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
 
-    return F.element_at(F.transform(F.array(entries), kept), 1)
+    placed = F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("place"), e["value"].alias("value")))
+    return F.element_at(F.transform(F.array(F.sort_array(placed)), kept), 1)
 
 
 def tag_map(tags: Column | Mapping[str, Column] | None, entries: bool = False) -> Column:
@@ -55,15 +58,16 @@ def tag_map(tags: Column | Mapping[str, Column] | None, entries: bool = False) -
         pairs = [part for k in sorted(tags) for part in (F.lit(k), tags[k].cast("string"))]
         return F.create_map(*pairs) if pairs else _no_tags()
     if not entries:
-        return F.coalesce(F.map_from_entries(F.array_sort(F.map_entries(tags))), _no_tags())
-    return F.coalesce(F.map_from_entries(F.array_sort(_last_of_equal(tags))), _no_tags())
+        return F.coalesce(F.map_from_entries(F.sort_array(F.map_entries(tags))), _no_tags())
+    return F.coalesce(F.map_from_entries(_sorted_last(tags)), _no_tags())
 
 
-def tags_key(tags: Column | Mapping[str, Column] | None) -> Column:
+def tags_key(tags: Column | Mapping[str, Column] | None, entries: bool = False) -> Column:
     """Tags as one text ``k=v;k=v``, sorted by key, with ``\\ = ;`` escaped so that it is injective.
 
     With a dict of columns the order is known when the plan is built, so the key is a plain
-    concatenation inside generated code. A null tag value is refused.
+    concatenation inside generated code; from ``entries``, as in ``tag_map``, no map is built on
+    the way. A null tag value is refused.
     """
     if not isinstance(tags, Column) and not tags:
         return F.lit("")
@@ -76,7 +80,8 @@ def tags_key(tags: Column | Mapping[str, Column] | None) -> Column:
     pair = lambda e: F.concat(
         _escape(e["key"]), F.lit("="), F.coalesce(_escape(e["value"]), null)
     )
-    return F.coalesce(F.array_join(F.transform(F.array_sort(F.map_entries(tags)), pair), ";"), F.lit(""))
+    in_order = _sorted_last(tags) if entries else F.sort_array(F.map_entries(tags))
+    return F.coalesce(F.array_join(F.transform(in_order, pair), ";"), F.lit(""))
 
 
 def tags_from_key(key: Column) -> Column:

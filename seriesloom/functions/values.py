@@ -33,9 +33,11 @@ def kind_of_array(dtype: T.DataType, preserve_int: bool = False) -> str:
 
 
 def same_length(timestamps: Column, values: Column) -> Column:
-    """Pairs of a series; unequal lengths and empty series are refused."""
+    """Pairs of a series; a missing side, unequal lengths and empty series are refused."""
+    # fixed texts: users match on them
     return (
-        F.when(
+        F.when(timestamps.isNull() | values.isNull(), F.raise_error(F.lit("timestamps and values must not be null")))
+        .when(
             F.size(timestamps) != F.size(values),
             F.raise_error(F.lit("timestamps and values must have same length")),
         )

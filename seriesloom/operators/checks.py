@@ -9,11 +9,13 @@ from seriesloom.schema import CHANNEL_KEY
 
 
 def kind_conflicts(points: DataFrame, scope: str = "all") -> DataFrame:
-    """Channels that show two kinds, in one batch (``scope='request'``) or anywhere (``all``).
+    """Channels that show two kinds: in one batch, in one request, or anywhere (``all``).
+
+    ``request`` takes series that carry shard and request_id, ``batch`` points or series with ``batch``.
 
     A set of at most seven kinds per channel is merged map-side, so hot channels do not matter.
     """
-    keys = [*CHANNEL_KEY, *(["batch"] if scope == "request" else [])]
+    keys = [*CHANNEL_KEY, *{"all": [], "batch": ["batch"], "request": ["shard", "request_id"]}[scope]]
     kinds = F.sort_array(F.collect_set("kind"))
     return (
         points.groupBy(*keys).agg(kinds.alias("kinds"))

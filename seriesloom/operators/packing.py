@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesloom.functions.identity import tags_from_key
 from seriesloom.functions.values import u64_unwrap, u64_wrap
 from seriesloom.operators.segments import pack_next_fit
 from seriesloom.operators.spread import ROWS_PER_CELL, rank_in_key
-from seriesloom.schema import CHANNEL_KEY, KINDS
+from seriesloom.schema import CHANNEL_KEY, KINDS, NULL_VALUE
 
 MAX_POINTS = 250_000  # fixed value: default points per record
 
@@ -19,10 +20,17 @@ _MISMATCH = "mismatched types"
 def batch_by_count(
     points: DataFrame, max_points: int = MAX_POINTS, rows_per_cell: int = ROWS_PER_CELL
 ) -> DataFrame:
-    """Number the batches of each channel: a batch closes when it holds ``max_points``."""
-    ranked = rank_in_key(points, CHANNEL_KEY, "seq", "_rank", rows_per_cell)
+    """Number the batches of each channel: a batch closes when it holds ``max_points``.
+
+    Points with the same ``seq`` go by time stamp and then by a hash of their values, so that a
+    point has the same batch in every evaluation. A null ``seq`` is an error.
+    """
+    plain = [f.name for f in points.schema.fields if not isinstance(f.dataType, T.MapType)]
+    ties = [c for c in ("ts_ns",) if c in plain]
+    tied = points.withColumn("_tie", F.xxhash64(*plain))
+    ranked = rank_in_key(tied, CHANNEL_KEY, "seq", "_rank", rows_per_cell, (*ties, "_tie"))
     batch = F.call_function("div", F.col("_rank"), F.lit(max_points).cast("bigint"))
-    return ranked.withColumn("batch", batch).drop("_rank")
+    return ranked.withColumn("batch", batch).drop("_rank", "_tie")
 
 
 # Slots that the values of a batch are collected in: text and JSON share one, as do both
@@ -54,11 +62,13 @@ def pack_batches(batched: DataFrame, kinds: tuple[str, ...] = tuple(KINDS), on_c
     The input must carry ``batch``, so that an array never holds more than one batch. Values
     sit in one typed array per kind. Two kinds in one batch are refused (C6) unless
     ``on_conflict`` is ``split``, which makes one series per kind. ``kinds`` may name the kinds
-    that occur, to spare the unused slots; other kinds are refused then.
+    that occur, to spare the unused slots; other kinds are refused then, and so is a null value.
     """
     names = list(kinds)
     keys = [*CHANNEL_KEY, "batch", *(["kind"] if on_conflict == "split" else [])]
-    bit = F.coalesce(*[F.when(F.col("kind") == k, 1 << i) for i, k in enumerate(names)], F.lit(1 << len(names)))
+    missing = F.raise_error(F.lit(NULL_VALUE)).cast("int")
+    seen = [F.when(F.col("kind") == k, F.when(F.col(KINDS[k][0]).isNull(), missing).otherwise(1 << i)) for i, k in enumerate(names)]
+    bit = F.coalesce(*seen, F.lit(1 << len(names)))
     collected = batched.groupBy(*keys).agg(
         F.bit_or(bit).alias("_kinds"),  # the kinds seen, as a set of bits
         F.collect_list(F.struct("seq", "ts_ns", *_slots(kinds))).alias("_points"),
@@ -96,22 +106,27 @@ def block_point_count(timestamps: Column) -> Column:
 
 
 def unpack_series(series: DataFrame, kinds: tuple[str, ...] = tuple(KINDS)) -> DataFrame:
-    """Series back to points; ``seq`` is the position in the series after ``first_seq``."""
+    """Series back to canonical points; ``seq`` is the position in the series after ``first_seq``.
+
+    Series of one channel follow each other in ``seq``, so the points can be packed again in
+    their order.
+    """
     arrays = [  # the arrays of the other kinds are null, which would make the whole zip null
         F.coalesce(column, F.array().cast(f"array<{ddl}>")).alias(column)
         for k, (_, ddl, column, _) in KINDS.items() if k in kinds
     ]
     flat = series.select(
-        "channel", "tags", "tags_key", "kind", "batch",
+        "channel", "tags", "tags_key", "kind", "batch", "first_seq",
         F.posexplode(F.arrays_zip(F.col("timestamps"), *arrays)).alias("pos", "p"),
     )
     return flat.select(
-        "channel", "tags", "tags_key", F.col("p.timestamps").alias("ts_ns"), "batch",
-        F.col("pos").cast("bigint").alias("pos"), "kind",
+        "channel", "tags", "tags_key", F.col("p.timestamps").alias("ts_ns"),
+        (F.col("first_seq") + F.col("pos")).alias("seq"), "kind",
         *[
             (F.col("p")[column] if k in kinds else F.lit(None)).cast(ddl).alias(name)
             for k, (name, ddl, column, _) in KINDS.items()
         ],
+        "batch", F.col("pos").cast("bigint").alias("pos"),
     )
 
 
@@ -156,27 +171,50 @@ def requests_from_points(
 ) -> DataFrame:
     """Points to series that carry shard and request_id (C2, C1 and C4 in one).
 
-    Block sizes are counted from the points, so that deciding the requests never builds arrays.
-    ``shard`` is an expression over channel and tags_key.
+    ``shard`` is an expression over channel and tags_key. Block sizes come from the packed rows,
+    whose exchange both uses share; their arrays do not go through the packing.
     """
-    batched = batch_by_count(points, max_points, rows_per_cell)
-    blocks = batched.groupBy(*BLOCK_KEY).agg(F.max("seq").alias("last_seq"), F.count(F.lit(1)).alias("n"))
-    requests = pack_requests(blocks.withColumn("shard", shard), capacity, rows_per_cell)
-    return pack_batches(batched, kinds).join(requests.select("shard", *BLOCK_KEY, "request_id"), BLOCK_KEY)
+    packed = pack_batches(batch_by_count(points, max_points, rows_per_cell), kinds).withColumn("shard", shard)
+    return assign_requests(packed, capacity, rows_per_cell)
+
+
+def merge_requests(series: DataFrame) -> DataFrame:
+    """One series per channel and request: its blocks appended in arrival order.
+
+    ``series`` carries shard and request_id. Two kinds of one channel in one request are an
+    error. A request is bounded by the packing capacity (or one oversize block), and so is what
+    is gathered here.
+    """
+    arrays = ["timestamps", *[column for _, _, column, _ in KINDS.values() if column in series.columns]]
+    key = ["shard", "request_id", *CHANNEL_KEY]
+    block = F.struct("last_seq", "batch", "first_seq", "kind", *arrays)
+    gathered = series.groupBy(*key).agg(F.sort_array(F.collect_list(block)).alias("_b"), F.sum("n").alias("n"))
+
+    def appended(column: str) -> Column:
+        given = F.filter(F.col("_b")[column], lambda a: a.isNotNull())
+        return F.when(F.size(given) > 0, F.flatten(given)).alias(column)
+
+    kinds = F.array_compact(F.array_distinct(F.col("_b")["kind"]))
+    one_kind = F.when(F.size(kinds) > 1, F.raise_error(F.lit(_MISMATCH))).otherwise(F.get(kinds, F.lit(0)))
+    return gathered.select(
+        "shard", "request_id", "channel", tags_from_key(F.col("tags_key")).alias("tags"), "tags_key",
+        one_kind.alias("kind"), F.array_min(F.col("_b")["first_seq"]).alias("first_seq"),
+        F.element_at("_b", -1)["last_seq"].alias("last_seq"), "n", *map(appended, arrays),
+    )
 
 
 def build_requests(series: DataFrame) -> DataFrame:
-    """One row per request with all its series (C5). ``series`` carries shard and request_id.
+    """One row per request with one series per channel (C5). ``series`` carries shard and request_id.
 
     A request holds at most the packing capacity in points (or one oversize block), so the
     nested array is bounded.
     """
-    parts = ["channel", "tags", "kind", "timestamps", *[column for _, _, column, _ in KINDS.values()]]
+    merged = merge_requests(series)
+    arrays = [c for c in merged.columns if c not in ("shard", "request_id", "first_seq", "last_seq", "n", "tags")]
     return (
-        series.groupBy("shard", "request_id")
+        merged.groupBy("shard", "request_id")
         .agg(
-            F.sort_array(F.collect_list(F.struct("last_seq", "channel", "tags_key", "batch", "kind",
-                                                 "timestamps", *parts[4:]))).alias("_s"),
+            F.sort_array(F.collect_list(F.struct("last_seq", *arrays))).alias("_s"),
             F.sum("n").alias("point_count"),
         )
         .select(
@@ -186,7 +224,7 @@ def build_requests(series: DataFrame) -> DataFrame:
                 "_s",
                 lambda s: F.struct(
                     s["channel"].alias("channel"), tags_from_key(s["tags_key"]).alias("tags"),
-                    *[s[p].alias(p) for p in parts[2:]],
+                    *[s[p].alias(p) for p in arrays if p not in ("channel", "tags_key")],
                 ),
             ).alias("series"),
             F.lit(None).cast("string").alias("session_name"),

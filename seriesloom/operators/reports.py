@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.schema import KINDS
+from seriesloom.schema import CHANNEL_KEY, KINDS
 
 
 def _one_kind():
@@ -31,14 +31,18 @@ def total_double_points(points: DataFrame, channel: str) -> DataFrame:
 
 
 def request_sizes(series: DataFrame) -> DataFrame:
-    """How many requests there are and how full."""
-    return series.groupBy("shard", "request_id").agg(
+    """How many requests there are and how full; a channel's blocks in a request are one series."""
+    merged = series.groupBy("shard", "request_id", *CHANNEL_KEY).agg(F.sum("n").alias("n"))
+    return merged.groupBy("shard", "request_id").agg(
         F.count(F.lit(1)).alias("n_series"), F.sum("n").alias("n_points")
     )
 
 
 def last_series_per_channel(series: DataFrame, order: str = "request_id") -> DataFrame:
-    """The last series of each channel name, later requests replacing earlier ones."""
+    """The last series of each channel name, later requests replacing earlier ones.
+
+    ``series`` has one row per channel and request, as ``merge_requests`` gives them.
+    """
     rest = [F.col(c) for c in series.columns if c != "channel"]
     return series.groupBy("channel").agg(F.max_by(F.struct(*rest), F.col(order)).alias("s")).select("channel", "s.*")
 
@@ -63,7 +67,3 @@ def file_values(records: DataFrame) -> DataFrame:
         F.col("p.timestamps").alias("ts_ns"), "p.values.*",
     )
 
-
-def branch_names() -> dict[int, str]:
-    """Kind stored under each union branch; uint64 shares the branch of int."""
-    return {branch: kind for kind, (_, _, _, branch) in reversed(KINDS.items())}

@@ -22,9 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesloom.operators.spread import ROWS_PER_CELL, split_hot_keys
+from seriesloom.operators.spread import ROWS_PER_CELL, null_safe, present, split_hot_keys
 
-_FINENESS = 4
 _SEGMENTS_PER_CELL = 64
 
 
@@ -355,18 +354,23 @@ def segment(
     df: DataFrame, keys: list[str], order: list[str], weight: str, rule: Rule, name: str,
     rows_per_cell: int = ROWS_PER_CELL,
 ) -> DataFrame:
-    """Append the segment number ``name`` of each row, walking each key in ``order``."""
+    """Append the segment number ``name`` of each row, walking each key in ``order``.
+
+    A null in the first column of ``order`` is an error; keys may be null.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, T.LongType())])
     # Cells much longer than a segment, so that their summaries are short against their rows.
     enough = max(rows_per_cell, _SEGMENTS_PER_CELL * rule.max_entries)
-    cells, any_hot = split_hot_keys(df, keys, order[0], enough, _FINENESS)
+    df = df.withColumn(order[0], present(order[0]))
+    # rows that arrive at one time stay in one cell: a batch closes by the time alone
+    cells, any_hot = split_hot_keys(df, keys, order[:1] if rule.closes else order, enough)
     run_keys = list(keys)
     if any_hot:
         run_keys = ["_cell", *keys]  # the cell first: it tells the rows of a hot key apart when sorting
         hot = cells.where(F.col("_cell").isNotNull()).select(*dict.fromkeys([*run_keys, *order, weight]))
-        rows = cells.join(_cell_states(hot, rule, keys, order, weight), run_keys, "left")
+        rows = null_safe(cells, _cell_states(hot, rule, keys, order, weight), run_keys)
     else:
         rows = df
     worker = _numbering(rule, run_keys, weight, name, to_arrow_schema(schema), any_hot)

@@ -1,88 +1,124 @@
 """Split hot keys into ordered cells, so that no task ever holds a whole hot channel.
 
 Batching needs the order of points inside a channel. A window over the channel would put a
-channel with a third of all rows into one task. Here every hot key is cut into cells by a
-monotone function of its order column: cells follow each other in order, each is worked on in
-its own task, and small per-cell facts (counts, states) are carried from cell to cell.
+channel with a third of all rows into one task. Here every hot key is cut into cells at sampled
+quantiles of its order columns: cells follow each other in order and hold about as many rows
+each, however the order column is spread; each is worked on in its own task, and small per-cell
+facts (counts, states) are carried from cell to cell.
 
 Which cuts are used changes the balance only, never the result.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ROWS_PER_CELL = 1_000_000
 
-# At most this many keys are cut, the largest ones. Any other key then has at most
-# total / MAX_HOT rows, and the grid that is broadcast has at most MAX_HOT rows of 24 bytes.
-MAX_HOT = 1 << 18
+# Sampled rows per cell: a cell is then off its size by an eighth or so.
+SAMPLES = 64
+
+# At most this many cuts are broadcast; beyond them, cells grow. Sixteen bytes and the order each.
+MAX_CUTS = 1 << 18
+
+
+def present(column: str) -> Column:
+    """The column, refused where it is null: rows without an order have no place."""
+    return F.when(F.col(column).isNull(), F.raise_error(F.lit(f"{column} must not be null"))).otherwise(F.col(column))
+
 
-# Cells are cut this much finer than needed, so that bursts in the order column stay small too.
-FINENESS = 64
+def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on keys that may be null; the right side's copies of the keys are dropped."""
+    other = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    on = same[0]
+    for s in same[1:]:
+        on = on & s
+    return left.join(other, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def hot_grid(df: DataFrame, keys: list[str], order: str, rows_per_cell: int, fineness: int) -> pa.Table:
-    """Cell grid of the hot keys: one partial-aggregated pass over key and order columns.
+def hot_cuts(df: DataFrame, keys: list[str], order: list[str], rows_per_cell: int) -> pa.Table:
+    """``_kid`` and the order columns of every cut of the hot keys, in order.
 
-    The result is bounded by MAX_HOT and is usually empty, in which case the caller's plan needs
-    neither the grid nor a join. Keys are kept as hashes: a collision would merely cut another
-    key by the same grid.
+    A sample by hash, the one extra pass over key and order columns, is ordered per key; every
+    row of it that closes a cell's share is a cut. An ordinary key closes none, so the result
+    has one row per ``rows_per_cell`` rows of hot keys and is usually empty, in which case the
+    caller's plan needs neither the cuts nor a join. Keys are kept as hashes: a collision would
+    merely cut another key too.
     """
-    hot = (
-        df.groupBy(F.xxhash64(*keys).alias("_kid"))
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(order).cast("double").alias("_lo"),
-            F.max(order).cast("double").alias("_hi"),
-        )
-        .where(F.col("_n") > rows_per_cell)
-        .orderBy(F.desc("_n"), "_kid")
-        .limit(MAX_HOT)
-        .toArrow()
+    rate = max(1, rows_per_cell // SAMPLES)
+    share = max(1, rows_per_cell // rate)
+    sample = df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(rate)) == 0)
+    ranked = sample.select(F.xxhash64(*keys).alias("_kid"), *order).withColumn(
+        "_i", F.row_number().over(W.partitionBy("_kid").orderBy(*order))
     )
-    per_cell = max(rows_per_cell, (pc.sum(hot["_n"]).as_py() or 0) // MAX_HOT)
-    parts = pc.multiply(pc.ceil(pc.divide(hot["_n"].cast("double"), float(per_cell))), float(fineness))
-    span = pc.add(pc.subtract(hot["_hi"], hot["_lo"]), 1.0)
-    return pa.table({"_kid": hot["_kid"], "_lo": hot["_lo"], "_width": pc.divide(span, parts)})
+    cuts = ranked.where(F.col("_i") % share == 0).orderBy("_kid", "_i").drop("_i").toArrow()
+    thin = -(-cuts.num_rows // MAX_CUTS)
+    return cuts if thin <= 1 else cuts.take(pa.array(range(0, cuts.num_rows, thin)))
+
+
+def _cell(cuts: Column, step: Column, here: Column) -> Column:
+    """Number of cuts up to ``here``, by groups of ``step`` cuts and then within one group."""
+    upto = lambda c: c <= here
+    group = F.size(F.filter(cuts["heads"], upto))
+    inside = F.element_at(cuts["groups"], F.greatest(group, F.lit(1)))
+    return F.when(group == 0, 0).otherwise((group - 1) * step + F.size(F.filter(inside, upto))).cast("bigint")
 
 
 def split_hot_keys(
-    df: DataFrame, keys: list[str], order: str, rows_per_cell: int = ROWS_PER_CELL, fineness: int = FINENESS
+    df: DataFrame, keys: list[str], order: list[str], rows_per_cell: int = ROWS_PER_CELL
 ) -> tuple[DataFrame, bool]:
     """Add ``_cell`` (null for an ordinary key); also tell whether any key is hot."""
-    grid = hot_grid(df, keys, order, rows_per_cell, fineness)
-    if grid.num_rows == 0:
+    cuts = hot_cuts(df, keys, order, rows_per_cell)
+    if cuts.num_rows == 0:
         return df.withColumn("_cell", F.lit(None).cast("bigint")), False
-    cuts = F.broadcast(df.sparkSession.createDataFrame(grid))
-    cell = F.floor((F.col(order).cast("double") - F.col("_lo")) / F.col("_width")).cast("bigint")
+    step = max(1, isqrt(cuts.num_rows))
+    at = F.col("_at")
+    grouped = (
+        df.sparkSession.createDataFrame(cuts)
+        .select("_kid", F.struct(*order).alias("_at"))
+        .groupBy("_kid").agg(F.sort_array(F.collect_list(at)).alias("_all"))
+        .select(
+            "_kid",
+            F.transform(
+                F.sequence(F.lit(0), F.floor((F.size("_all") - 1) / step).cast("int")),
+                lambda g: F.slice("_all", g * step + 1, step),
+            ).alias("groups"),
+        )
+        .select("_kid", F.struct("groups", F.transform("groups", lambda g: g[0]).alias("heads")).alias("_cuts"))
+    )
+    cell = F.when(F.col("_cuts").isNotNull(), _cell(F.col("_cuts"), F.lit(step), F.struct(*order)))
     return (
         df.withColumn("_kid", F.xxhash64(*keys))
-        .join(cuts, "_kid", "left")
+        .join(F.broadcast(grouped), "_kid", "left")
         .withColumn("_cell", cell)
-        .drop("_kid", "_lo", "_width")
+        .drop("_kid", "_cuts")
     ), True
 
 
 def rank_in_key(
     df: DataFrame, keys: list[str], order: str, name: str = "rank",
-    rows_per_cell: int = ROWS_PER_CELL, fineness: int = FINENESS, ties: tuple[str, ...] = (),
+    rows_per_cell: int = ROWS_PER_CELL, ties: tuple[str, ...] = (),
 ) -> DataFrame:
     """Exact 0-based position of each row inside its key, in ``order``, without a task per key.
 
     Position = position inside the cell + number of rows in earlier cells. The second term is a
     running sum over one row per cell of hot keys only; without hot keys this is a plain window.
+    A null in ``order`` is an error; keys may be null.
     """
-    cells, any_hot = split_hot_keys(df, keys, order, rows_per_cell, fineness)
+    df = df.withColumn(order, present(order))
+    by = [order, *ties]
+    cells, any_hot = split_hot_keys(df, keys, by, rows_per_cell)
     if not any_hot:
-        inside = F.row_number().over(W.partitionBy(*keys).orderBy(order, *ties)) - 1
+        inside = F.row_number().over(W.partitionBy(*keys).orderBy(*by)) - 1
         return df.withColumn(name, inside.cast("bigint"))
     place = ["_cell", *keys]  # the cell first: it tells the rows of a hot key apart when sorting
-    inside = F.row_number().over(W.partitionBy(*place).orderBy(order, *ties)) - 1
+    inside = F.row_number().over(W.partitionBy(*place).orderBy(*by)) - 1
     earlier = W.partitionBy(*keys).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
     before = (
         cells.where(F.col("_cell").isNotNull())
@@ -91,8 +127,7 @@ def rank_in_key(
         .select(*place, F.sum("_n").over(earlier).alias("_before"))
     )
     return (
-        cells.withColumn("_inside", inside)
-        .join(before, place, "left")
+        null_safe(cells.withColumn("_inside", inside), before, place)
         .withColumn(name, (F.col("_inside") + F.coalesce("_before", F.lit(0))).cast("bigint"))
         .drop("_cell", "_inside", "_before")
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +46,7 @@ def channel_key_tagged(spark, sf):
         entry("linestatus", F.col("l_linestatus")),
     )
     lines = t.table(spark, sf, "lineitem")
-    keyed = lines.select(F.lit("li").alias("channel"), tags_key(tag_map(given, entries=True)).alias("tags_key"))
+    keyed = lines.select(F.lit("li").alias("channel"), tags_key(given, entries=True).alias("tags_key"))
     return keyed.groupBy("channel", "tags_key").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -264,8 +262,8 @@ def batch_by_delay_busy(spark, sf):
 def pack_requests_next_fit(spark, sf):
     """Orders as blocks of line items, packed per priority."""
     lines = t.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    blocks = t.table(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.col("o_orderpriority").alias("shard"), F.col("o_orderkey").alias("block_id"), "n"
+    blocks = t.table(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        F.col("o_orderpriority").alias("shard"), F.col("o_orderkey").alias("block_id"), F.coalesce("n", F.lit(0)).alias("n")
     )
     packed = segments.pack_next_fit(blocks, ["shard"], ["block_id"], "n", CAPACITY)
     return packed.groupBy("shard", "request_id").agg(
@@ -365,14 +363,9 @@ def _write_all(spark, sf) -> str:
     return path
 
 
-@cache
-def _stored(app: str, spark, sf) -> str:
-    return _write_all(spark, sf)
-
-
 def _file(spark, sf) -> DataFrame:
-    """A series file written once per application, for the queries that only read."""
-    return series_avro.read_series(spark, _stored(spark.sparkContext.applicationId, spark, sf))
+    """Every query writes the series file that it reads."""
+    return series_avro.read_series(spark, _write_all(spark, sf))
 
 
 def file_roundtrip(spark, sf):
@@ -414,7 +407,7 @@ def total_double_points(spark, sf):
 
 
 def last_series_per_channel(spark, sf):
-    series = _request_series(spark, sf).select("channel", "request_id", "last_seq", "n")
+    series = packing.merge_requests(_request_series(spark, sf)).select("channel", "request_id", "last_seq", "n")
     last = reports.last_series_per_channel(series.withColumn("order", F.struct("request_id", "last_seq")), "order")
     return last.select("channel", "request_id", "n")
 

@@ -29,7 +29,7 @@ BATCH = 4
 def _live_events(spark, sf):
     """The events table as a file stream, normalised by the same function as in batch."""
     schema = t.table(spark, sf, "events").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    rows = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet")
     return src.points_from_rows(
         rows, t.named("ev.", "event_type"), "ts", "value", {"user_id": F.col("user_id")}, "event_id"
     )
@@ -66,7 +66,9 @@ def fallback_route(spark, sf):
     """A receiver that never takes clicks: their requests end up in the fallback table."""
     fallback = TableSink(scratch_dir(spark, "fallback"))
     remote = SendSink(_refuse_clicks, retries=1, backoff=0.0, status_path=scratch_dir(spark, "sent"))
-    FallbackSink(remote, fallback).write(_requests(spark, sf).persist(), 0)
+    requests = _requests(spark, sf).persist()
+    FallbackSink(remote, fallback).write(requests, 0)
+    requests.unpersist()
     sent = remote.status(spark).where("ok").groupBy(F.col("shard").alias("channel")).agg(
         F.count(F.lit(1)).alias("requests"), F.sum("points").alias("n")
     )
@@ -81,7 +83,9 @@ def fallback_route(spark, sf):
 def dual_write(spark, sf):
     """The same series in a table and in containers."""
     table, files = TableSink(scratch_dir(spark, "table")), FileSink(scratch_dir(spark, "files"))
-    DualSink(table, files).write(_requests(spark, sf).persist(), 0)
+    requests = _requests(spark, sf).persist()
+    DualSink(table, files).write(requests, 0)
+    requests.unpersist()
     counted = lambda df, name: df.groupBy("channel").agg(
         F.sum(F.size("timestamps")).alias("n")
     ).select(F.lit(name).alias("sink"), "channel", "n")

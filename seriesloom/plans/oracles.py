@@ -162,14 +162,15 @@ ORACLES = {
     "batch_by_delay_busy": _delay("channel", 100, 3600 * 10**9),
     "pack_requests_next_fit": "select shard, request_id, count(*) as n_blocks, sum(n)::bigint as n_points from ("
     + _next_fit(
-        """select o_orderpriority as shard, o_orderkey as block_id, count(*) as n
-           from orders join lineitem on o_orderkey = l_orderkey group by 1, 2""", "block_id", 50)
+        """select o_orderpriority as shard, o_orderkey as block_id, count(l_orderkey) as n
+           from orders left join lineitem on o_orderkey = l_orderkey group by 1, 2""", "block_id", 50)
     + ") group by 1, 2",
-    "build_requests": f"""select shard, request_id, count(*) as n_series, sum(n)::bigint as n_points,
+    "build_requests": f"""select shard, request_id, count(distinct (channel, tags_key)) as n_series, sum(n)::bigint as n_points,
       sum(n)::bigint as n_values from ({REQUESTS}) group by 1, 2""",
     "request_sizes": f"""select shard, count(*) as n_requests, min(p)::bigint as least, max(p)::bigint as most,
       sum(k)::bigint as n_series
-      from (select shard, request_id, sum(n) as p, count(*) as k from ({REQUESTS}) group by 1, 2) group by 1""",
+      from (select shard, request_id, sum(n) as p, count(distinct (channel, tags_key)) as k
+        from ({REQUESTS}) group by 1, 2) group by 1""",
     "kind_conflicts": f"""select channel, tags_key, 2::bigint as n_kinds from ({EV}) where channel = 'ev.error'
       group by 1, 2""",
     "block_point_count": """select 'emb.' || label as channel, vec_id as block_id,
@@ -190,7 +191,9 @@ ORACLES = {
     "series_counts_by_channel": f"select channel, 'double' as kind, count(*) as n from ({EV}) group by 1",
     "total_double_points": f"select count(*) as n from ({EV}) where channel = 'ev.click'",
     "last_series_per_channel": f"""select channel, request_id, n from (select *,
-      row_number() over (partition by channel order by request_id desc, last_seq desc) as k from ({REQUESTS}))
+      row_number() over (partition by channel order by request_id desc, last_seq desc) as k from (
+        select channel, tags_key, request_id, sum(n)::bigint as n, max(last_seq) as last_seq
+        from ({REQUESTS}) group by 1, 2, 3))
       where k = 1""",
 }
 

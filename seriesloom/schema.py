@@ -22,6 +22,9 @@ KINDS = {
     "uint64": ("v_u64", U64, "u64s", 2),
 }
 
+# Fixed text: users match on it.
+NULL_VALUE = "value must be float, int, or str, got null"
+
 _DOUBLES = T.ArrayType(T.DoubleType())
 _STRINGS = T.ArrayType(T.StringType())
 _VALUE_TYPES = {
@@ -49,7 +52,11 @@ UNION_DDL = (
 def point_columns(
     channel: Column, tags: Column, tags_key: Column, ts_ns: Column, seq: Column, kind: str, value: Column
 ) -> list[Column]:
-    """The canonical select list for points of one kind."""
+    """The canonical select list for points of one kind. A null value, or item of an array, is refused."""
+    missing = value.isNull()
+    if kind in ("double_array", "string_array"):
+        missing = missing | F.exists(value, lambda v: v.isNull())
+    value = F.when(missing, F.raise_error(F.lit(NULL_VALUE))).otherwise(value)
     values = [
         (value if k == kind else F.lit(None)).cast(ddl).alias(col)
         for k, (col, ddl, _, _) in KINDS.items()

@@ -87,7 +87,9 @@ def _double_items(values) -> bytes:
 
 
 def values(kind: str, items: pa.Array) -> bytes:
-    """The body of ``values``: each item is its branch number and its content."""
+    """The body of ``values``: each item is its branch number and its content. Nulls have no branch."""
+    if items.null_count:
+        raise ValueError(f"a series of {kind} holds null values")
     if kind == "double":
         out = np.zeros(len(items), dtype=DOUBLE)
         out["v"] = items.to_numpy(zero_copy_only=False)

@@ -23,7 +23,7 @@ from seriesloom.functions.values import (
     same_length,
     struct_to_json,
 )
-from seriesloom.schema import KINDS, POINTS, check_points, point_columns
+from seriesloom.schema import KINDS, NULL_VALUE, POINTS, check_points, point_columns
 
 ColumnLike = str | Column
 Tags = str | Column | Mapping[str, Column] | None
@@ -115,7 +115,7 @@ def _record_check(values: list[Column], on_bad: str) -> Column:
     whole = reduce(lambda a, b: a & b, [v.isNotNull() for v in values])
     if on_bad == "drop":
         return whole
-    return F.when(whole, F.lit(True)).otherwise(F.raise_error(F.lit("value must be float, int, or str, got null")))
+    return F.when(whole, F.lit(True)).otherwise(F.raise_error(F.lit(NULL_VALUE)))
 
 
 def points_from_wide(
@@ -164,7 +164,7 @@ def points_from_map(
     whole = ~F.exists(F.map_values(values), lambda v: v.isNull())
     if on_bad != "drop":
         whole = F.when(whole, F.lit(True)).otherwise(
-            F.raise_error(F.lit("value must be float, int, or str, got null"))
+            F.raise_error(F.lit(NULL_VALUE))
         )
     _, tag_col, key, ns, order = _identity(df, F.lit(""), ts, tags, seq)
     flat = df.where(whole).select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from seriesloom.operators.packing import BLOCK_KEY, pack_series, request_blocks, with_shard
 from seriesloom.schema import check_points
-from seriesloom.streaming.sinks import DualSink, FallbackSink, FileSink, ListeningSink, SendSink, Sink
+from seriesloom.streaming.sinks import BatchId, DualSink, FallbackSink, FileSink, ListeningSink, SendSink, Sink
 
 log = logging.getLogger(__name__)
 
@@ -40,16 +41,18 @@ class _Log:
 
 
 class _Gauge:
-    """Points taken up, and points whose fate is decided: delivered or given up."""
+    """Points taken up, and points whose fate is decided: delivered, or given up under ``drop``."""
 
-    def __init__(self):
+    def __init__(self, drop: bool):
         self.accepted = self.settled = 0
+        self.drop = drop
 
     def on_success(self, summary: dict) -> None:
         self.settled += summary["points"]
 
     def on_error(self, error: Exception, summary: dict) -> None:
-        self.settled += summary["points"]
+        if self.drop:
+            self.settled += summary["points"]
 
 
 class IngestJob:
@@ -76,7 +79,8 @@ class IngestJob:
         self.fallback: Sink | None = None
         self.listeners: list = []
         self.query: StreamingQuery | None = None
-        self._gauge = _Gauge()
+        self._gauge = _Gauge(on_failure == "drop")
+        self._known = threading.Event()  # the query is there to tell its id
 
     # -- definition (F1) -------------------------------------------------------------------
 
@@ -126,7 +130,9 @@ class IngestJob:
     def _deliver(self, target: Sink):
         options = self.options
 
-        def deliver(batch: DataFrame, batch_id: int) -> None:
+        def deliver(batch: DataFrame, number: int) -> None:
+            self._known.wait()
+            batch_id = BatchId(number, str(self.query.id))
             points = batch.persist()  # read by the hot-key pass and by the packing
             packed = pack_series(points, options.max_points_per_record)
             packed = with_shard(packed, options.request_dispatcher_tasks).persist()
@@ -139,7 +145,7 @@ class IngestJob:
             except Exception as e:  # noqa: BLE001 - the policy decides
                 if self.on_failure != "drop":
                     raise
-                log.error("batch %s is dropped: %s", batch_id, e)
+                log.error("batch %s is dropped: %s", number, e)
             finally:
                 for cached in (requests, packed, points):
                     cached.unpersist()
@@ -156,8 +162,10 @@ class IngestJob:
         if self.is_open:
             raise RuntimeError("the job is already open")
         target = self.sink()
+        self._known.clear()
         writer = self.points.writeStream.option("checkpointLocation", self.checkpoint)
         self.query = writer.trigger(**trigger).foreachBatch(self._deliver(target)).start()
+        self._known.set()
         return self.query
 
     def open(self) -> IngestJob:
@@ -170,7 +178,11 @@ class IngestJob:
         self._start(availableNow=True).awaitTermination()
 
     def close(self, wait: bool = True) -> None:
-        """Deliver everything that has arrived, then stop; ``wait=False`` is cancel."""
+        """Deliver everything that has arrived, then stop; ``wait=False`` is cancel.
+
+        A waiting close raises what ended the query, so it returns only when every point taken is
+        delivered, or given up under ``drop``.
+        """
         if self.query is None:
             return
         try:
@@ -178,6 +190,8 @@ class IngestJob:
                 self.query.processAllAvailable()
         finally:
             self.query.stop()
+        if wait and (error := self.query.exception()):
+            raise error
 
     def cancel(self) -> None:
         """Stop without draining; the checkpoint lets a later job take up the rest."""

@@ -2,8 +2,8 @@
 
 A sink takes the series of a batch, each with its ``shard`` and ``request_id``, and raises when
 it cannot deliver. The rows stay on the executors: what reaches the driver are counts and
-whether anything failed. Delivery is at-least-once; every write is keyed by the batch id, so a
-repeated batch replaces itself.
+whether anything failed. Delivery is at-least-once; every write is keyed by stream and batch id,
+so a repeated batch replaces itself and nothing else.
 """
 
 from __future__ import annotations
@@ -46,14 +46,39 @@ class Sink(Protocol):
     def write(self, series: DataFrame, batch_id: int) -> None: ...
 
 
+MAIN_STREAM = "main"  # the stream of batches that are numbered by hand
+
+
+class BatchId(int):
+    """The number of a batch that also knows its stream: two jobs may both have a batch 0.
+
+    ``stream`` is the id that the checkpoint keeps, so a restarted job repeats its own batches.
+    """
+
+    stream: str
+
+    def __new__(cls, number: int, stream: str) -> BatchId:
+        self = super().__new__(cls, number)
+        self.stream = stream
+        return self
+
+
+def stream_of(batch_id: int) -> str:
+    return getattr(batch_id, "stream", MAIN_STREAM)
+
+
+def batch_folder(path: str, batch_id: int) -> str:
+    return f"{path}/stream_id={stream_of(batch_id)}/batch_id={int(batch_id)}"
+
+
 @dataclass
 class TableSink:
-    """Series as Parquet, one folder per batch, replaced when the batch is repeated."""
+    """Series as Parquet, one folder per stream and batch, replaced when the batch is repeated."""
 
     path: str
 
     def _folder(self, batch_id: int) -> str:
-        return f"{self.path}/batch_id={batch_id}"
+        return batch_folder(self.path, batch_id)
 
     def write(self, series: DataFrame, batch_id: int) -> None:
         series.write.mode("overwrite").parquet(self._folder(batch_id))
@@ -69,13 +94,13 @@ class TableSink:
 
 @dataclass
 class FileSink:
-    """Series containers, one folder per batch."""
+    """Series containers, one folder per stream and batch."""
 
     path: str
     dataset_id: str | None = None
 
     def write(self, series: DataFrame, batch_id: int) -> None:
-        series_avro.write_series(series, f"{self.path}/batch_id={batch_id}", True, self.dataset_id)
+        series_avro.write_series(series, batch_folder(self.path, batch_id), True, self.dataset_id)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return series_avro.read_series(spark, self.path)
@@ -116,7 +141,7 @@ def _sender(send, meta: dict, retries: int, backoff: float):
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
-                key = f"{meta['batch_id']}-{row['shard']}-{row['request_id']}"
+                key = f"{meta['stream_id']}-{meta['batch_id']}-{row['shard']}-{row['request_id']}"
                 started = time.monotonic()
                 result = _attempt(send, row["payload"], {**meta, "idempotency_key": key}, retries, backoff)
                 attempts, ok, credentials, error = result
@@ -136,7 +161,8 @@ class SendSink:
 
     ``meta`` holds the options, the batch id and an idempotency key that is the same whenever
     the request is sent again. ``payload`` is built by ``encode``, a column expression over the
-    request; the default is its JSON. ``dispatchers`` is the number of parallel senders.
+    request; the default is its JSON. ``dispatchers`` is the number of parallel senders; by default
+    the cluster's cores.
     The outcome of each request is written to the shared folder, because sending must not be
     repeated by whoever looks at the outcome.
     """
@@ -152,16 +178,15 @@ class SendSink:
     def write(self, series: DataFrame, batch_id: int) -> None:
         spark = series.sparkSession
         requests = build_requests(series)
-        if self.dispatchers:
-            requests = requests.repartition(self.dispatchers)
+        requests = requests.repartition(self.dispatchers or spark.sparkContext.defaultParallelism)
         encoded = requests.select(
             F.col("shard").cast("string").alias("shard"), "request_id",
             F.col("point_count").alias("points"), self.encode().alias("payload"),
         )
-        meta = {**(self.options or {}), "batch_id": batch_id}
+        meta = {**(self.options or {}), "batch_id": int(batch_id), "stream_id": stream_of(batch_id)}
         worker = _sender(self.send, meta, self.retries, self.backoff)
         self.status_path = self.status_path or scratch_dir(spark, "sent")
-        folder = f"{self.status_path}/batch_id={batch_id}"
+        folder = batch_folder(self.status_path, batch_id)
         with wide_rows(spark):
             encoded.mapInArrow(worker, _STATUS_DDL).write.mode("overwrite").parquet(folder)
         failed = spark.read.parquet(folder).where("not ok")
@@ -257,8 +282,9 @@ class ListeningSink:
 
 
 def delivery_stats(delivered: DataFrame) -> DataFrame:
-    """Requests and points per delivered batch."""
+    """Requests and points per delivered batch of each stream."""
+    batch = ["stream_id", "batch_id"]
     return (
-        delivered.groupBy("batch_id", *REQUEST_KEY).agg(F.sum("n").alias("p"))
-        .groupBy("batch_id").agg(F.count(F.lit(1)).alias("requests"), F.sum("p").alias("points"))
+        delivered.groupBy(*batch, *REQUEST_KEY).agg(F.sum("n").alias("p"))
+        .groupBy(*batch).agg(F.count(F.lit(1)).alias("requests"), F.sum("p").alias("points"))
     )

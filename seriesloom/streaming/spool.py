@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from seriesloom.sources import codec, series_avro
 from seriesloom.sources.series_avro import READ_DDL, open_fs
-from seriesloom.streaming.sinks import TableSink
+from seriesloom.streaming.sinks import BatchId, TableSink, batch_folder
 
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 _CHECK = pa.schema([("path", pa.string()), ("ok", pa.bool_()), ("error", pa.string())])
@@ -85,7 +86,7 @@ class SpoolIngest:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         spark = paths.sparkSession
-        checks = f"{self.errors_path}/batch_id={batch_id}"
+        checks = batch_folder(self.errors_path, batch_id)
         if not self.table.holds(spark, batch_id):
             paths.mapInArrow(_check, "path string, ok boolean, error string").write.mode("overwrite").parquet(checks)
             good = spark.read.parquet(checks).where("ok").select("path")
@@ -102,7 +103,15 @@ class SpoolIngest:
     def start(self, spark: SparkSession, **trigger) -> StreamingQuery:
         self.errors_path = self.errors_path or f"{self.checkpoint}-checks"
         writer = self._paths(spark).writeStream.option("checkpointLocation", self.checkpoint)
-        return writer.trigger(**(trigger or {"processingTime": "1 second"})).foreachBatch(self._ingest).start()
+        known, queries = threading.Event(), []
+
+        def ingest(paths: DataFrame, number: int) -> None:
+            known.wait()
+            self._ingest(paths, BatchId(number, str(queries[0].id)))
+
+        queries.append(writer.trigger(**(trigger or {"processingTime": "1 second"})).foreachBatch(ingest).start())
+        known.set()
+        return queries[0]
 
     def run(self, spark: SparkSession) -> None:
         """Take up what lies in the spool now."""

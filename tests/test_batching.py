@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.operators import segments
 from seriesloom.operators.packing import batch_by_count
-from seriesloom.operators.spread import hot_grid, rank_in_key
+from seriesloom.operators.spread import hot_cuts, rank_in_key, split_hot_keys
 from seriesloom.sources import points as src
 
 
@@ -146,17 +146,54 @@ def test_fixture_writer_double(spark):
     assert sorted((r.batch, r["count"]) for r in sizes) == [(i, 1000) for i in range(5)]
 
 
-def test_hot_grid_is_empty_without_hot_keys(arrivals):
+def test_there_are_no_cuts_without_hot_keys(arrivals):
     df, _ = arrivals
-    assert hot_grid(df, ["channel"], "seq", 10**6, 64).num_rows == 0
-    assert hot_grid(df, ["channel"], "seq", 1000, 64).num_rows == 1
+    assert hot_cuts(df, ["channel"], ["seq"], 10**6).num_rows == 0
+    assert hot_cuts(df, ["channel"], ["seq"], 1000).num_rows in (3, 4, 5)
 
 
 def test_hot_channel_is_spread_over_cells(arrivals):
     """No cell of the hot channel is much larger than asked for, whatever the bursts."""
-    from seriesloom.operators.spread import split_hot_keys
-
     df, _ = arrivals
-    cells, any_hot = split_hot_keys(df, ["channel"], "seq", 300)
+    cells, any_hot = split_hot_keys(df, ["channel"], ["arrival_ns", "seq"], 300)
     assert any_hot
-    assert cells.where("channel = 'hot'").groupBy("_cell").count().agg(F.max("count")).first()[0] <= 300
+    assert cells.where("channel = 'hot'").groupBy("_cell").count().agg(F.max("count")).first()[0] <= 600
+
+
+@pytest.mark.parametrize("outlier", [0, 2**62])
+def test_one_outlier_does_not_undo_the_cells(spark, outlier):
+    """Nanosecond stamps and one row at the epoch or far ahead: cells stay even, ranks right."""
+    stamps = F.when(F.col("id") == 7, F.lit(outlier)).otherwise(F.lit(1_700_000_000 * 10**9) + F.col("id") * 1000)
+    df = spark.range(100_000).select(F.lit("a").alias("k"), "id", stamps.alias("seq"))
+    cells, _ = split_hot_keys(df, ["k"], ["seq"], 1000)
+    assert cells.groupBy("_cell").count().agg(F.max("count")).first()[0] <= 2000
+    ranked = rank_in_key(df, ["k"], "seq", rows_per_cell=1000)
+    place = 0 if outlier == 0 else 99_999
+    assert ranked.where("id = 7").first()["rank"] == place
+    moved = ranked.where("id != 7").select((F.col("rank") - F.col("id")).alias("d")).distinct().collect()
+    assert {r.d for r in moved} <= ({0, 1} if outlier == 0 else {0, -1})
+
+
+@pytest.mark.parametrize("per_cell", [10**6, 4])
+def test_null_keys_are_keys_and_a_null_order_is_refused(spark, monkeypatch, per_cell):
+    """The same results with and without cells; the shard or channel may be null."""
+    monkeypatch.setattr(segments, "_SEGMENTS_PER_CELL", 0)
+    df = spark.createDataFrame([(None, i, 1) for i in range(40)] + [("b", i, 1) for i in range(3)], "shard string, seq long, n long")
+    packed = segments.pack_next_fit(df, ["shard"], ["seq"], "n", 4, per_cell)
+    assert sorted((r.seq, r.request_id) for r in packed.where("shard is null").collect()) == [(i, i // 4) for i in range(40)]
+    ranked = rank_in_key(df, ["shard"], "seq", rows_per_cell=per_cell)
+    assert sorted(r["rank"] for r in ranked.where("shard is null").collect()) == list(range(40))
+    missing = df.withColumn("seq", F.when(F.col("seq") % 10 != 0, F.col("seq")))
+    with pytest.raises(Exception, match="seq must not be null"):
+        rank_in_key(missing, ["shard"], "seq", rows_per_cell=per_cell).collect()
+    with pytest.raises(Exception, match="seq must not be null"):
+        segments.pack_next_fit(missing, ["shard"], ["seq"], "n", 4, per_cell).collect()
+
+
+@pytest.mark.parametrize("per_cell", [10**6, 10])
+def test_equal_stamps_are_ordered_the_same_way_every_time(spark, per_cell):
+    df = spark.range(100).select("id", (F.col("id") % 5).alias("ts"), F.col("id").cast("double").alias("v"))
+    points = src.points_from_rows(df, F.lit("c"), "ts", "v")
+    ways = [batch_by_count(points.repartition(k), 7, per_cell) for k in (1, 5, 9)]
+    results = [sorted((r.batch, r.v_double) for r in w.collect()) for w in ways]
+    assert results[0] == results[1] == results[2]

@@ -353,3 +353,34 @@ def test_e9_repeated_batch_does_not_lose_or_double(spark, tmp_path):
     ingest._ingest(paths, 0)
     ingest._ingest(paths, 0)  # as after a failure between the deletion and the commit
     assert table.read(spark).agg(F.sum("n")).first()[0] == 10
+
+
+def test_two_jobs_do_not_share_folders(spark, tmp_path):
+    """Each job has a batch 0; the second one must not replace what the first delivered."""
+    table, files = TableSink(str(tmp_path / "table")), FileSink(str(tmp_path / "files"))
+    for number, rows in enumerate((100, 10)):
+        source = str(tmp_path / f"source-{number}")
+        points_of(spark, rows).write.parquet(source)
+        live = spark.readStream.schema(points_of(spark, 1).schema).parquet(source)
+        job = IngestJob(live, str(tmp_path / f"job-{number}")).to_file(table)
+        job.run()
+        live = spark.readStream.schema(points_of(spark, 1).schema).parquet(source)
+        IngestJob(live, str(tmp_path / f"files-{number}")).to_file(files).run()
+    assert table.read(spark).agg(F.sum("n")).first()[0] == 110
+    assert files.read(spark).agg(F.sum(F.size("timestamps"))).first()[0] == 110
+
+
+class _Refusing:
+    def write(self, series, batch_id):
+        raise OSError("disk is gone")
+
+
+def test_close_tells_what_ended_the_query(spark, tmp_path):
+    source = str(tmp_path / "source")
+    points_of(spark, 10).write.parquet(source)
+    live = spark.readStream.schema(points_of(spark, 1).schema).parquet(source)
+    job = IngestJob(live, str(tmp_path / "job")).to_file(_Refusing())
+    with pytest.raises(Exception, match="disk is gone"):
+        with job:
+            time.sleep(0.5)
+    assert job.unflushed() == 10

@@ -206,3 +206,11 @@ def test_damaged_container_is_refused(spark, tmp_path):
         path.write_bytes(content)
         with pytest.raises(Exception):
             series_avro.read_series(spark, str(path)).collect()
+
+
+def test_nulls_are_refused_and_whole_numbers_kept():
+    """A null has no branch; next to one, large whole numbers used to lose their last digits."""
+    for kind, items in (("int", [2**53 + 1, None]), ("double", [1.0, None]), ("string", ["a", None])):
+        with pytest.raises(ValueError, match="null"):
+            codec.values(kind, pa.array(items))
+    assert codec.values("int", pa.array([2**53 + 1])) == codec.longs(np.array([2, 2**53 + 1]))

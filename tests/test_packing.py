@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesloom.operators import checks, packing, reports
-from seriesloom.schema import KINDS
+from seriesloom.schema import KINDS, check_points
 from seriesloom.sources import points as src
 
 MAKE = {
@@ -80,10 +80,48 @@ def test_clash_is_refused(spark):
 def test_kind_may_change_between_batches(spark):
     points = clash(spark)
     batched = packing.batch_by_count(points, 1)
-    assert checks.kind_conflicts(batched, "request").count() == 0
+    assert checks.kind_conflicts(batched, "batch").count() == 0
     assert packing.pack_series(points, 1).count() == 2
 
 
+def test_kinds_may_not_clash_inside_a_request(spark):
+    """Two blocks of one channel, each of its own kind, in one request; in two requests they may."""
+    series = packing.pack_series(clash(spark), 1).withColumn("shard", F.lit(0))
+    together, apart = packing.assign_requests(series, 10), packing.assign_requests(series, 1)
+    assert checks.kind_conflicts(together, "request").count() == 1
+    with pytest.raises(Exception, match="mismatched types"):
+        packing.build_requests(together).collect()
+    assert checks.kind_conflicts(apart, "request").count() == 0
+    assert packing.build_requests(apart).count() == 2
+
+
+@pytest.mark.parametrize("kind", list(KINDS))
+def test_blocks_of_a_channel_are_one_series_in_a_request(spark, kind):
+    points = blocks(spark, kind, 1, 20, tagged=False)
+    series = packing.pack_series(points, 5).withColumn("shard", F.lit(0))
+    request = packing.build_requests(packing.assign_requests(series, 100)).collect()
+    assert len(request) == 1 and len(request[0].series) == 1 and request[0].point_count == 20
+    whole = packing.pack_series(points, 100).first()
+    one = request[0].series[0]
+    assert one.timestamps == whole.timestamps == list(range(20))
+    assert all(one[column] == whole[column] for _, _, column, _ in KINDS.values())
+    sizes = reports.request_sizes(packing.assign_requests(series, 100)).first()
+    assert (sizes.n_series, sizes.n_points) == (1, 20)
+
+
+def test_null_values_are_refused(spark):
+    df = spark.sql("select 1L as ts, cast(null as double) as v, array(1d, null) as a, array(1L) as t, cast(null as array<double>) as vs")
+    for made in (src.points_from_rows(df, F.lit("c"), "ts", "v"), src.points_typed(df, "double", F.lit("c"), "ts", "v"),
+                 src.points_from_double_arrays(df, F.lit("c"), "ts", "a")):
+        with pytest.raises(Exception, match="got null"):
+            made.collect()
+    with pytest.raises(Exception, match="must not be null"):
+        src.points_from_series(df, F.lit("c"), "t", "vs").collect()
+    whole = blocks(spark, "double", 1, 4)
+    with pytest.raises(Exception, match="got null"):
+        packing.pack_series(whole.withColumn("v_double", F.when(F.col("seq") != 2, F.col("v_double")))).collect()
+
+
 @pytest.mark.parametrize("kind", list(KINDS))
 def test_pack_and_unpack_keep_order_and_values(spark, kind):
     points = blocks(spark, kind, 1, 300).withColumn("seq", 1000 - F.col("seq"))  # arrival order is not time order
@@ -92,22 +130,25 @@ def test_pack_and_unpack_keep_order_and_values(spark, kind):
     first = series.where("batch = 0").first()
     assert first.timestamps == list(range(299, 171, -1))
     assert first.tags == {"batch_id": "0"}
-    back = packing.unpack_series(series)
+    back = check_points(packing.unpack_series(series))
     column = KINDS[kind][0]
-    same = ["channel", "tags_key", "ts_ns", "kind", column]
-    assert back.select(same).exceptAll(points.select(same)).count() == 0
-    assert back.count() == points.count()
+    same = ["channel", "tags_key", "ts_ns", "seq", "kind", column]
+    assert back.select(same).exceptAll(points.select(same)).isEmpty()
+    assert points.select(same).exceptAll(back.select(same)).isEmpty()
+    again = packing.pack_series(back.select(points.columns), 128)
+    rows = lambda s: sorted(map(str, s.collect()))
+    assert rows(again) == rows(series)
 
 
 def test_requests_round_trip(spark):
     series = requests_of(src.union_points(*[blocks(spark, k, 1, 100, tagged=False) for k in KINDS]), 150)
     requests = packing.build_requests(series)
     assert requests.count() == 7
-    back = packing.unpack_requests(requests)
-    assert back.drop("shard", "request_id").exceptAll(
-        series.select(*[c for c in back.columns if c not in ("shard", "request_id")])
-    ).isEmpty() if "tags" not in back.columns else back.count() == 7
-    assert {r.kind for r in back.collect()} == set(KINDS)
+    back = packing.unpack_requests(requests).collect()
+    assert {r.kind for r in back} == set(KINDS) and len(back) == 7
+    given = {r.channel: r for r in series.collect()}
+    for row in back:
+        assert all(row[c] == given[row.channel][c] for c in ("tags", "timestamps", *(c for _, _, c, _ in KINDS.values())))
 
 
 def test_one_oversize_block_exceeds_the_capacity(spark):
@@ -130,7 +171,7 @@ def test_g3_other_kinds_count_zero(spark):
 
 def test_g5_last_request_wins(spark):
     series = requests_of(blocks(spark, "double", 1, 50, tagged=False), 20)
-    last = reports.last_series_per_channel(series).first()
+    last = reports.last_series_per_channel(packing.merge_requests(series)).first()
     assert (last.channel, last.request_id, last.n) == ("double", 2, 10)
 
 
