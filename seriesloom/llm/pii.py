@@ -35,8 +35,8 @@ _NAME = f"(?:{'|'.join(DIGITS)})"
 _RUN = rf"\b{_NAME}(?:[ ,-]{{1,2}}(?:{_NAME}|[0-9]++))+\b"
 _OPEN, _CLOSE = r" ?[\[({<] ?", r" ?[\])}>] ?"
 _DISGUISE = re.compile(
-    rf"(?P<hidden>[{_HIDDEN}]+)|(?P<at>{_OPEN}at{_CLOSE}|(?<=[a-z0-9]) +at +(?=[a-z0-9-]+(?: +dot +|{_OPEN}dot{_CLOSE})))"
-    rf"|(?P<dot>{_OPEN}dot{_CLOSE}|(?<=[a-z0-9]) +dot +(?=[a-z0-9]))|(?P<plus>\bplus +(?={_NAME}\b|[0-9]))|(?P<run>{_RUN})",
+    rf"(?P<hidden>[{_HIDDEN}]+)|(?P<at>{_OPEN}at{_CLOSE}|(?<=[a-z0-9]) +at +(?=[a-z0-9-]+(?: +dot +(?!dot\b)|{_OPEN}dot{_CLOSE})))"
+    rf"|(?P<dot>{_OPEN}dot{_CLOSE}|(?<=[a-z0-9])(?<!\bdot) +dot +(?!dot\b)(?=[a-z0-9]))|(?P<plus>\bplus +(?={_NAME}\b|[0-9]))|(?P<run>{_RUN})",
     re.IGNORECASE | re.ASCII,
 )
 _ITEM = re.compile(rf"{_NAME}|[0-9]++", re.IGNORECASE | re.ASCII)

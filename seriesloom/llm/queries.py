@@ -88,4 +88,47 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_media, op2_quality, op3_url_filter, op4_personal_data, op5_mix, op6_bpe, op7_exact_dedup, op8_near_dedup, op9_shards, op10_token_counts)
 }
 
-ORACLES: dict[str, str] = {}
+_RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+
+#: The same results as DuckDB SQL. Media, compression, deobfuscation, BPE, MinHash components, CRC and pieces have no
+#: SQL; their tests compare them with brute force or the libraries.
+ORACLES: dict[str, str] = {
+    "op3_url_filter": rf"""with rest as (
+  select page_id, row_number() over () as n, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest
+  from pages),
+ parts as (
+  select *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') as path from rest),
+ judged as (
+  select page_id, host, path, h || p as rule, v, row_number() over (partition by n order by length(h || p) desc nulls last) as k
+  from parts left join (values {_RULES}) r(h, p, v)
+    on (host = h or ends_with(host, '.' || h)) and starts_with(path, p))
+select page_id, host, path, rule, coalesce(v, '{urls.DEFAULT}') as verdict from judged where k = 1""",
+    "op5_mix": rf"""with rows as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+    ('0x' || substr(md5('17:' || coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')), 1, 15))::bigint as place
+  from documents),
+ sources as (
+  select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) - 1 as nth from rows group by source),
+ caps as (select *, [{", ".join(map(str, mixing.WEIGHTS))}][nth % {len(mixing.WEIGHTS)} + 1] as w, source_size * {mixing.EPOCHS} as cap from sources),
+ levels as (
+  select *, (sum(source_size) over () * {mixing.SHARE}::double - coalesce(sum(cap) over before, 0))
+      / (sum(w) over () - coalesce(sum(w) over before, 0)) as here
+  from caps window before as (order by cap::double / w, nth rows between unbounded preceding and 1 preceding)),
+ level as (select arg_min(here, (cap::double / w, nth)) as level from levels where here * w < cap),
+ targets as (select source as s, source_size, least(cap::double, coalesce(level * w, cap::double)) as target from levels, level),
+ goals as (select *, case when source_size = 0 then 0 when target >= 2 * source_size then 2 when target >= source_size then 1 else 0 end as whole
+  from targets),
+ ordered as (
+  select rows.*, source_size, target, whole, target - whole * source_size as goal,
+    sum(size) over (partition by source order by place rows unbounded preceding) as after
+  from rows join goals on source is not distinct from s)
+select doc_id, size, source_size, target,
+  (size * (whole + case when after <= goal or (after - size <= goal and abs(after - goal) < abs(after - size - goal)) then 1 else 0 end))::bigint as taken
+from ordered""",
+    "op7_exact_dedup": r"""with rows as (
+  select doc_id, coalesce(text, '') as text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as kept_text from documents)
+select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partition by kept_text) as group_size,
+  row_number() over best = 1 as kept, sha256(kept_text) as text_sha256
+from rows window best as (partition by kept_text order by length(text) desc, doc_id nulls last rows between unbounded preceding and unbounded following)""",
+}
