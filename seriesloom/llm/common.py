@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from ..session import scratch_dir
 
 #: Bytes of text that a Python step turns into objects at a time; a longer text stands alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 #: The six characters of ``[\x20\x09-\x0D]``.
 WHITE = " \t\n\x0b\x0c\r"
@@ -60,6 +60,7 @@ def map_texts(docs: DataFrame, schema: str, work: Callable, id_col: str = "doc_i
             for part in slices(batch):
                 made = work(part.column("text").to_pylist())
                 yield pa.record_batch([part.column("doc_id"), *(pa.array(made[name], type=of) for name, of in types.items())], names=["doc_id", *types])
+            pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, f"doc_id {kind}, {schema}")
 
@@ -68,20 +69,14 @@ def arrow_types(schema: str) -> dict[str, pa.DataType]:
     return {field.name: field.type for field in to_arrow_schema(StructType.fromDDL(schema))}
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], purpose: str = "groups") -> DataFrame:
     """Inner join of per-group facts back to the rows of their groups, for groups of any size.
 
-    ``groups`` has one row per key and in ``size`` its number of rows; keys must not be null. Groups above a
-    thousandth of all rows, so at most a thousand, are broadcast as a list; their rows are dealt over as many
-    salts as they hold thousandths, and their facts repeated per salt. Nothing depends on the size of the input.
+    The facts, one row per key, are written and read again, so that both sides of the join come from an exchange
+    of its own: adaptive execution then splits the partitions of large groups, and broadcasts the facts only when
+    it has measured them to be small.
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
-    part = max(1, total // 1000)
-    salts = F.ceil(F.col(size) / F.lit(part)).cast("int")
-    hot = groups.where(F.col(size) > part).select(*keys, salts.alias("_salts"))
-    spread = rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("_salts")).cast("int"), F.lit(0))).drop("_salts")
-    repeated = groups.withColumn("_salt", F.explode(F.when(F.col(size) > part, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))))
-    return spread.join(repeated, [*keys, "_salt"]).drop("_salt")
+    return rows.join(stored(groups, purpose), keys)
 
 
 def words(text: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -88,13 +90,13 @@ def _keys(texts: list[bytes]) -> list[str]:
     return [f"{len(t):x}-{p.astype('>u4').tobytes().hex()}" for t, p in zip(texts, fingerprints(texts), strict=True)]
 
 
-def _describe(texts: list[bytes]) -> dict[str, list]:
+def _describe(keys: Callable, texts: list[bytes]) -> dict[str, list]:
     kept = [t.translate(None, WHITE_BYTES) for t in texts]
     chars = [len(t) - np.count_nonzero(np.frombuffer(t, np.uint8) & 0xC0 == 0x80) for t in texts]
-    return {"fingerprint": _keys(kept), "text_sha256": [hashlib.sha256(t).hexdigest() for t in kept], "n_points": chars}
+    return {"fingerprint": keys(kept), "text_sha256": [hashlib.sha256(t).hexdigest() for t in kept], "n_points": chars}
 
 
-def mismatches(docs: DataFrame, keys: DataFrame, text_col: str = "text") -> DataFrame:
+def mismatches(docs: DataFrame, keys: DataFrame, text_col: str = "text", keys_of: Callable = _keys) -> DataFrame:
     """Keys whose texts differ somewhere though length and fingerprint agree.
 
     Only texts whose key may be in ``keys`` travel, cut into pieces: the executors test a bitmap of 2^20 hash
@@ -118,7 +120,7 @@ def mismatches(docs: DataFrame, keys: DataFrame, text_col: str = "text") -> Data
         for batch in batches:
             for part in slices(batch):
                 kept = [t.translate(None, WHITE_BYTES) for t in part.column("text").to_pylist()]
-                names = _keys(kept)
+                names = keys_of(kept)
                 out = [(n, at, t[at:at + PIECE]) for n, t in zip(names, kept, strict=True) if wanted[zlib.crc32(n.encode()) % buckets] for at in range(0, len(t), PIECE)]
                 yield pa.record_batch([pa.array([x[i] for x in out], of.type) for i, of in enumerate(schema)], schema=schema)
 
@@ -127,25 +129,27 @@ def mismatches(docs: DataFrame, keys: DataFrame, text_col: str = "text") -> Data
     return ends.where("low != high").select("fingerprint").distinct()
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys_of: Callable = _keys) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical without white space; a null text is the empty one, and all such rows are one
     group. Of a group the row with the most code points stays, then the smallest id (a null id comes last); of
     rows that agree in text and id too, one stays. Groups come from length and fingerprint; where the comparison
     finds a difference, the group is divided by the digest of its texts. An empty table gives no rows; other
-    columns are not read.
+    columns are not read. ``keys_of`` gives texts their fingerprints as strings.
     """
-    rows = stored(map_texts(docs, "fingerprint string, text_sha256 string, n_points long", _describe, id_col, text_col, raw=True), "exact-rows")
+    describe = functools.partial(_describe, keys_of)
+    rows = stored(map_texts(docs, "fingerprint string, text_sha256 string, n_points long", describe, id_col, text_col, raw=True), "exact-rows")
     several = stored(rows.groupBy("fingerprint").count().where("count > 1"), "exact-groups")
-    clash = mismatches(docs, several, text_col)
+    clash = mismatches(docs, several, text_col, keys_of)
     part = F.when(F.col("clash"), F.col("text_sha256")).otherwise("")
-    same = rows.join(clash.withColumn("clash", F.lit(True)), "fingerprint", "left").withColumn("part", part)
+    # written first: the join can then split a large group, and the grouping has an exchange of its own
+    same = stored(rows.join(clash.withColumn("clash", F.lit(True)), "fingerprint", "left").withColumn("part", part), "exact-same")
     same = stored(same.groupBy("fingerprint", "part", "text_sha256", "n_points", "doc_id").agg(F.count("*").alias("n")), "exact-parts")
     order = F.struct((-F.col("n_points")).alias("n"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
-    best = same.groupBy("fingerprint", "part").agg(F.min(order).alias("best"), F.sum("n").alias("group_size"), F.count("*").alias("several"))
-    best = stored(best, "exact-best").select("fingerprint", "part", F.col("best.id").alias("keep_id"), F.col("best.n").alias("keep_n"), "group_size", "several")
-    joined = join_groups(same, best, ["fingerprint", "part"], "several")
+    best = same.groupBy("fingerprint", "part").agg(F.min(order).alias("best"), F.sum("n").alias("group_size"))
+    best = best.select("fingerprint", "part", F.col("best.id").alias("keep_id"), F.col("best.n").alias("keep_n"), "group_size")
+    joined = join_groups(same, best, ["fingerprint", "part"], "exact-best")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == -F.col("keep_n"))
     each = F.transform(F.sequence(F.lit(1), F.col("n").cast("int")), lambda i: stays & (i == 1))
     return joined.select("doc_id", "keep_id", "group_size", F.explode(each).alias("kept"), "text_sha256")

@@ -5,17 +5,20 @@
 2. A class is posted under its signature's (coordinate, value) tokens. Two signatures that agree in ``MATCHES``
    coordinates share a token among their first ``COORDINATES - MATCHES + 1`` in any common order, so only that prefix
    is posted; tokens known to be frequent come last in the order.
-3. Posts of a token meet in lists. Each list first names a hub and proposes the pairs with it; pairs with enough equal
-   coordinates are confirmed on the full sets, and what is linked needs no further pair. Two rounds with
-   different hubs join large groups of copies without their pairs. In lists that still hold several
-   components, rows are merged in order of set size, skipping from where sizes differ too much.
-4. Confirmed links become components by large-star and small-star steps.
-
-A link of similarity 0.75 is missed when fewer than 28 of 64 coordinates agree: 2.5e-8, less above.
+3. Posts of a token meet in lists, in three passes. First each list proposes the pairs with its hub: large groups of
+   copies are joined without their pairs. Then, in lists that still hold several components, rows are merged in order
+   of set size, skipping from where sizes differ too much, equal coordinates are counted, and every row proposes the
+   nearest row of another component, as in a spanning forest. Last, all pairs that remain are proposed.
+4. A proposed pair also has to pass a bound that is never wrong: the bits in which the parities of two sets' hash
+   buckets differ are at most their symmetric difference, and linked sets differ in a seventh of their sizes' sum at
+   most. What passes is confirmed on the full sets; linked pairs become components by large-star and small-star steps.
+
+A link of similarity 0.75 is missed when fewer than 10 of 32 coordinates agree: 3.4e-8, less above.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,52 +32,92 @@ from .common import SLICE_BYTES, join_groups, map_texts, slices, stored
 SHINGLE = 5
 #: Similarity in hundredths from which texts are linked.
 SIMILARITY = 75
-COORDINATES, MATCHES = 64, 28
+COORDINATES, MATCHES = 32, 10
 PREFIX = COORDINATES - MATCHES + 1
+#: Buckets of which a sketch holds the parity.
+PARITIES = 1024
+SKETCH = COORDINATES + PARITIES // 8
 #: Tokens in more than a thousandth of a partition's classes are frequent; so many of them are told to all tasks.
 FREQUENT, SHARE = 1 << 16, 1000
 #: Rows of a block of a list, and buckets of ids that preselect texts: bounds of their own.
 BLOCK, BUCKETS = 2048, 1 << 18
-HUB_ROUNDS = 2
+#: Parts of a frequent token's list that have a hub of their own.
+PARTS = 64
 #: Salts over which the pairs of one hub are confirmed.
 SALTS = 16
 
+#: Bytes of text whose words are hashed at a time.
+PART = 1 << 18
+
+_IS_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.random.default_rng(1).integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.default_rng(2).integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 
 
-class _Words(dict):
-    """Hash of each word seen, forgotten when there are a million."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_WORDS = _Words()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
 
 
-def shingles(text: bytes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's five-word runs; of all its words together if they are fewer."""
-    words = text.translate(_LOWER).split()
-    ids = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    if not len(ids):
-        return ids
-    size = min(SHINGLE, len(ids))
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and place of every word: a polynomial in its bytes modulo 2^64, from sums over the whole data."""
+    hashes, places, at = [], [], 0
+    while at < len(data):
+        end = min(len(data), at + PART)
+        while end < len(data) and not _IS_WHITE[data[end]]:  # no word is cut
+            end += 1
+        part = np.frombuffer(data, np.uint8, end - at, at)
+        power, back = _powers(len(part))
+        edges = np.flatnonzero(np.diff(np.r_[True, _IS_WHITE[part], True].view(np.int8)))
+        starts, ends = edges[0::2], edges[1::2]
+        sums = np.cumsum((part + np.uint64(1)) * power)
+        sums = np.r_[np.zeros(1, np.uint64), sums]
+        hashes.append(_mixed((sums[ends] - sums[starts]) * back[starts]))
+        places.append(starts + at)
+        at = end
+    return (np.concatenate(hashes), np.concatenate(places)) if hashes else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+@functools.lru_cache(maxsize=1)
+def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    base = 0x9E3779B97F4A7C15
+    made = []
+    for factor in (base, pow(base, -1, 1 << 64)):
+        powers = np.full(size, factor, np.uint64)
+        powers[0] = 1
+        made.append(np.multiply.accumulate(powers))
+    return made[0], made[1]
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse; the usual size is kept."""
+    power, back = _tables(max(size, PART + 256))
+    return power[:size], back[:size]
+
+
+def shingles(texts: list[bytes]) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's five-word runs; of all its words together if they are fewer."""
+    ids, places = _word_hashes(b"\n".join(texts).translate(_LOWER))
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    first = np.searchsorted(places, begins)
+    runs = _runs(ids, SHINGLE) if len(ids) >= SHINGLE else ids[:0]
+    out = []
+    for begin, end in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        n = end - begin
+        own = runs[begin : end - SHINGLE + 1] if n >= SHINGLE else _runs(ids[begin:end], n) if n else ids[:0]
+        out.append(np.unique(own))
+    return out
+
+
+def _runs(ids: np.ndarray, size: int) -> np.ndarray:
+    """One hash per run of ``size`` words."""
     runs = np.full(len(ids) - size + 1, size, np.uint64)
     for at in range(size):
         runs = (runs + ids[at : len(ids) - size + 1 + at]) * _MIX
-    return np.unique(_mixed(runs))
+    return _mixed(runs)
 
 
 def set_key(hashes: np.ndarray) -> bytes:
@@ -92,15 +135,37 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def parities(hashes: np.ndarray) -> bytes:
+    """Whether each bucket of the hashes' upper bits holds an odd number of them."""
+    counts = np.bincount((hashes >> np.uint64(54)).astype(np.int64), minlength=PARITIES)
+    return np.packbits((counts & 1).astype(bool)).tobytes()
+
+
+def _sketched(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """A byte of each coordinate, and the parities as words."""
+    flat = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
+    return flat[:, :COORDINATES], np.ascontiguousarray(flat[:, COORDINATES:]).view(np.uint64)
+
+
+def _differing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Parities that differ: at most the elements that only one of the sets has."""
+    return np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+
+
+def _bounded(differing: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether sets that differ so much may be linked: difference * (100 + 75) <= (100 - 75) * sum of sizes."""
+    return differing * (100 + SIMILARITY) <= (100 - SIMILARITY) * sizes
+
+
 def _describe(texts: list[bytes]) -> dict[str, list]:
-    sets = [shingles(t) for t in texts]
+    sets = shingles(texts)
     some = [n for n, s in enumerate(sets) if len(s)]
     signed = dict(zip(some, signatures([sets[n] for n in some]), strict=True)) if some else {}
     return {
         "n_shingles": [len(s) for s in sets],
         "key": [set_key(s) if len(s) else None for s in sets],
         "signature": [signed[n].tobytes() if n in signed else None for n in range(len(sets))],
-        "low": [signed[n].astype(np.uint8).tobytes() if n in signed else None for n in range(len(sets))],
+        "sketch": [signed[n].astype(np.uint8).tobytes() + parities(sets[n]) if n in signed else None for n in range(len(sets))],
     }
 
 
@@ -168,81 +233,110 @@ def posts(classes: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def lists(classes: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """token, key, n, low for the posts of all tokens that have several; ``low`` has a byte of each coordinate.
+    """token, key, n, part, blocks for the posts of all tokens that have several.
 
-    A frequent token's posts are dealt over salts, so the windows that count posts are bounded.
+    A frequent token's posts are dealt over parts, so the windows that count posts are bounded. ``blocks`` is how
+    many blocks the token's list needs at most: frequent tokens are known to miss a thousandth of the classes.
     """
     found = posts(classes, frequent)
-    found = found.withColumn("salt", F.when(F.col("often") > 0, F.pmod(F.xxhash64("key"), F.lit(64))).otherwise(F.lit(0).cast("long")))
-    counted = found.withColumn("several", F.count("*").over(Window.partitionBy("token", "salt")) > 1).where("several or often > 0")
-    return counted.select("token", "key", "n").join(classes.select("key", "low"), "key")
+    part = F.when(F.col("often") > 0, F.pmod(F.xxhash64("key"), F.lit(PARTS))).otherwise(0).cast("int")
+    counted = found.withColumn("part", part).withColumn("rows", F.count("*").over(Window.partitionBy("token", "part")))
+    longest = F.when(F.col("often") > 0, F.col("often") + classes.count() // SHARE).otherwise(F.col("rows"))
+    several = counted.where("rows > 1 or often > 0").withColumn("blocks", F.ceil(longest / BLOCK).cast("int"))
+    return several.select("token", "key", "n", "part", "blocks")
 
 
-def _near(small: Column, large: Column) -> Column:
-    """Whether set sizes allow the similarity."""
-    return F.least(small, large) * 100 >= F.greatest(small, large) * SIMILARITY
+def _runs_of(table: pa.Table, columns: tuple[str, ...]) -> np.ndarray:
+    """Where a new list, or part of one, begins."""
+    keys = [np.asarray(table.column(c)) for c in columns]
+    return np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)]
 
 
-def matching(pairs: DataFrame) -> DataFrame:
-    """Distinct a, b with ``MATCHES`` equal coordinates or more, from a, b, low_a, low_b."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COORDINATES) for c in ("low_a", "low_b"))
-            kept = pa.array((left == right).sum(axis=1) >= MATCHES)
-            yield pa.record_batch([batch.column(c).filter(kept) for c in ("a", "b")], names=["a", "b"])
+def _proposed(a: np.ndarray, b: np.ndarray, table: pa.Table) -> pa.RecordBatch:
+    """Rows ``a`` and ``b`` as pairs of keys with their texts' buckets, the smaller key first."""
+    key, bucket = np.array(table.column("key").to_pylist(), dtype=object), np.asarray(table.column("bucket"))
+    pairs = sorted({min((key[x], key[y], bucket[x], bucket[y]), (key[y], key[x], bucket[y], bucket[x])) for x, y in zip(a.tolist(), b.tolist(), strict=True)})
+    types = (pa.binary(), pa.binary(), pa.int32(), pa.int32())
+    return pa.record_batch([pa.array([p[i] for p in pairs], t) for i, t in enumerate(types)], names=["a", "b", "bucket_a", "bucket_b"])
 
-    return pairs.select("a", "b", "low_a", "low_b").mapInArrow(run, "a binary, b binary").distinct()
 
+_PAIRS = "a binary, b binary, bucket_a int, bucket_b int"
 
-def hub_pairs(posted: DataFrame, turn: int) -> DataFrame:
-    """a, b, low_a, low_b: every row of a list with the list's hub, another in every turn."""
-    order = F.xxhash64(F.col("key"), F.lit(turn))
-    hubs = posted.groupBy("token").agg(F.min(F.struct(order.alias("o"), "key", "n", "low")).alias("hub"), F.count("*").alias("rows"))
-    joined = join_groups(posted, stored(hubs.where("rows > 1"), "near-hubs"), ["token"], "rows")
-    pairs = joined.where((F.col("key") != F.col("hub.key")) & _near(F.col("n"), F.col("hub.n")))
-    return pairs.select(F.col("hub.key").alias("a"), F.col("key").alias("b"), F.col("hub.low").alias("low_a"), F.col("low").alias("low_b")).dropDuplicates(["a", "b"])
 
+def hub_pairs(posted: DataFrame, facts: DataFrame) -> DataFrame:
+    """The rows of every list, or part of a frequent one, that may be linked with its first row.
 
-def rest_pairs(posted: DataFrame) -> DataFrame:
-    """Distinct a, b of different components with enough equal coordinates, from all lists (token, key, n, low, component).
+    ``facts`` has sketch and bucket of each key. Lists stream by; a task remembers the open list's hub alone.
+    """
+    rows = posted.select("token", "part", "key", "n").join(facts.select("key", "sketch", "bucket"), "key")
+    rows = rows.repartition("token", "part").sortWithinPartitions("token", "part", "key")
 
-    A list longer than a block is dealt over pairs of blocks, so that no task holds a list. Rows come in order of
-    size; each is compared with the rows behind it until their size is too large, then with none.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if hub is None else pa.concat_tables([hub, table])
+            starts = np.flatnonzero(_runs_of(table, ("token", "part")))
+            of = np.repeat(starts, np.diff(np.r_[starts, table.num_rows]))
+            here = np.arange(table.num_rows)
+            of, here = of[of != here], here[of != here]
+            n, (low, odd) = np.asarray(table.column("n")), _sketched(table.column("sketch"))
+            sizes = n[of] + n[here]
+            kept = np.minimum(n[of], n[here]) * 100 >= np.maximum(n[of], n[here]) * SIMILARITY
+            kept &= _bounded(_differing(odd[of], odd[here]), sizes) & ((low[of] == low[here]).sum(axis=1) >= MATCHES)
+            yield _proposed(of[kept], here[kept], table)
+            hub = table.slice(starts[-1], 1)
+
+    return rows.mapInArrow(run, _PAIRS).distinct()
+
+
+def rest_pairs(posted: DataFrame, facts: DataFrame, linked: DataFrame, nearest: bool) -> DataFrame:
+    """Distinct pairs of different components that may be linked, from all lists.
+
+    ``linked`` names the components of keys that have links. A list longer than a block is dealt over pairs of
+    blocks, so that no task holds a list. Rows come in order of size; each is compared with the rows behind it
+    until their size is too large, then with none. ``nearest`` leaves each row of a block its nearest partner only.
     """
-    counted = posted.groupBy("token").agg(F.count("*").alias("rows"))
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    rows = join_groups(posted, stored(counted, "near-counts"), ["token"], "rows").withColumn("_blocks", blocks)
-    rows = rows.withColumn("_own", F.pmod(F.xxhash64("key"), F.col("_blocks")).cast("int"))
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    rows = rows.select("token", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), F.col("_own").alias("own"), "key", "n", "low", "component")
+    known = facts.select("key", "sketch", "bucket").join(linked, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    rows = posted.join(known, "key").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "n", "sketch", "bucket", "component")
     rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             table = pa.Table.from_batches([batch])
             table = table if held is None else pa.concat_tables([held, table])
-            keys = [np.asarray(table.column(c)) for c in ("token", "i", "j")]
-            last = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)])[-1]
+            last = int(np.flatnonzero(_runs_of(table, ("token", "i", "j")))[-1])
             held = table.slice(last)
             if last:
-                yield _compared(table.slice(0, last))
+                yield _compared(table.slice(0, last), nearest)
         if held is not None:
-            yield _compared(held)
-
-    return rows.mapInArrow(run, "a binary, b binary").distinct()
-
-
-def _compared(table: pa.Table) -> pa.RecordBatch:
-    token, i, j, own, n = (np.asarray(table.column(c)) for c in ("token", "i", "j", "own", "n"))
-    key, component, low = (np.array(table.column(c).to_pylist(), dtype=object) for c in ("key", "component", "low"))
-    low = np.frombuffer(b"".join(low), np.uint8).reshape(-1, COORDINATES)
-    number = np.unique(component, return_inverse=True)[1]
-    starts = np.r_[True, (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
-    ends = np.r_[np.flatnonzero(starts)[1:], len(token)][np.cumsum(starts) - 1]
-    pairs: set[tuple[bytes, bytes]] = set()
-    left, step = np.arange(len(token)), 1
+            yield _compared(held, nearest)
+
+    return rows.mapInArrow(run, _PAIRS).distinct()
+
+
+def _compared(table: pa.Table, nearest: bool) -> pa.RecordBatch:
+    number = np.unique(np.array(table.column("component").to_pylist(), dtype=object), return_inverse=True)[1]
+    starts = np.flatnonzero(_runs_of(table, ("token", "i", "j")))
+    mixed = np.minimum.reduceat(number, starts) != np.maximum.reduceat(number, starts)
+    keep = np.repeat(mixed, np.diff(np.r_[starts, table.num_rows]))
+    table, number = table.filter(pa.array(keep)), number[keep]  # lists of one component have nothing to add
+    i, j, own, n = (np.asarray(table.column(c)) for c in ("i", "j", "own", "n"))
+    if not len(n):
+        return _proposed(n, n, table)
+    low, odd = _sketched(table.column("sketch"))
+    starts = _runs_of(table, ("token", "i", "j"))
+    ends = np.r_[np.flatnonzero(starts)[1:], len(n)][np.cumsum(starts) - 1]
+    best, partner = np.full(len(n), np.inf), np.full(len(n), -1)
+    found_a, found_b = [], []
+    left, step = np.arange(len(n)), 1
     while len(left):
         left = left[left + step < ends[left]]
         left = left[n[left + step] * SIMILARITY <= n[left] * 100]  # sizes only grow from here
@@ -251,60 +345,72 @@ def _compared(table: pa.Table) -> pa.RecordBatch:
         a, b = left[tried], other[tried]
         for at in range(0, len(a), 65536):
             x, y = a[at : at + 65536], b[at : at + 65536]
-            alike = (low[x] == low[y]).sum(axis=1) >= MATCHES
-            pairs.update((min(p), max(p)) for p in zip(key[x[alike]], key[y[alike]], strict=True))
+            differing, sizes = _differing(odd[x], odd[y]), n[x] + n[y]
+            alike = _bounded(differing, sizes) & ((low[x] == low[y]).sum(axis=1) >= MATCHES)
+            x, y, far = x[alike], y[alike], (differing / sizes)[alike]
+            if nearest:
+                for one, two in ((x, y), (y, x)):
+                    closer = far < best[one]
+                    best[one[closer]], partner[one[closer]] = far[closer], two[closer]
+            else:
+                found_a.append(x)
+                found_b.append(y)
         step += 1
-    both = sorted(pairs)
-    return pa.record_batch([pa.array([p[k] for p in both], pa.binary()) for k in (0, 1)], names=["a", "b"])
+    if nearest:
+        some = np.flatnonzero(partner >= 0)
+        return _proposed(some, partner[some], table)
+    none = [np.zeros(0, np.int64)]
+    return _proposed(np.concatenate(found_a or none), np.concatenate(found_b or none), table)
 
 
-def sets_of(docs: DataFrame, classes: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """key, n, hashes: the full sets of the classes named in ``keys``, from the text of one row of each.
+def sets_of(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """key, hashes: the full sets of the classes in ``pairs``, each from one text.
 
-    Ids choose the texts, first by a bounded number of hash buckets, then exactly; the key computed from the text
-    decides, as an id may be null or occur with several texts.
+    Buckets of ids, of which there is a fixed number, choose the texts. The key computed from a text decides, as an id may
+    be null or occur with several texts.
     """
-    wanted = stored(keys.join(classes.select("key", "first_id"), "key"), "near-wanted")
-    bucket = F.pmod(F.xxhash64(id_col), F.lit(BUCKETS)).cast("int")
-    buckets = wanted.select(F.pmod(F.xxhash64("first_id"), F.lit(BUCKETS)).cast("int").alias("_bucket")).distinct()
-    rows = docs.select(F.col(id_col), F.col(text_col)).where(F.col(text_col).isNotNull()).withColumn("_bucket", bucket)
-    rows = rows.join(F.broadcast(buckets), "_bucket", "left_semi").drop("_bucket")
-    ids = wanted.select(F.col("first_id").alias("_first")).distinct()
-    rows = rows.join(ids, F.col(id_col).eqNullSafe(F.col("_first")), "left_semi").select(F.col(text_col).cast("binary").alias("text"))
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("key"), F.col("bucket_a").alias("bucket")), F.struct(F.col("b").alias("key"), F.col("bucket_b").alias("bucket")))).alias("end"))
+    wanted = stored(ends.select("end.key", "end.bucket").distinct(), "near-wanted")
+    rows = docs.select(F.col(text_col).alias("text"), _bucket(F.col(id_col)).alias("bucket")).where("text is not null")
+    rows = rows.join(F.broadcast(wanted.select("bucket").distinct()), "bucket", "left_semi").select(F.col("text").cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, limit=SLICE_BYTES // 2):
-                sets = [s for s in map(shingles, part.column("text").to_pylist()) if len(s)]
+                sets = [s for s in shingles(part.column("text").to_pylist()) if len(s)]
                 yield pa.record_batch([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "hashes"])
 
     found = rows.mapInArrow(run, "key binary, hashes binary").join(wanted.select("key"), "key", "left_semi")
     return found.dropDuplicates(["key"])
 
 
+def _bucket(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(BUCKETS)).cast("int")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough.
 
-    The pairs of a hub are dealt over salts; on each, the hub's set comes first and its partners' sets stream by.
+    The pairs of a key are dealt over salts; on each, the key's own set comes first and its partners' sets stream by.
     """
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
-    partners = salted.join(sets, F.col("b") == F.col("key")).select("a", "salt", F.lit(1).alias("kind"), "b", "hashes")
-    hubs = salted.select("a", "salt").distinct().join(sets, F.col("a") == F.col("key")).select("a", "salt", F.lit(0).alias("kind"), F.col("a").alias("b"), "hashes")
-    rows = hubs.unionByName(partners).repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
+    salted = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int").alias("salt"))
+    asked = salted.select("a", "salt", F.lit(0).alias("kind"), F.col("a").alias("key")).distinct().unionByName(salted.select("a", "salt", F.lit(1).alias("kind"), F.col("b").alias("key")))
+    rows = asked.join(sets, "key").repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, own = None, np.zeros(0, np.uint64)
         for batch in batches:
             out = []
-            for a, kind, b, data in zip(*(batch.column(c).to_pylist() for c in ("a", "kind", "b", "hashes")), strict=True):
-                hashes = np.frombuffer(data, np.uint64)
-                if kind == 0:
-                    hub, own = a, hashes
-                elif a == hub:
-                    place = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
-                    common = int((own[place] == hashes).sum())
-                    if 100 * common >= SIMILARITY * (len(own) + len(hashes) - common):
-                        out.append((a, b))
+            for part in slices(batch, "hashes"):
+                for a, kind, key, data in zip(*(part.column(c).to_pylist() for c in ("a", "kind", "key", "hashes")), strict=True):
+                    hashes = np.frombuffer(data, np.uint64)
+                    if kind == 0:
+                        hub, own = a, hashes
+                    elif a == hub:
+                        place = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
+                        common = int((own[place] == hashes).sum())
+                        if 100 * common >= SIMILARITY * (len(own) + len(hashes) - common):
+                            out.append((a, key))
             yield pa.record_batch([pa.array([p[k] for p in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
     return rows.mapInArrow(run, "a binary, b binary")
@@ -320,8 +426,8 @@ def components(links: DataFrame) -> DataFrame:
     def star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
         both = both.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))) if large else both
-        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("rows")).withColumn("m", F.least("u", "m"))
-        joined = join_groups(both, stored(least, "star-least"), ["u"], "rows")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        joined = join_groups(both, least, ["u"], "star-least")
         if large:
             made = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         else:
@@ -340,38 +446,32 @@ def components(links: DataFrame) -> DataFrame:
             break
         before = after
     tied = edges.select(F.col("a").alias("key"), F.col("b").alias("component"))
-    return tied.unionByName(tied.select(F.col("component").alias("key"), "component").distinct())
+    return stored(tied.unionByName(tied.select(F.col("component").alias("key"), "component").distinct()), "near-components")
 
 
 def near_classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (doc_id, n_shingles, key), classes (key, n_shingles, first_id, members) and components of keys."""
-    rows = stored(map_texts(docs, "n_shingles long, key binary, signature binary, low binary", _describe, id_col, text_col, raw=True), "near-rows")
-    best = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "n_shingles", "signature", "low")
-    classes = rows.where("n_shingles > 0").groupBy("key").agg(F.min(best).alias("best"), F.count("*").alias("members"))
-    classes = stored(classes.select("key", "members", F.col("best.id").alias("first_id"), "best.n_shingles", "best.signature", "best.low"), "near-classes")
-    frequent = frequent_tokens(classes)
-    posted = stored(lists(classes, frequent), "near-lists")
-    links = _confirm(docs, classes, matching(hub_pairs(posted, 0)), id_col, text_col)
-    linked = stored(components(links), "near-components")
-    for turn in range(1, HUB_ROUNDS + 1):
-        posted = stored(_unsettled(posted.drop("component"), linked), "near-lists")
-        pairs = matching(hub_pairs(posted, turn)) if turn < HUB_ROUNDS else rest_pairs(posted)
-        links = stored(links.unionByName(_confirm(docs, classes, pairs, id_col, text_col)), "near-links")
-        linked = stored(components(links), "near-components")
+    """Rows (doc_id, n_shingles, key), classes (key, n_shingles, first_id) and components of keys."""
+    rows = stored(map_texts(docs, "n_shingles long, key binary, signature binary, sketch binary", _describe, id_col, text_col, raw=True), "near-rows")
+    best = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "n_shingles", "signature", "sketch")
+    classes = rows.where("n_shingles > 0").groupBy("key").agg(F.min(best).alias("best"))
+    classes = stored(classes.select("key", F.col("best.id").alias("first_id"), "best.n_shingles", "best.signature", "best.sketch"), "near-classes")
+    facts = classes.withColumn("bucket", _bucket(F.col("first_id")))
+    posted = stored(lists(classes, frequent_tokens(classes)), "near-lists")
+    links = _confirm(docs, hub_pairs(posted, facts), id_col, text_col)
+    # a first sketch of the components is enough to leave out most pairs
+    ends = F.explode(F.array(F.struct(F.col("b").alias("key"), F.col("a").alias("component")), F.struct(F.col("a").alias("key"), F.col("a").alias("component"))))
+    rough = links.select(ends.alias("end")).groupBy("end.key").agg(F.min("end.component").alias("component"))
+    near = _confirm(docs, rest_pairs(posted, facts, rough, True), id_col, text_col)
+    linked = components(links.unionByName(near))
+    last = _confirm(docs, rest_pairs(posted, facts, linked, False), id_col, text_col)
+    if not last.isEmpty():
+        linked = components(linked.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(last))
     return rows, classes, linked
 
 
-def _unsettled(posted: DataFrame, linked: DataFrame) -> DataFrame:
-    """The lists that hold several components, with each row's."""
-    rows = posted.join(linked, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    mixed = rows.groupBy("token").agg(F.min("component").alias("low_c"), F.max("component").alias("high_c")).where("low_c != high_c")
-    return rows.join(mixed.select("token"), "token", "left_semi")
-
-
-def _confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _confirm(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     pairs = stored(pairs, "near-pairs")
-    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    return stored(confirmed(pairs, sets_of(docs, classes, keys, id_col, text_col)), "near-links")
+    return stored(confirmed(pairs, sets_of(docs, pairs, id_col, text_col)), "near-links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -385,12 +485,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows, classes, linked = near_classes(docs, id_col, text_col)
     facts = classes.join(linked, "key", "left").withColumn("component", F.coalesce("component", "key"))
     first = F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id").alias("id"), F.col("key").alias("best_key"))
-    heads = facts.groupBy("component").agg(F.min(first).alias("first"), F.count("*").alias("several"))
-    facts = join_groups(facts.select("key", "component", "members"), stored(heads, "near-heads"), ["component"], "several")
+    heads = facts.groupBy("component").agg(F.min(first).alias("first"))
+    facts = join_groups(facts.select("key", "component"), heads, ["component"], "near-heads")
     same = rows.where("n_shingles > 0").groupBy("key", "doc_id", "n_shingles").agg(F.count("*").alias("times"))
-    sizes = stored(same, "near-same")
-    facts = facts.drop("members", "several").join(sizes.groupBy("key").agg(F.count("*").alias("several")), "key")
-    joined = join_groups(sizes, stored(facts.select("key", "first", "several"), "near-facts"), ["key"], "several")
+    joined = join_groups(same, facts.select("key", "first"), ["key"], "near-facts")
     stays = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.best_key"))
     each = F.transform(F.sequence(F.lit(1), F.col("times").cast("int")), lambda i: stays & (i == 1))
     some = joined.select("doc_id", "n_shingles", F.col("first.id").alias("component_id"), F.explode(each).alias("kept"))
