@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame
 
 from .common import SLICE_BYTES, map_texts
 
+#: White space as the vocabulary file's pattern means it.
 _WHITE = r"\t-\r \x85\xa0  -     　"
 #: The vocabulary file's own pattern, white space spelled out.
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_WHITE}\p{{L}}\p{{N}}]+"
 #: Encoded words that a worker remembers, and their longest length in bytes.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 150_000, 64
 NONE = np.int64(1 << 40)
 
 
@@ -55,98 +56,104 @@ class Bpe:
             raise ValueError("merges are not in the order of their making")
         order = np.argsort(keys)
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made[order]
-        self.pattern = regex.compile(PATTERN)
+        self.pattern = regex.compile(rf"\n|{PATTERN}")
         self.marks = regex.compile("|".join(regex.escape(s) for s in self.special)) if self.special else None
         self.known: dict[bytes, bytes] = {}
 
-    def _words(self, chunk: bytes) -> Iterator[bytes | int]:
-        """The words of a text without ASCII white space, as bytes; the id of a special token as it is."""
-        text = chunk.decode()
-        at = 0
-        for mark in self.marks.finditer(text) if self.marks and "<" in text else ():
-            yield from self._plain_words(text[at : mark.start()])
-            yield self.special[mark[0]]
-            at = mark.end()
-        yield from self._plain_words(text[at:] if at else text)
-
-    def _plain_words(self, text: str) -> Iterator[bytes]:
+    def _words(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes of all words of texts without ASCII white space, the words' lengths, and each word's text.
+
+        All texts go through the normaliser and the pattern at once, a line each: no word, composition or
+        pattern crosses a line.
+        """
+        text = b"\n".join(chunks).decode()
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
             # letter by letter: a whole text's lower case would treat a last sigma otherwise
             text = "σ".join(part.lower() for part in text.split("Σ"))
         else:
             text = text.lower()
-        return (w.encode() for w in self.pattern.findall(text))
-
-    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words in one flat array, and how many each word has.
-
-        The symbols of all words lie in one array. In every round the ranks of neighbours are found by binary search
-        over the sorted pair keys, each word's lowest pair is merged from left to right, and words without a
-        pair leave. A word of n letters takes n rounds at most.
+        items = np.frombuffer(" ".join(self.pattern.findall(text)).encode() + b" ", np.uint8)
+        blanks = np.flatnonzero(items == 32)
+        starts = np.r_[0, blanks[:-1] + 1]
+        lines = items[starts] == 10
+        lengths, owner = (blanks - starts)[~lines], np.cumsum(lines)[~lines]
+        some = lengths > 0  # no item at all leaves one empty word
+        return items[(items != 32) & (items != 10)], lengths[some], owner[some]
+
+    def encode_words(self, raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in one flat array, and how many each word has, from the words' bytes and lengths.
+
+        The symbols of all words lie in one array. In every round the ranks of new neighbours are found by
+        binary search over the sorted pair keys, each word's lowest pair is merged from left to right, and words
+        without a pair leave. A word of n letters takes n rounds at most.
         """
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        raw = np.frombuffer(b"".join(words), np.uint8)
         symbols = self.inner[raw]
-        symbols[np.cumsum(lengths) - 1] = self.last[raw[np.cumsum(lengths) - 1]]
-        word = np.repeat(np.arange(len(words)), lengths)
+        ends = np.cumsum(lengths) - 1
+        symbols[ends] = self.last[raw[ends]]
+        word = np.repeat(np.arange(len(lengths)), lengths)
+        place, rank = self._ranks(symbols, word, np.arange(len(symbols)))
         done_symbols, done_words = [], []
         while len(symbols):
-            place, rank = self._ranks(symbols, word)
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             lowest = np.minimum.reduceat(rank, starts)
-            counts = np.diff(np.r_[starts, len(symbols)])
-            ends = np.repeat(lowest == NONE, counts)
-            if ends.any():
-                done_symbols.append(symbols[ends])
-                done_words.append(word[ends])
-            merge = (rank == np.repeat(lowest, counts)) & ~ends
-            at = np.flatnonzero(merge)
+            lowest = np.repeat(lowest, np.diff(np.r_[starts, len(symbols)]))
+            ready = lowest == NONE
+            if ready.any():
+                done_symbols.append(symbols[ready])
+                done_words.append(word[ready])
+            at = np.flatnonzero((rank == lowest) & ~ready)
+            left = ~ready
             if len(at):
                 # of pairs that overlap, as in a row of equal symbols, every second one from the left
                 runs = np.flatnonzero(np.r_[True, np.diff(at) > 1])
                 at = at[(np.arange(len(at)) - np.repeat(runs, np.diff(np.r_[runs, len(at)]))) % 2 == 0]
-                symbols = symbols.copy()
                 symbols[at] = self.made[place[at]]
-            left = ~ends
-            left[at + 1] = False
-            symbols, word = symbols[left], word[left]
+                left[at + 1] = False
+            fresh = np.cumsum(left)[at] - 1
+            symbols, word, place, rank = symbols[left], word[left], place[left], rank[left]
+            if len(at):
+                changed = np.zeros(len(symbols) + 1, bool)
+                changed[fresh] = changed[fresh - 1] = True  # place -1 is the spare one
+                changed = np.flatnonzero(changed[:-1])
+                place[changed], rank[changed] = self._ranks(symbols, word, changed)
         flat, owner = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (done_symbols, done_words))
         order = np.argsort(owner, kind="stable")
-        return flat[order], np.bincount(owner, minlength=len(words))
+        return flat[order], np.bincount(owner, minlength=len(lengths))
 
-    def _ranks(self, symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each symbol, where the pair that begins with it lies in the sorted keys, and its rank."""
-        pairs = symbols[:-1] * self.width + symbols[1:]
+    def _ranks(self, symbols: np.ndarray, word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For the pairs that begin ``at``, where they lie in the sorted keys, and their ranks."""
+        after = np.minimum(at + 1, len(symbols) - 1)
+        pairs = symbols[at] * self.width + symbols[after]
         place = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
-        found = (self.keys[place] == pairs) & (word[1:] == word[:-1])
-        rank = np.where(found, self.ranks[place], NONE)
-        return np.r_[place, 0], np.r_[rank, NONE]
+        found = (self.keys[place] == pairs) & (word[after] == word[at]) & (after > at)
+        return place, np.where(found, self.ranks[place], NONE)
 
     def _encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids of each chunk as little-endian 32-bit integers."""
-        items = [list(self._words(c)) for c in chunks]
-        flat, counts = self.encode_words([w for ws in items for w in ws if isinstance(w, bytes)])
-        data, ends = flat.astype("<u4").tobytes(), iter((np.cumsum(counts) * 4).tolist())
-        out, at = [], 0
-        for ws in items:
-            if any(not isinstance(w, bytes) for w in ws):
-                parts = []
-                for w in ws:
-                    if isinstance(w, bytes):
-                        end = next(ends)
-                        parts.append(data[at:end])
-                        at = end
-                    else:
-                        parts.append(w.to_bytes(4, "little"))
-                out.append(b"".join(parts))
-            else:
-                end = at
-                for _ in ws:
-                    end = next(ends)
-                out.append(data[at:end])
-                at = end
-        return out
+        """Ids of each text without ASCII white space as little-endian 32-bit integers."""
+        if not chunks:
+            return []
+        raw, lengths, owner = self._words(chunks)
+        if not len(lengths):
+            return [b""] * len(chunks)
+        flat, counts = self.encode_words(raw, lengths)
+        per_chunk = np.bincount(owner, weights=counts, minlength=len(chunks)).astype(np.int64)
+        data, ends = flat.astype("<u4").tobytes(), (4 * np.cumsum(per_chunk)).tolist()
+        return [data[begin:end] for begin, end in zip([0, *ends], ends, strict=False)]
+
+    def _encode_marked(self, chunks: list[bytes]) -> list[bytes]:
+        """The same for texts that hold special tokens, which stand for themselves."""
+        parts, marks = [], []
+        for chunk in chunks:
+            text, at, own = chunk.decode(), 0, []
+            for mark in self.marks.finditer(text):
+                parts.append(text[at : mark.start()].encode())
+                own.append(self.special[mark[0]].to_bytes(4, "little"))
+                at = mark.end()
+            parts.append(text[at:].encode())
+            marks.append(own)
+        plain = iter(self._encode_chunks(parts))
+        return [b"".join([*(x for mark in own for x in (next(plain), mark)), next(plain)]) for own in marks]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of every text as little-endian 32-bit integers."""
@@ -163,13 +170,17 @@ class Bpe:
         return [b"".join(parts) for parts in out]
 
     def _encode_held(self, held: list[tuple[int, list[bytes]]], out: list[list[bytes]]) -> None:
-        known = self.known
-        new = list({c for _, chunks in held for c in chunks if c not in known})
-        for chunk, ids in zip(new, self._encode_chunks(new), strict=True):
-            known[chunk] = ids
+        known, new = self.known, set()
+        for _, chunks in held:
+            new.update(chunks)
+        fresh = list(new.difference(known))
+        marked = [c for c in fresh if b"<" in c and self.marks.search(c.decode())] if self.marks else []
+        known.update(zip(marked, self._encode_marked(marked), strict=True))
+        plain = list(set(fresh).difference(marked)) if marked else fresh
+        known.update(zip(plain, self._encode_chunks(plain), strict=True))
         for n, chunks in held:
             out[n].append(b"".join(map(known.__getitem__, chunks)))
-        for chunk in new:
+        for chunk in fresh:
             if len(chunk) > LONGEST:
                 del known[chunk]
         if len(known) > REMEMBERED:

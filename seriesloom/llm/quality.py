@@ -7,13 +7,12 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import pandas_udf
-from pyspark.sql.types import DoubleType
 
-from .common import stored
+from .common import slices, stored
 
 #: Code points of the pieces that are compressed; a text's sizes are the sums over its pieces.
 PIECE = 8192
@@ -123,10 +122,11 @@ def calibrate(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, float]
 def score(model: Model, text: Column) -> Column:
     """The score of every whole text, between 0 and 1; a null or empty text gets the calibrated score of difference 0."""
 
-    def of(texts):
-        return texts.map(lambda t: score_of(model, t), na_action=None).astype("float64")
+    def of(texts: pa.Array) -> pa.Array:
+        batch = pa.record_batch([texts], names=["text"])
+        return pa.array([score_of(model, t) for part in slices(batch) for t in part.column("text").to_pylist()], pa.float64())
 
-    return pandas_udf(of, DoubleType())(F.coalesce(text, F.lit("")))
+    return F.arrow_udf(of, "double")(F.coalesce(text, F.lit("")))
 
 
 def quality_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

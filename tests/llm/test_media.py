@@ -1,0 +1,125 @@
+"""Image formats by exact round trips, area resizing and hashes by direct sums."""
+
+import hashlib
+import io
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from seriesloom.llm import media
+
+
+def image_of(seed, height, width, bands):
+    return np.random.default_rng(seed).integers(0, 256, (height, width, 3) if bands == 3 else (height, width), dtype=np.uint8)
+
+
+@pytest.mark.parametrize("bands", [1, 3])
+@pytest.mark.parametrize("shape", [(1, 1), (3, 5), (8, 24), (17, 9)])
+def test_round_trips(shape, bands):
+    image = image_of(1, *shape, bands)
+    assert np.array_equal(media.decode(media.encode_pnm(image)), image)
+    assert np.array_equal(media.decode(media.encode_bmp(image)), image)
+
+
+def test_plain_and_deep_netpbm():
+    assert media.decode(b"P2 # note\n3 1\n4\n0 2 4\n").tolist() == [[0, 128, 255]]
+    assert media.decode(b"P3\n1 1 255\n1 2 3").tolist() == [[[1, 2, 3]]]
+    assert media.decode(b"P1\n4 1\n10 01").tolist() == [[0, 255, 255, 0]]
+    assert media.decode(b"P4\n10 1\n\xa0\x40").tolist() == [[0, 255, 0, 255, 255, 255, 255, 255, 255, 0]]
+    assert media.decode(b"P5 2 1 65535\n\x00\x00\xff\xff").tolist() == [[0, 255]]
+
+
+def test_palettes_and_top_down_bmp():
+    image = image_of(2, 3, 5, 3)
+    data = bytearray(media.encode_bmp(image))
+    data[22:26] = (-3).to_bytes(4, "little", signed=True)
+    assert np.array_equal(media.decode(bytes(data)), image[::-1])
+    bits = bytearray(media.encode_bmp(np.zeros((1, 9), np.uint8))[:54])
+    bits[10:14], bits[28:30], bits[46:50] = (62).to_bytes(4, "little"), (1).to_bytes(2, "little"), (2).to_bytes(4, "little")
+    bits += b"\x00\x00\x00\x00\xff\xff\xff\x00" + b"\xaa\x80\x00\x00"
+    assert media.decode(bytes(bits)).tolist() == [[255, 0, 255, 0, 255, 0, 255, 0, 255]]
+
+
+@pytest.mark.parametrize("data", [b"", b"P", b"P6", b"P9\n1 1\n1\n", b"P5\n9 9\n255\nxx", b"P5\n1 1\n0\n\x00", b"BM", b"BM" + bytes(60), b"GIF89a", b"P2\n1 1\n255\nx"])
+def test_broken_pictures_are_refused(data):
+    with pytest.raises(ValueError):
+        media.decode(data)
+
+
+def area_means(image, height, width):
+    """Every area's mean from the overlap of each pixel with it."""
+    def overlaps(n, parts):
+        edges = np.arange(parts + 1) * n / parts
+        return np.array([[max(0.0, min(i + 1, edges[p + 1]) - max(i, edges[p])) for i in range(n)] for p in range(parts)])
+
+    rows, columns = overlaps(image.shape[0], height), overlaps(image.shape[1], width)
+    return np.tensordot(rows, np.tensordot(image.astype(float), columns.T, (1, 0)) if image.ndim == 2 else np.einsum("hwc,pw->hpc", image, columns), (1, 0)) * height * width / (image.shape[0] * image.shape[1])
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 40), st.integers(1, 30), st.integers(1, 12), st.integers(1, 12), st.sampled_from([1, 3]))
+def test_area_resize(height, width, to_height, to_width, bands):
+    image = image_of(height * 31 + width, height, width, bands)
+    assert np.allclose(media.resize_area(image, to_height, to_width), area_means(image, to_height, to_width))
+
+
+def test_strips_do_not_matter(monkeypatch):
+    image = image_of(3, 50, 24, 3)
+    whole = media.resize_area(image, 8, 9)
+    monkeypatch.setattr(media, "STRIP", 7)
+    assert np.allclose(media.resize_area(image, 8, 9), whole)
+
+
+def test_difference_hash():
+    ramp = np.tile(np.arange(90, dtype=np.uint8), (16, 1))
+    assert media.difference_hash(ramp) == "f" * 16
+    assert media.difference_hash(ramp[:, ::-1]) == "0" * 16
+    assert media.difference_hash(np.full((4, 4), 7, np.uint8)) == "0" * 16
+
+
+def test_tiles_are_npy_files():
+    image = image_of(4, 64, 64, 3)
+    cut = media.tiles(image)
+    assert [(y, x) for y, x, _ in cut] == [(0, 0), (0, 1), (1, 0), (1, 1)]
+    parts = {(y, x): np.load(io.BytesIO(data)) for y, x, data in cut}
+    small = np.clip(np.rint(media.resize_area(image, 32, 32)), 0, 255).astype(np.uint8)
+    assert all(np.array_equal(parts[y, x], small[16 * y : 16 * y + 16, 16 * x : 16 * x + 16]) for y, x in parts)
+
+
+def test_texts_as_pictures(spark, hard, nothing):
+    stored = media.store_texts(hard)
+    rows = sorted((str(r.doc_id), r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in media.features(stored).collect())
+    want = []
+    for r in hard.collect():
+        data = (r.text or "").encode()
+        padded = data + b"\xff" * (576 * max(1, -(-len(data) // 576)) - len(data))
+        want.append((str(r.doc_id), len(data), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-576:])))
+    assert rows == sorted(want)
+    assert media.features(media.store_texts(nothing)).count() == 0
+    same = media.features(stored.where("doc_id = 7")).drop("doc_id").distinct()
+    assert same.count() == 1 and same.first().error is None
+
+
+def test_unreadable_rows_and_tiles(spark, tmp_path):
+    good = media.encode_bmp(image_of(5, 40, 40, 3))
+    rows = [(1, good, "x"), (2, b"junk", "x"), (3, None, "x"), (4, b"P5\n0 0\n255\n", "x"), (None, good, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, media binary, feature_x string")
+    read = {r.doc_id: r for r in media.features(df).collect()}
+    assert read[1].error is None and read[1].payload_bytes == 4800 and read[1].feature_x == "x"
+    assert all(read[n].error and read[n].feature is None for n in (2, 3, 4))
+    media.write_tiles(df, str(tmp_path / "tiles"))
+    tiles = spark.read.parquet(str(tmp_path / "tiles")).collect()
+    assert sorted({str(r.doc_id) for r in tiles}) == ["1", "None"] and len(tiles) == 8
+    assert all(np.load(io.BytesIO(r.content)).shape == (16, 16, 3) for r in tiles)
+
+
+def test_payload_is_a_multiple_of_the_unit():
+    rnd = random.Random(1)
+    for n in (0, 1, 575, 576, 577, 5000):
+        text = rnd.randbytes(n)
+        padded = media.payload(text)
+        assert len(padded) % 576 == 0 and padded and padded.startswith(text) and set(padded[n:]) <= {255}
