@@ -29,7 +29,8 @@ BATCH = 4
 def _live_events(spark, sf):
     """The events table as a file stream, normalised by the same function as in batch."""
     schema = t.table(spark, sf, "events").schema
-    rows = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet")
+    # as a pattern, the path may be one file or a folder of part files
+    rows = spark.readStream.schema(schema).parquet(f"{sf}/[e]vents.parquet")
     return src.points_from_rows(
         rows, t.named("ev.", "event_type"), "ts", "value", {"user_id": F.col("user_id")}, "event_id"
     )

@@ -93,7 +93,7 @@ def failing_first(folder, times):
 def test_e8_each_request_is_sent_once(spark, tmp_path):
     sink = SendSink(logging_sender(str(tmp_path)), {"dataset": "d"}, dispatchers=3)
     sink.write(series_of(spark, 12, 2), 5)
-    assert sorted(os.listdir(tmp_path)) == [f"5-0-{i}" for i in range(6)]
+    assert sorted(os.listdir(tmp_path)) == [f"main-5-0-{i}" for i in range(6)]
     for name in os.listdir(tmp_path):
         lines = (tmp_path / name).read_bytes().splitlines()
         assert len(lines) == 1 and b'"timeout_double"' in lines[0]
