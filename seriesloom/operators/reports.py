@@ -48,8 +48,9 @@ def last_series_per_channel(series: DataFrame, order: str = "request_id") -> Dat
 
 
 def file_point_total(records: DataFrame) -> DataFrame:
-    """Points in a series file."""
-    return records.agg(F.coalesce(F.sum(F.size("timestamps")), F.lit(0)).cast("bigint").alias("total"))
+    """Points in a series file, from whole records or from counts only."""
+    n = F.col("n") if "n" in records.columns else F.size("timestamps")
+    return records.agg(F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("total"))
 
 
 def file_channels(records: DataFrame) -> DataFrame:

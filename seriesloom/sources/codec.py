@@ -81,6 +81,23 @@ def array(count: int, body: bytes) -> bytes:
     return long(count) + body + b"\x00" if count else b"\x00"
 
 
+def sized_array(count: int, body: bytes) -> bytes:
+    """An array as one chunk that tells its length in bytes, so that readers may skip it."""
+    return long(-count) + long(len(body)) + body + b"\x00" if count else b"\x00"
+
+
+def _texts(items: pa.Array, tag: bytes = b"") -> bytes:
+    """Each text behind ``tag`` and its length; heads are made once per length."""
+    raw = items.cast(pa.binary()).to_pylist()
+    heads: dict[int, bytes] = {}
+    for n in set(map(len, raw)):
+        heads[n] = tag + long(n)
+    pieces = [b""] * (2 * len(raw))
+    pieces[0::2] = [heads[len(r)] for r in raw]
+    pieces[1::2] = raw
+    return b"".join(pieces)
+
+
 def _double_items(values) -> bytes:
     v = np.asarray(values, dtype="<f8")
     return array(len(v), v.tobytes())
@@ -99,24 +116,21 @@ def values(kind: str, items: pa.Array) -> bytes:
         pairs[0::2] = 2
         pairs[1::2] = items.to_numpy(zero_copy_only=False)
         return longs(pairs)
-    content = {
-        "string": (1, text),
-        "double_array": (3, _double_items),
-        "string_array": (4, lambda ss: array(len(ss), b"".join(map(text, ss)))),
-        "struct": (5, text),
-    }
-    branch, encode = content[kind]
-    tag = long(branch)
-    plain = items.to_pylist() if kind != "double_array" else (items[i].values for i in range(len(items)))
-    return b"".join(tag + encode(v) for v in plain)
+    if kind in ("string", "struct"):
+        return _texts(items, long(1 if kind == "string" else 5))
+    tag = long(3 if kind == "double_array" else 4)
+    lists = (items[i].values for i in range(len(items)))
+    if kind == "double_array":
+        return b"".join(tag + _double_items(v) for v in lists)
+    return b"".join(tag + array(len(v), _texts(v)) for v in lists)
 
 
 def record(channel: str, tags: list[tuple[str, str]], stamps, kind: str, items: pa.Array | None) -> bytes:
     n = 0 if items is None else len(items)
     pairs = b"".join(text(k) + text(v) for k, v in tags)
     return (
-        text(channel) + array(len(stamps), longs(stamps))
-        + array(n, values(kind, items) if n else b"") + array(len(tags), pairs)
+        text(channel) + sized_array(len(stamps), longs(stamps))
+        + sized_array(n, values(kind, items) if n else b"") + array(len(tags), pairs)
     )
 
 
@@ -170,6 +184,46 @@ class Cursor:
                 count = -count
             yield count
 
+    def skip_array(self, item) -> int:
+        """Pass over an array and return its item count; ``item`` reads one where the length is not told."""
+        total = 0
+        while (count := self.long()) != 0:
+            if count < 0:
+                size, count = self.long(), -count
+                if size < 0 or self.at + size > len(self.raw):
+                    raise ValueError("container data ends early")
+                self.at += size
+            else:
+                for _ in range(count):
+                    item(self)
+            total += count
+        return total
+
+    def tagged_texts(self, count: int, tag: int) -> list[bytes] | None:
+        """``count`` texts behind the same branch byte, or nothing if another branch comes between."""
+        raw, at, out = self.raw, self.at, []
+        try:
+            for _ in range(count):
+                if raw[at] != tag:
+                    return None
+                b = raw[at + 1]
+                at += 2
+                z, shift = b & 0x7F, 7
+                while b >= 0x80:
+                    b = raw[at]
+                    at += 1
+                    z |= (b & 0x7F) << shift
+                    shift += 7
+                n = z >> 1
+                out.append(raw[at : at + n])
+                at += n
+        except IndexError:
+            raise ValueError("container data ends early") from None
+        if at > len(raw):
+            raise ValueError("container data ends early")
+        self.at = at
+        return out
+
     def peek_longs(self, count: int) -> tuple[np.ndarray, int]:
         window = self.bytes[self.at : self.at + 10 * count]
         ends = np.flatnonzero(window < 0x80)[:count]
@@ -216,7 +270,8 @@ def _union_array(value_type: pa.StructType, count: int, tags, found: dict) -> pa
         if field.name == "tag":
             columns.append(pa.array(tags, field.type))
         elif field.name in found:
-            columns.append(pa.array(found[field.name], field.type))
+            given = found[field.name]
+            columns.append(given.cast(field.type) if isinstance(given, pa.Array) else pa.array(given, field.type))
         else:
             columns.append(pa.nulls(count, field.type))
     return pa.StructArray.from_arrays(columns, fields=list(value_type))
@@ -241,6 +296,12 @@ def read_values(cursor: Cursor, value_type: pa.StructType) -> list[pa.StructArra
                 out.append(_union_array(value_type, count, np.full(count, 2, dtype=np.int32), {"l": pairs[1::2]}))
                 cursor.at += used
                 continue
+        if cursor.raw[cursor.at] in (2, 10):  # branches 1 and 5
+            tag = cursor.raw[cursor.at]
+            if (texts := cursor.tagged_texts(count, tag)) is not None:
+                name, found = _READ[tag >> 1][0], pa.array(texts, pa.binary()).cast(pa.string())
+                out.append(_union_array(value_type, count, np.full(count, tag >> 1, dtype=np.int32), {name: found}))
+                continue
         tags, items = [], {name: [None] * count for name, _ in _READ.values()}
         for i in range(count):
             tag = cursor.long()
@@ -251,12 +312,27 @@ def read_values(cursor: Cursor, value_type: pa.StructType) -> list[pa.StructArra
     return out
 
 
-def read_record(cursor: Cursor, value_type: pa.StructType):
+def _read_value(cursor: Cursor):
+    return _READ[cursor.long()][1](cursor)
+
+
+def read_record(cursor: Cursor, value_type: pa.StructType, keep=None, counts_only: bool = False):
+    """Channel, stamps, values and tags of the next record, or None if ``keep`` refuses its channel.
+
+    The channel is tested first, and what is not wanted is passed over: in files written here by
+    one step, in other files item by item. ``counts_only`` gives the number of stamps in their place
+    and no values.
+    """
     channel = cursor.text()
-    stamps = cursor.longs()
-    items = read_values(cursor, value_type)
+    wanted = keep is None or keep(channel)
+    if wanted and not counts_only:
+        stamps = cursor.longs()
+        items = read_values(cursor, value_type)
+    else:
+        stamps, items = cursor.skip_array(Cursor.long), None
+        cursor.skip_array(_read_value)
     tags = [(cursor.text(), cursor.text()) for count in cursor.counts() for _ in range(count)]
-    return channel, stamps, items, tags
+    return (channel, stamps, items, tags) if wanted else None
 
 
 class Container:

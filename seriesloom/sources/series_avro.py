@@ -40,7 +40,7 @@ DATASET_KEY = "dataset_rid"
 STAGING = "_staging"
 _BLOCK_BYTES = 1 << 20
 _PARALLEL_MOVES = 32  # file renames under way at once on commit
-_BATCH_POINTS = 250_000
+_BATCH_POINTS, _BATCH_BYTES, _BATCH_RECORDS = 250_000, 32 << 20, 10_000
 _ARRAYS = {
     "double": "doubles", "string": "strings", "int": "longs",
     "double_array": "double_arrays", "string_array": "string_arrays", "struct": "jsons",
@@ -50,6 +50,7 @@ READ_DDL = (
     "channel string, tags map<string,string>, timestamps array<bigint>, "
     f"values array<{UNION_DDL}>, dataset_id string, file string"
 )
+COUNTS_DDL = "channel string, tags map<string,string>, n bigint, dataset_id string, file string"
 
 
 def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
@@ -79,13 +80,23 @@ def list_files(path: str) -> list[pafs.FileInfo]:
     )
 
 
-def record_batches(container: codec.Container, start, stop, schema: pa.Schema, extra: dict, keep=None):
-    """Rows of a split, in batches of bounded points."""
-    list_type = schema.field("values").type
+def record_batches(
+    container: codec.Container, start, stop, schema: pa.Schema, extra: dict, keep=None, counts_only: bool = False
+):
+    """Rows of a split, in batches of bounded points, bytes and records."""
+    value_type = None if counts_only else schema.field("values").type.value_type
     rows: list = []
-    points = 0
+    points = size = 0
 
     def flush():
+        if counts_only:
+            channels, counts, _, tags = zip(*rows)
+            columns = {
+                "channel": pa.array(channels, pa.string()), "tags": pa.array(tags, schema.field("tags").type),
+                "n": pa.array(counts, pa.int64()),
+                **{name: pa.array([value] * len(rows), pa.string()) for name, value in extra.items()},
+            }
+            return pa.RecordBatch.from_arrays([columns[f.name] for f in schema], schema=schema)
         channels, stamps, items, tags = zip(*rows)
         offsets = [0]
         for s in stamps:
@@ -94,7 +105,7 @@ def record_batches(container: codec.Container, start, stop, schema: pa.Schema, e
         for part in items:
             flat += part
             item_offsets.append(item_offsets[-1] + sum(len(p) for p in part))
-        unions = pa.concat_arrays(flat) if flat else pa.array([], list_type.value_type)
+        unions = pa.concat_arrays(flat) if flat else pa.array([], value_type)
         tag_type = schema.field("tags").type
         columns = {
             "channel": pa.array(channels, pa.string()),
@@ -103,7 +114,7 @@ def record_batches(container: codec.Container, start, stop, schema: pa.Schema, e
                 pa.array(offsets, pa.int32()), pa.concat_arrays([pa.array(s, pa.int64()) for s in stamps]),
                 type=schema.field("timestamps").type,
             ),
-            "values": pa.ListArray.from_arrays(pa.array(item_offsets, pa.int32()), unions, type=list_type),
+            "values": pa.ListArray.from_arrays(pa.array(item_offsets, pa.int32()), unions, type=schema.field("values").type),
         }
         for name, value in extra.items():
             columns[name] = pa.array([value] * len(rows), pa.string())
@@ -112,13 +123,15 @@ def record_batches(container: codec.Container, start, stop, schema: pa.Schema, e
     for count, raw in container.blocks(start, stop):
         cursor = codec.Cursor(raw)
         for _ in range(count):
-            row = codec.read_record(cursor, list_type.value_type)
-            if keep is None or keep(row[0]):
+            begin = cursor.at
+            row = codec.read_record(cursor, value_type, keep, counts_only)
+            if row is not None:
                 rows.append(row)
-                points += len(row[1])
-            if points >= _BATCH_POINTS:
+                size += cursor.at - begin
+                points += 0 if counts_only else len(row[1])
+            if points >= _BATCH_POINTS or len(rows) >= _BATCH_RECORDS or (size >= _BATCH_BYTES and not counts_only):
                 yield flush()
-                rows, points = [], 0
+                rows, points, size = [], 0, 0
     if rows:
         yield flush()
 
@@ -138,11 +151,12 @@ class SeriesReader(DataSourceReader):
         self.path = options["path"]
         self.split_bytes = int(options.get("splitbytes", 128 << 20))
         self.dataset_key = options.get("datasetkey", DATASET_KEY)
+        self.counts_only = _on(options, "countsonly")
         self.schema = schema
         self.tests: list[tuple[str, tuple]] = []
 
     def pushFilters(self, filters):
-        """Channel tests skip records before rows are built; Spark still applies them itself."""
+        """Channel tests skip records before they are decoded; Spark still applies them itself."""
         for f in filters:
             if isinstance(f, EqualTo) and f.attribute == ("channel",):
                 self.tests.append(("in", (f.value,)))
@@ -173,7 +187,9 @@ class SeriesReader(DataSourceReader):
             dataset = container.metadata.get(self.dataset_key)
             extra = {"dataset_id": None if dataset is None else dataset.decode(), "file": partition.path}
             keep = self._keep if self.tests else None
-            yield from record_batches(container, partition.start, partition.stop, self.schema, extra, keep)
+            yield from record_batches(
+                container, partition.start, partition.stop, self.schema, extra, keep, self.counts_only
+            )
 
 
 @dataclass
@@ -245,13 +261,17 @@ class SeriesWriter(DataSourceArrowWriter):
             fs.delete_dir(staging)
 
 
+def _on(options: dict, name: str) -> bool:
+    return str(options.get(name, "false")).lower() == "true"
+
+
 class SeriesAvro(DataSource):
     @classmethod
     def name(cls):
         return FORMAT
 
     def schema(self):
-        return READ_DDL
+        return COUNTS_DDL if _on(self._lowered(), "countsonly") else READ_DDL
 
     def reader(self, schema):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -294,6 +314,10 @@ def write_series(
 
 
 def read_series(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Records of series files: channel, tags, timestamps, values, dataset_id, file."""
+    """Records of series files: channel, tags, timestamps, values, dataset_id, file.
+
+    Tests of the channel are made before a record is decoded. ``countsOnly="true"`` gives the number
+    of points ``n`` in place of timestamps and values, which are then passed over.
+    """
     register(spark)
     return spark.read.format(FORMAT).options(**options).load(path)

@@ -214,3 +214,39 @@ def test_nulls_are_refused_and_whole_numbers_kept():
         with pytest.raises(ValueError, match="null"):
             codec.values(kind, pa.array(items))
     assert codec.values("int", pa.array([2**53 + 1])) == codec.longs(np.array([2, 2**53 + 1]))
+
+
+def test_counts_only_and_channel_tests_decode_no_values(spark, tmp_path, monkeypatch):
+    points = src.union_points(*[two_points(spark, "string", f"c{i}", "'a'", "'b'") for i in range(3)])
+    series_avro.write_series(packing.pack_series(points), str(tmp_path / "x"))
+    counts = series_avro.read_series(spark, str(tmp_path / "x"), countsOnly="true")
+    assert sorted((r.channel, r.n) for r in counts.collect()) == [(f"c{i}", 2) for i in range(3)]
+    assert counts.where("channel = 'c1'").count() == 1
+    whole = series_avro.read_series(spark, str(tmp_path / "x")).where("channel = 'c1'").collect()
+    assert [(r.channel, [v.s for v in r["values"]]) for r in whole] == [("c1", ["a", "b"])]
+
+
+@pytest.mark.parametrize("sized", [True, False])
+def test_records_are_skipped_with_and_without_lengths(monkeypatch, sized):
+    if not sized:
+        monkeypatch.setattr(codec, "sized_array", codec.array)
+    items = {"string": pa.array(["x" * 200, "", "é"]), "double": pa.array([1.5]), "int": pa.array([2**60, -1]),
+             "double_array": pa.array([[1.0, 2.0], []]), "string_array": pa.array([["a", "b" * 70], []]), "struct": pa.array(['{"k": 1}'])}
+    records = [codec.record(k, [("t", "v")], np.arange(len(v)), k, v) for k, v in items.items()]
+    cursor, value_type = codec.Cursor(b"".join(records)), series_avro_values()
+    for kind, given in items.items():
+        if kind in ("double", "string_array"):
+            channel, stamps, parts, tags = codec.read_record(cursor, value_type)
+            assert (channel, len(stamps), tags) == (kind, len(given), [("t", "v")])
+        elif kind == "int":
+            assert codec.read_record(cursor, value_type, lambda c: False) is None
+        else:
+            assert codec.read_record(cursor, value_type, counts_only=True) == (kind, len(given), None, [("t", "v")])
+    assert cursor.at == len(cursor.raw)
+
+
+def series_avro_values():
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    return to_arrow_schema(StructType.fromDDL(series_avro.READ_DDL)).field("values").type.value_type
