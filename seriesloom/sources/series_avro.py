@@ -6,11 +6,13 @@
 
 Reading splits large files at block boundaries. Writing stages every task attempt's file under
 its own name and publishes the files of successful attempts on commit, so lost executors and
-repeated tasks leave no trace. Only file names pass through the driver.
+repeated tasks leave no trace. A manifest, replaced by one rename, tells which files count, so an
+overwrite is seen whole or not at all. Only file names pass through the driver.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -38,6 +40,7 @@ from seriesloom.sources import codec
 FORMAT = "series_avro"
 DATASET_KEY = "dataset_rid"
 STAGING = "_staging"
+MANIFEST = "_files.json"  # the data files of a folder; without it, all that lie there
 _BLOCK_BYTES = 1 << 20
 _PARALLEL_MOVES = 32  # file renames under way at once on commit
 _BATCH_POINTS, _BATCH_BYTES, _BATCH_RECORDS = 250_000, 32 << 20, 10_000
@@ -74,12 +77,21 @@ def list_files(path: str) -> list[pafs.FileInfo]:
         raise FileNotFoundError(path)
     found = fs.get_file_info(pafs.FileSelector(plain, recursive=True))
     hidden = lambda f: any(p[:1] in "_." for p in f.path[len(plain):].strip("/").split("/"))
+    published = {
+        os.path.dirname(f.path): _published(fs, f.path) for f in found if os.path.basename(f.path) == MANIFEST
+    }
+    listed = lambda f: os.path.basename(f.path) in published.get(os.path.dirname(f.path), (os.path.basename(f.path),))
     return sorted(
-        (f for f in found if f.type == pafs.FileType.File and f.path.endswith(".avro") and not hidden(f)),
+        (f for f in found if f.type == pafs.FileType.File and f.path.endswith(".avro") and not hidden(f) and listed(f)),
         key=lambda f: f.path,
     )
 
 
+def _published(fs: pafs.FileSystem, manifest: str) -> set[str]:
+    with fs.open_input_file(manifest) as file:
+        return set(json.loads(file.read()))
+
+
 def record_batches(
     container: codec.Container, start, stop, schema: pa.Schema, extra: dict, keep=None, counts_only: bool = False
 ):
@@ -245,11 +257,17 @@ class SeriesWriter(DataSourceArrowWriter):
         fs, plain = open_fs(self.path)
         staging = self._staging(plain)
         fs.create_dir(plain, recursive=True)
-        old = [f.path for f in list_files(self.path)] if self.overwrite else []
+        old = [f.path for f in list_files(self.path)]
         names = [m.name for m in messages if m is not None and m.name]
+        kept = [] if self.overwrite else [os.path.basename(f) for f in old if os.path.dirname(f) == plain]
         with ThreadPoolExecutor(_PARALLEL_MOVES) as pool:
             list(pool.map(lambda name: fs.move(f"{staging}/{name}", f"{plain}/{name}"), names))
-            list(pool.map(fs.delete_file, old))
+            # one rename publishes the new files and withdraws the old ones; what fails before leaves the old
+            with fs.open_output_stream(f"{plain}/{MANIFEST}.{self.job}") as file:
+                file.write(json.dumps(sorted(names + kept)).encode())
+            fs.move(f"{plain}/{MANIFEST}.{self.job}", f"{plain}/{MANIFEST}")
+            if self.overwrite:
+                list(pool.map(fs.delete_file, old))
         self._drop_staging(fs, staging)
 
     def abort(self, messages):

@@ -24,8 +24,8 @@ def batch_stream(
 
     The state of a channel is three numbers: the time of its last close, the points waiting and
     the open batch. Nothing fires without a point, so no timer is needed. Points of one
-    micro-batch are taken in order of ``arrival`` and ``seq``; admission control at the source
-    bounds how many of them a channel can have.
+    micro-batch are taken in order of ``arrival`` and ``seq``, which gathers a channel's points of
+    one micro-batch in one task: admission control at the source has to bound them.
     """
     schema = T.StructType([*points.schema.fields, T.StructField("batch", T.LongType())])
     rule = DelayRule(max_points, _NEVER if delay_ns is None else delay_ns)

@@ -250,3 +250,18 @@ def series_avro_values():
     from pyspark.sql.types import StructType
 
     return to_arrow_schema(StructType.fromDDL(series_avro.READ_DDL)).field("values").type.value_type
+
+
+def test_overwrite_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    """A writer that dies before it publishes leaves the old data; leftovers of it do not count."""
+    path = str(tmp_path / "x")
+    series_avro.write_series(packing.pack_series(two_points(spark, "int", "old", "1", "2")), path)
+    new = packing.pack_series(two_points(spark, "int", "new", "1", "2"))
+    other = str(tmp_path / "y")
+    series_avro.write_series(new, other)
+    for name in os.listdir(other):
+        if name.endswith(".avro"):  # moved into place, not published
+            os.rename(f"{other}/{name}", f"{path}/{name}")
+    assert [r.channel for r in series_avro.read_series(spark, path).collect()] == ["old"]
+    series_avro.write_series(new, path)
+    assert [r.channel for r in series_avro.read_series(spark, path).collect()] == ["new"]
