@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from .common import slices, stored
 
-#: Code points of the pieces that are compressed; a text's sizes are the sums over its pieces.
-PIECE = 8192
-#: Labelled documents, and pieces of them, that are taken per class to fit with; the fit's bound.
-DOCUMENTS, PIECES = 1500, 1200
+#: Code points of the pieces that are compressed; a text's sizes are the sums over its pieces. In longer ones the
+#: dictionary counts for less and less against what the piece itself has shown.
+PIECE = 512
+#: Labelled documents that are taken per class to fit with, and pieces of them for a dictionary and to calibrate with
+#: per class: the fit's bound.
+DOCUMENTS, PIECES = 2000, 6000
 #: Bytes of a dictionary.
 DICTIONARY = 96 << 10
 LEVEL = 3
@@ -69,9 +71,9 @@ def remainder(id_col: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     """Fit on a bounded sample of the labelled rows whose remainder is not 0.
 
-    Of each class the ``DOCUMENTS`` ids first in hash order are taken, and of their whole texts, cut into pieces, the
-    ``PIECES`` first in hash order: that is all that reaches the driver. Remainders 1 to 3 build the dictionaries
-    and remainder 4 calibrates. Ids with differing labels, null labels or null ids are left out; with a class
+    Of each class the ``DOCUMENTS`` ids first in hash order are taken, and their whole texts cut into pieces. Of
+    remainders 1 to 3 the ``PIECES`` first in hash order build the class's dictionary; of remainder 4 as many pieces,
+    document by document, calibrate. That is all that reaches the driver. Ids with differing labels, null labels or null ids are left out; with a class
     missing, or too little text for a dictionary, the model scores its prior, the share of label 1 (0.5 without labels).
     """
     clear = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
@@ -81,18 +83,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = F.broadcast(chosen[0].unionByName(chosen[1]))  # 2 * DOCUMENTS rows at most
     cut = F.expr(f"regexp_extract_all(_text, '(?s).{{1,{PIECE}}}', 0)")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(ids, "_id").where("_text != ''")
-    pieces = stored(texts.select("label", "part", F.explode(cut).alias("piece")).withColumn("h", F.xxhash64("piece")), "quality-pieces")
-    rows = [r for k in (0, 1) for r in pieces.where(F.col("label") == k).orderBy("h", "piece").limit(PIECES).collect()]
+    pieces = stored(texts.select("_id", "label", "part", "h", F.posexplode(cut).alias("at", "piece")), "quality-pieces")
+    first = {"part < 4": (F.xxhash64("piece"), "piece"), "part = 4": ("h", "_id", "at", "piece")}
+    rows = {(which, k): pieces.where(which).where(F.col("label") == k).orderBy(*order).limit(PIECES).collect() for which, order in first.items() for k in (0, 1)}
     share = clear.agg(F.avg("label")).first()[0]
     prior = 0.5 if share is None else float(share)
     built = {}
     for k in (0, 1):
-        samples = [r["piece"].encode() for r in rows if r["label"] == k and r["part"] < 4]
+        samples = [r["piece"].encode() for r in rows["part < 4", k]]
         try:
             built[k] = zstandard.train_dictionary(DICTIONARY, samples, level=LEVEL).as_bytes()
         except (zstandard.ZstdError, ValueError):
             return Model(prior=prior)
-    held = [(difference(r["piece"], built[1], built[0]), r["label"]) for r in rows if r["part"] == 4]
+    whole: dict[tuple, str] = {}
+    for k in (0, 1):
+        for r in rows["part = 4", k]:
+            whole[k, r["_id"]] = whole.get((k, r["_id"]), "") + r["piece"]
+    held = [(difference(text, built[1], built[0]), k) for (k, _), text in whole.items()]
     if {label for _, label in held} != {0, 1}:
         return Model(prior=prior)
     slope, offset = calibrate(np.array([d for d, _ in held]), np.array([y for _, y in held]), prior)
