@@ -33,11 +33,9 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and the digests of ids and of the text decoded from them."""
-    path = vocabulary(WORD_BPE)
-    decoded = bpe.decode(bpe.encode(docs, path), path)
-    count = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    made = bpe.round_trip(docs, vocabulary(WORD_BPE))
     digests = (F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
-    return decoded.select("doc_id", count, "ids", *digests)
+    return made.select("doc_id", "n_tokens", "ids", *digests)
 
 
 STAGES = [

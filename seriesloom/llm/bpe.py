@@ -233,3 +233,14 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
         return {"ids": ids, "decoded": [bpe.decode(i).decode() for i in ids]}
 
     return map_texts(encoded, "ids binary, decoded string", work, id_col, ids_col, raw=True)
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids, decoded: :func:`encode` and then :func:`decode` in one pass of one worker."""
+
+    def work(texts: list[bytes]) -> dict[str, list]:
+        bpe = load(path)
+        ids = bpe.encode(texts)
+        return {"n_tokens": [len(i) // 4 for i in ids], "ids": ids, "decoded": [bpe.decode(i).decode() for i in ids]}
+
+    return map_texts(docs, "n_tokens long, ids binary, decoded string", work, id_col, text_col, raw=True)

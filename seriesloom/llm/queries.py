@@ -58,9 +58,8 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
-    path = vocabulary(WORD_BPE)
-    decoded = bpe.decode(bpe.encode(docs, path), path)
-    return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    made = bpe.round_trip(docs, vocabulary(WORD_BPE))
+    return made.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

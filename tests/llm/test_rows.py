@@ -254,6 +254,10 @@ def test_bpe_of_hard_rows(hard, nothing, word_bpe):
         digests = (np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False).encode())
         want.append((str(r.doc_id), len(ids), *(hashlib.sha256(d).hexdigest() for d in digests)))
     assert rows == sorted(want) and queries.bpe_digests(nothing).count() == 0
+    path = queries.vocabulary(queries.WORD_BPE)
+    apart = bpe.decode(bpe.encode(hard, path), path).selectExpr("cast(doc_id as string) d", "hex(ids) i", "decoded")
+    once = bpe.round_trip(hard, path).selectExpr("cast(doc_id as string) d", "hex(ids) i", "decoded")
+    assert sorted(map(str, apart.collect())) == sorted(map(str, once.collect()))
 
 
 @pytest.fixture(scope="module")
