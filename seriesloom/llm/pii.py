@@ -32,13 +32,20 @@ _HIDDEN = "​‌‍⁠﻿­"
 DIGITS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 
 _NAME = f"(?:{'|'.join(DIGITS)})"
-_RUN = rf"\b{_NAME}(?:[ ,-]{{1,2}}(?:{_NAME}|[0-9]++))+\b"
 _OPEN, _CLOSE = r" ?[\[({<] ?", r" ?[\])}>] ?"
-_DISGUISE = re.compile(
-    rf"(?P<hidden>[{_HIDDEN}]+)|(?P<at>{_OPEN}at{_CLOSE}|(?<=[a-z0-9]) +at +(?=[a-z0-9-]+(?: +dot +(?!dot\b)|{_OPEN}dot{_CLOSE})))"
-    rf"|(?P<dot>{_OPEN}dot{_CLOSE}|(?<=[a-z0-9])(?<!\bdot) +dot +(?!dot\b)(?=[a-z0-9]))|(?P<plus>\bplus +(?={_NAME}\b|[0-9]))|(?P<run>{_RUN})",
-    re.IGNORECASE | re.ASCII,
-)
+
+
+def _disguise(least: int) -> re.Pattern:
+    """Everything that is spelled otherwise; digits' names in runs of ``least`` further items or more."""
+    run = rf"\b{_NAME}(?:[ ,-]{{1,2}}(?:{_NAME}|[0-9]++)){{{least},}}\b"
+    return re.compile(
+        rf"(?P<hidden>[{_HIDDEN}]+)|(?P<at>{_OPEN}at{_CLOSE}|(?<=[a-z0-9]) +at +(?=[a-z0-9-]+(?: +dot +(?!dot\b)|{_OPEN}dot{_CLOSE})))"
+        rf"|(?P<dot>{_OPEN}dot{_CLOSE}|(?<=[a-z0-9])(?<!\bdot) +dot +(?!dot\b)(?=[a-z0-9]))|(?P<plus>\bplus +(?={_NAME}\b|[0-9]))|(?P<run>{run})",
+        re.IGNORECASE | re.ASCII,
+    )
+
+
+_RUNS, _NAMES = _disguise(1), _disguise(0)
 _ITEM = re.compile(rf"{_NAME}|[0-9]++", re.IGNORECASE | re.ASCII)
 
 
@@ -101,19 +108,29 @@ def plain_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 class Normalised:
     """A text in plain spelling with the way back: segments as (start here, start there, end there, copied)."""
 
-    def __init__(self, text: str):
-        """Lookalikes are replaced one by one; then at, dot, plus and digits' names by their sign."""
+    def __init__(self, text: str, lone: bool = True):
+        """Lookalikes are replaced one by one; then at, dot, plus and digits' names by their sign.
+
+        Without ``lone``, names that stand alone stay. ``lone`` and ``other`` then tell whether a lone name, or
+        anything else, was replaced.
+        """
         plain = text if text.isascii() else text.translate({ord(c): _LOOKALIKES[ord(c)] for c in set(text)})
         self.parts: list[str] = []
         self.segments: list[tuple[int, int, int, bool]] = []
+        self.lone, self.other = False, plain != text
         self._length = at = 0
-        for m in _DISGUISE.finditer(plain):
+        for m in (_NAMES if lone else _RUNS).finditer(plain):
             self._put(plain[at : m.start()], at, m.start(), True)
-            if m.lastgroup == "run":
+            if m.lastgroup == "run" and m[0].isalpha():
+                self.lone = True
+                self._put(DIGITS[m[0].lower()], m.start(), m.end(), False)
+            elif m.lastgroup == "run":
+                self.other = True
                 for item in _ITEM.finditer(plain, *m.span()):
                     word = item[0].lower()
                     self._put(DIGITS.get(word, word), item.start(), item.end(), word not in DIGITS)
             else:
+                self.other = True
                 self._put({"at": "@", "dot": ".", "plus": "+", "hidden": ""}[m.lastgroup], m.start(), m.end(), False)
             at = m.end()
         self._put(plain[at:], at, len(plain), True)
@@ -134,27 +151,24 @@ class Normalised:
         return first, there + end - here if copied else last
 
 
-def _disguised(text: str) -> bool:
-    if not text.isascii() and any(_LOOKALIKES[ord(c)] != c or c in _HIDDEN for c in set(text)):
-        return True
-    return _DISGUISE.search(text) is not None
-
-
 def spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Plain spans, and those that appear only after normalising, as (kind, start, end) in code points.
 
     A span of the normalised text counts when its source is spelled otherwise, so ordinary text adds nothing. It
-    may overlap a plain one, which stays: a disguised letter cuts an address short.
+    may overlap a plain one, which stays: a disguised letter cuts an address short. A digit's name that stands alone
+    may belong to an identifier or to the words beside it, so the text is read both ways and both findings count.
     """
     base = [(kind, *span) for kind, found in plain_spans(text).items() for span in found]
-    if not _disguised(text):
-        return base, []
     normal, known, added = Normalised(text), set(base), []
-    for kind, found in plain_spans(normal.text).items():
-        for a, b in found:
-            start, end = normal.source(a, b)
-            if text[start:end] != normal.text[a:b] and (kind, start, end) not in known:
-                added.append((kind, start, end))
+    if not (normal.lone or normal.other):
+        return base, []
+    for read in [normal, Normalised(text, lone=False)] if normal.lone and normal.other else [normal]:
+        for kind, found in plain_spans(read.text).items():
+            for a, b in found:
+                start, end = read.source(a, b)
+                if text[start:end] != read.text[a:b] and (kind, start, end) not in known:
+                    known.add((kind, start, end))
+                    added.append((kind, start, end))
     return base, added
 
 

@@ -193,6 +193,28 @@ def test_disguises(text, kind, found):
     assert (found is None) or [(k, text[a:b]) for k, a, b in added] == [(kind, found)]
 
 
+LONE_NAMES = [
+    ("one nine two dot one six eight dot zero dot one", "ip", "one nine two dot one six eight dot zero dot one"),
+    ("10 dot zero dot zero dot five", "ip", "10 dot zero dot zero dot five"),
+    ("plus one (555) 010-0123", "phone", "plus one (555) 010-0123"),
+    ("+1 555 010 999 nine", "phone", "+1 555 010 999 nine"),
+    ("4111 1111 1111 111 one", "card", "4111 1111 1111 111 one"),
+    ("４１１１ １１１１ １１１１ １１１１ one more", "card", "４１１１ １１１１ １１１１ １１１１"),  # the name belongs to the words
+]
+
+
+@pytest.mark.parametrize("text, kind, found", LONE_NAMES)
+def test_digit_names_that_stand_alone(text, kind, found):
+    base, added = pii.spans(text)
+    assert base == plain(text)
+    assert [(k, text[a:b]) for k, a, b in added] == [(kind, found)]
+
+
+@pytest.mark.parametrize("text", ["one of 10 or two.", "4111 1111 1111 1111 one more", "one@example.com or one.two@example.com", "at 10.0.0.1 one may"])
+def test_ordinary_digit_names_add_nothing(text):
+    assert pii.spans(text) == (plain(text), [])
+
+
 @pytest.mark.parametrize("text", ["look at me dot dot dot", "one two three four", "look at example today", "é ü ñ", "at the dot", "one at a time", "x at y dot", "Привет, мир 2024"])
 def test_ordinary_text_adds_nothing(text):
     assert pii.spans(text) == ([], [])
