@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import pickle
+import tempfile
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pandas as pd
@@ -15,17 +19,98 @@ from seriesloom.schema import CHANNEL_KEY
 
 _STATE = T.StructType([T.StructField(c, T.LongType()) for c in ("last", "waiting", "batch")])
 _NEVER = 2**62  # a delay that no clock reaches
+ROWS_IN_MEMORY = 1 << 17
+_RUNS_AT_ONCE = 8
+
+
+def _sorted(frames: list[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+    return pd.concat(frames, ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
+
+
+def _spill(frames: Iterator[pd.DataFrame], folder: str, block: int) -> str:
+    """A sorted run as a file of blocks."""
+    handle, path = tempfile.mkstemp(dir=folder)
+    with os.fdopen(handle, "wb") as file:
+        for frame in frames:
+            for at in range(0, len(frame), block):
+                pickle.dump(frame.iloc[at : at + block], file, protocol=5)
+    return path
+
+
+def _blocks(path: str) -> Iterator[pd.DataFrame]:
+    """The blocks of a run; the file goes with its last one."""
+    with open(path, "rb") as file:
+        size = os.fstat(file.fileno()).st_size
+        while file.tell() < size:
+            yield pickle.load(file)
+    os.remove(path)
+
+
+def _upto(frame: pd.DataFrame, order: list[str], end: tuple) -> int:
+    """The number of rows of a sorted frame up to ``end``; nulls come last."""
+    less, same = np.zeros(len(frame), dtype=bool), np.ones(len(frame), dtype=bool)
+    for name, bound in zip(order, end):
+        values = frame[name].to_numpy()
+        none = pd.isna(values)
+        less |= same & (~none if bound == np.inf else values < bound)
+        same &= none if bound == np.inf else values == bound
+    return int((less | same).sum())
+
+
+def _merged(runs: list[str], order: list[str]) -> Iterator[pd.DataFrame]:
+    """Sorted runs as one, with a block of each in memory."""
+    files = [_blocks(run) for run in runs]
+    heads = [next(file, None) for file in files]
+    while live := [i for i, head in enumerate(heads) if head is not None]:
+        lasts = [[heads[i][c].iloc[-1] for c in order] for i in live]
+        end = min(tuple(np.inf if pd.isna(v) else v for v in last) for last in lasts)
+        ready = []
+        for i in live:  # no run has a row up to the end beyond its block but ties, which stay in any order
+            n = _upto(heads[i], order, end)
+            ready.append(heads[i].iloc[:n])
+            heads[i] = heads[i].iloc[n:] if n < len(heads[i]) else next(files[i], None)
+        yield _sorted(ready, order)
+
+
+def in_order(parts: Iterator[pd.DataFrame], order: list[str], rows: int = ROWS_IN_MEMORY) -> Iterator[pd.DataFrame]:
+    """The rows of all parts in ``order``, frame by frame, with about ``rows`` and one part in memory.
+
+    What is more goes through sorted runs in the task's temporary folder.
+    """
+    held, count, runs, block = [], 0, [], max(1, rows // _RUNS_AT_ONCE)
+    with ExitStack() as scratch:
+        for part in parts:
+            held.append(part)
+            count += len(part)
+            if count > rows:
+                if not runs:
+                    folder = scratch.enter_context(tempfile.TemporaryDirectory(prefix="batches-"))
+                runs.append(_spill(iter([_sorted(held, order)]), folder, block))
+                held, count = [], 0
+        if not runs:
+            if count:
+                yield _sorted(held, order)
+            return
+        if count:
+            runs.append(_spill(iter([_sorted(held, order)]), folder, block))
+        del held
+        while len(runs) > _RUNS_AT_ONCE:
+            groups = [runs[i : i + _RUNS_AT_ONCE] for i in range(0, len(runs), _RUNS_AT_ONCE)]
+            runs = [_spill(_merged(group, order), folder, block) for group in groups]
+        yield from _merged(runs, order)
 
 
 def batch_stream(
     points: DataFrame, max_points: int, delay_ns: int | None = None, arrival: str = "arrival_ns",
+    rows_in_memory: int = ROWS_IN_MEMORY,
 ) -> DataFrame:
     """Number the batches of each channel of a streaming DataFrame.
 
     The state of a channel is three numbers: the time of its last close, the points waiting and
     the open batch. Nothing fires without a point, so no timer is needed. Points of one
-    micro-batch are taken in order of ``arrival`` and ``seq``, which gathers a channel's points of
-    one micro-batch in one task: admission control at the source has to bound them.
+    micro-batch are taken in order of ``arrival`` and ``seq``. They pass through one task per
+    channel, which holds about ``rows_in_memory`` of them and sorts the others on its disk, so a
+    long channel of a large micro-batch takes time there but no memory.
     """
     schema = T.StructType([*points.schema.fields, T.StructField("batch", T.LongType())])
     rule = DelayRule(max_points, _NEVER if delay_ns is None else delay_ns)
@@ -34,21 +119,19 @@ def batch_stream(
     names = [f.name for f in schema.fields]
 
     def number(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(parts), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
-        if len(rows) == 0:
-            return
-        times = rows[clock].to_numpy(dtype=np.int64)
-        if state.exists:
-            last, waiting, batch = state.get
-        else:
-            (last, waiting), batch = rule.start(times), 0
-        if delay_ns is None:
-            times, last = np.zeros_like(times), 0
-        jump = rule.jumps(times, np.full(len(times), len(times))).tolist()
-        numbers, (last, waiting), batch = walk(rule, times, jump, 0, (last, waiting), batch)
-        state.update((int(last), int(waiting), int(batch)))
-        rows["batch"] = numbers
-        yield rows[names]
+        carried = state.get if state.exists else None
+        for rows in in_order(parts, order, rows_in_memory):
+            times = rows[clock].to_numpy(dtype=np.int64)
+            last, waiting, batch = carried or (*rule.start(times), 0)
+            if delay_ns is None:
+                times, last = np.zeros_like(times), 0
+            jump = rule.jumps(times, np.full(len(times), len(times))).tolist()
+            numbers, (last, waiting), batch = walk(rule, times, jump, 0, (last, waiting), batch)
+            carried = int(last), int(waiting), int(batch)
+            rows["batch"] = numbers
+            yield rows[names]
+        if carried:
+            state.update(carried)
 
     return points.groupBy(*CHANNEL_KEY).applyInPandasWithState(
         number, schema, _STATE, "append", GroupStateTimeout.NoTimeout

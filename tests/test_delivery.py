@@ -1,9 +1,12 @@
 """Sinks, the ingest job and spool ingest (E1 to E10, F1 to F5, C3 live, C9, C10)."""
 
 import os
+import random
 import sys
 import time
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -25,6 +28,7 @@ from seriesloom.streaming import (
     TableSink,
     batch_stream,
 )
+from seriesloom.streaming.batching import in_order
 from seriesloom.streaming.job import admitted
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # senders run on workers
@@ -310,6 +314,40 @@ def test_c2_c3_live_batches_continue_across_micro_batches(spark, tmp_path):
         assert [r.batch for r in got] == fold(arrivals, 4, delay), name
 
 
+def test_c3_live_batches_of_a_long_channel_in_little_memory(spark, tmp_path):
+    """A micro-batch of many parts out of order; runs are merged in several rounds."""
+    rnd = random.Random(5)
+    arrivals = sorted(rnd.randrange(6_000) for _ in range(4_000))
+    rows = [("c", "", i, a) for i, a in enumerate(arrivals)]
+    rnd.shuffle(rows)
+    schema = "channel string, tags_key string, seq bigint, arrival_ns bigint"
+    for half in (rows[:1], [r for r in rows[1:] if r[2] < 3_900], [r for r in rows[1:] if r[2] >= 3_900]):
+        time.sleep(0.02)
+        spark.createDataFrame(half, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    late = rows[0][2]
+    want = fold([arrivals[late], *arrivals[:late], *arrivals[late + 1 :]], 4, 3)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        query = batch_stream(stream, 4, 3, rows_in_memory=100).writeStream.option("checkpointLocation", str(tmp_path / "cp"))
+        query.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    got = {r.seq: r.batch for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert [got[late], *(got[i] for i in range(4_000) if i != late)] == want
+
+
+def test_c3_parts_are_sorted_without_holding_them_all():
+    rnd = np.random.default_rng(3)
+    frame = pd.DataFrame({"arrival_ns": rnd.integers(0, 200, 4_000), "seq": rnd.permutation(4_000).astype(float), "v": "x"})
+    frame.loc[::7, "seq"] = None
+    order = ["arrival_ns", "seq"]
+    got = list(in_order((frame.iloc[i : i + 20] for i in range(0, 4_000, 20)), order, 100))
+    assert max(map(len, got)) <= 200 and list(in_order(iter([]), order, 100)) == []
+    pd.testing.assert_frame_equal(pd.concat(got)[order].reset_index(drop=True), frame.sort_values(order, ignore_index=True)[order])
+
+
 def fold(arrivals, cap, delay):
     last, waiting, batch, out = arrivals[0], 0, 0, []
     for a in arrivals:
