@@ -38,9 +38,10 @@ _OPEN, _CLOSE = r" ?[\[({<] ?", r" ?[\])}>] ?"
 def _disguise(least: int) -> re.Pattern:
     """Everything that is spelled otherwise; digits' names in runs of ``least`` further items or more."""
     run = rf"\b{_NAME}(?:[ ,-]{{1,2}}(?:{_NAME}|[0-9]++)){{{least},}}\b"
+    label, dot = "[a-z0-9-]++", rf"{_OPEN}(?:dot|\.){_CLOSE}"
     return re.compile(
-        rf"(?P<hidden>[{_HIDDEN}]+)|(?P<at>{_OPEN}at{_CLOSE}|(?<=[a-z0-9]) +at +(?=[a-z0-9-]+(?: +dot +(?!dot\b)|{_OPEN}dot{_CLOSE})))"
-        rf"|(?P<dot>{_OPEN}dot{_CLOSE}|(?<=[a-z0-9])(?<!\bdot) +dot +(?!dot\b)(?=[a-z0-9]))|(?P<plus>\bplus +(?={_NAME}\b|[0-9]))|(?P<run>{run})",
+        rf"(?P<hidden>[{_HIDDEN}]+)|(?P<at>{_OPEN}(?:at|@){_CLOSE}|(?<=[a-z0-9]) +at +(?={label}(?:\.{label})*+(?: +dot +(?!dot\b)|{dot})))"
+        rf"|(?P<dot>{dot}|(?<=[a-z0-9])(?<!\bdot) +dot +(?!dot\b)(?=[a-z0-9]))|(?P<plus>\bplus +(?={_NAME}\b|[0-9]))|(?P<run>{run})",
         re.IGNORECASE | re.ASCII,
     )
 
@@ -57,7 +58,7 @@ class _Lookalikes(dict):
         plain = HOMOGLYPHS.get(char) or (char if code < 128 else unicodedata.normalize("NFKC", char))
         if len(plain) != 1 or not plain.isascii():
             plain = str(unicodedata.decimal(char, "")) or char
-        self[code] = plain if len(plain) == 1 and plain.isprintable() and plain != " " else char
+        self[code] = plain if len(plain) == 1 and plain.isprintable() else char
         return self[code]
 
 
@@ -108,21 +109,25 @@ def plain_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 class Normalised:
     """A text in plain spelling with the way back: segments as (start here, start there, end there, copied)."""
 
-    def __init__(self, text: str, lone: bool = True):
+    def __init__(self, text: str, loose: bool = True):
         """Lookalikes are replaced one by one; then at, dot, plus and digits' names by their sign.
 
-        Without ``lone``, names that stand alone stay. ``lone`` and ``other`` then tell whether a lone name, or
-        anything else, was replaced.
+        Without ``loose``, names that stand alone and lookalikes of the space stay. ``loose`` and ``other`` then tell
+        whether one of these, or anything else, was replaced.
         """
-        plain = text if text.isascii() else text.translate({ord(c): _LOOKALIKES[ord(c)] for c in set(text)})
+        alike = {} if text.isascii() else {ord(c): _LOOKALIKES[ord(c)] for c in set(text)}
+        spaces = [c for c, sign in alike.items() if sign == " " and c != 32]
+        if not loose:
+            alike |= {c: chr(c) for c in spaces}
+        plain = text.translate(alike) if alike else text
         self.parts: list[str] = []
         self.segments: list[tuple[int, int, int, bool]] = []
-        self.lone, self.other = False, plain != text
+        self.loose, self.other = bool(spaces), any(chr(c) != sign != " " for c, sign in alike.items())
         self._length = at = 0
-        for m in (_NAMES if lone else _RUNS).finditer(plain):
+        for m in (_NAMES if loose else _RUNS).finditer(plain):
             self._put(plain[at : m.start()], at, m.start(), True)
             if m.lastgroup == "run" and m[0].isalpha():
-                self.lone = True
+                self.loose = True
                 self._put(DIGITS[m[0].lower()], m.start(), m.end(), False)
             elif m.lastgroup == "run":
                 self.other = True
@@ -156,13 +161,14 @@ def spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, i
 
     A span of the normalised text counts when its source is spelled otherwise, so ordinary text adds nothing. It
     may overlap a plain one, which stays: a disguised letter cuts an address short. A digit's name that stands alone
-    may belong to an identifier or to the words beside it, so the text is read both ways and both findings count.
+    or a lookalike of the space may belong to an identifier or to the words beside it, so the text is read both ways
+    and both findings count.
     """
     base = [(kind, *span) for kind, found in plain_spans(text).items() for span in found]
     normal, known, added = Normalised(text), set(base), []
-    if not (normal.lone or normal.other):
+    if not (normal.loose or normal.other):
         return base, []
-    for read in [normal, Normalised(text, lone=False)] if normal.lone and normal.other else [normal]:
+    for read in [normal, Normalised(text, loose=False)] if normal.loose and normal.other else [normal]:
         for kind, found in plain_spans(read.text).items():
             for a, b in found:
                 start, end = read.source(a, b)

@@ -210,6 +210,28 @@ def test_digit_names_that_stand_alone(text, kind, found):
     assert [(k, text[a:b]) for k, a, b in added] == [(kind, found)]
 
 
+SIGNS_AND_SPACES = [
+    ("ask john[@]example[.]com now", "email", "john[@]example[.]com"),
+    ("ask john at mail.example dot com now", "email", "john at mail.example dot com"),
+    ("ask john at example[.]com now", "email", "john at example[.]com"),
+    ("4111\xa01111\u20091111\u202f1111", "card", "4111\xa01111\u20091111\u202f1111"),
+    ("call +1\xa0555\xa0010\xa09999.", "phone", "+1\xa0555\xa0010\xa09999"),
+    ("４１１１ １１１１ １１１１ １１１１\xa012", "card", "４１１１ １１１１ １１１１ １１１１"),
+]
+
+
+@pytest.mark.parametrize("text, kind, found", SIGNS_AND_SPACES)
+def test_bracketed_signs_and_lookalikes_of_the_space(text, kind, found):
+    base, added = pii.spans(text)
+    assert base == plain(text)
+    assert [(k, text[a:b]) for k, a, b in added] == [(kind, found)]
+
+
+@pytest.mark.parametrize("text", ["john at example.com", "4111 1111 1111 1111\xa012", "10\xa0000 (.) or [@]"])
+def test_signs_and_spaces_in_ordinary_text_add_nothing(text):
+    assert pii.spans(text) == (plain(text), [])
+
+
 @pytest.mark.parametrize("text", ["one of 10 or two.", "4111 1111 1111 1111 one more", "one@example.com or one.two@example.com", "at 10.0.0.1 one may"])
 def test_ordinary_digit_names_add_nothing(text):
     assert pii.spans(text) == (plain(text), [])
