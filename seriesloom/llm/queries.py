@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, media, minhash, mixing, pii, quality, sharding, tokens, urls
+from . import bpe, exact, langid, lexical, media, minhash, mixing, pii, quality, resample, sharding, tokens, urls
 from .common import table
 
 #: Host, path and verdict of the registered query's rules.
@@ -83,14 +83,34 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary(PIECE_BPE))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict_languages(docs, langid.fit(docs))
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_media, op2_quality, op3_url_filter, op4_personal_data, op5_mix, op6_bpe, op7_exact_dedup, op8_near_dedup, op9_shards, op10_token_counts)
+    f.__name__: f
+    for f in (op1_media, op2_quality, op3_url_filter, op4_personal_data, op5_mix, op6_bpe, op7_exact_dedup, op8_near_dedup, op9_shards, op10_token_counts, op11_language, op12_search, op13_resample)
 }
 
+
+def _terms(text: str) -> str:
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
 _RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
 
-#: The same results as DuckDB SQL. Media, compression, deobfuscation, BPE, MinHash components, CRC and pieces have no
-#: SQL; their tests compare them with brute force or the libraries.
+#: The same results as DuckDB SQL. Media, compression, deobfuscation, BPE, MinHash components, CRC, pieces, models of letters and
+#: hashed features have no SQL; their tests compare them with brute force or the libraries.
 ORACLES: dict[str, str] = {
     "op3_url_filter": rf"""with rest as (
   select page_id, row_number() over () as n, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest
@@ -130,4 +150,20 @@ from ordered""",
 select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partition by kept_text) as group_size,
   row_number() over best = 1 as kept, sha256(kept_text) as text_sha256
 from rows window best as (partition by kept_text order by length(text) desc, doc_id nulls last rows between unbounded preceding and unbounded following)""",
+    "op12_search": rf"""with docs as (
+  select row_number() over () as r, doc_id, {_terms("text")} as terms from documents),
+ sizes as (select r, doc_id, len(terms) as n from docs),
+ whole as (select count(*) filter (n > 0) as big_n, sum(n)::bigint as big_l from sizes),
+ posts as (select r, term, count(*) as tf from (select r, unnest(terms) as term from docs) group by r, term),
+ items as (select row_number() over () as q, item_id, {_terms("text")} as terms from benchmark),
+ asked as (select q, term, count(*) as times from (select q, unnest(terms) as term from items) group by q, term),
+ weights as (
+  select term, floor(1000 * ln((2 * any_value(big_n) + 2)::double / (2 * count(*) + 1)))::bigint as w from posts, whole group by term),
+ scores as (
+  select q, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))))::bigint as score
+  from asked join weights using (term) join posts using (term) join sizes using (r), whole group by q, r),
+ ranked as (
+  select item_id, (row_number() over (partition by q order by score desc, doc_id nulls last))::int as rank, doc_id, score
+  from scores join items using (q) join sizes using (r) where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= {lexical.TOP}""",
 }

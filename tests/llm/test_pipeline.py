@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered(spark):
     names = entry_points.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
 
 
 def plain(columns, rows):
