@@ -6,12 +6,13 @@
    coordinates share a token among their first ``COORDINATES - MATCHES + 1`` in any common order, so only that prefix
    is posted; tokens known to be frequent come last in the order.
 3. Posts of a token meet in lists, in three passes. First each list proposes the pairs with its hub: large groups of
-   copies are joined without their pairs. Then, in lists that still hold several components, rows are merged in order
-   of set size, skipping from where sizes differ too much, equal coordinates are counted, and every row proposes the
-   nearest row of another component, as in a spanning forest. Last, all pairs that remain are proposed.
+   copies are joined without their pairs. Then, in lists that hold several groups of rows much like their hubs, rows are
+   merged in order of set size, skipping from where sizes differ too much, equal coordinates are counted, and every row
+   proposes the nearest row of another group, as in a spanning forest. These pairs are confirmed and joined to
+   components. Last, all pairs of different components that remain are proposed.
 4. A proposed pair also has to pass a bound that is never wrong: the bits in which the parities of two sets' hash
    buckets differ are at most their symmetric difference, and linked sets differ in a seventh of their sizes' sum at
-   most. What passes is confirmed on the full sets; linked pairs become components by large-star and small-star steps.
+   most. What passes is confirmed on the full sets; linked pairs become components by union and find in the tasks.
 
 A link of similarity 0.75 is missed when fewer than 10 of 32 coordinates agree: 3.4e-8, less above.
 """
@@ -37,8 +38,13 @@ PREFIX = COORDINATES - MATCHES + 1
 #: Buckets of which a sketch holds the parity.
 PARITIES = 1024
 SKETCH = COORDINATES + PARITIES // 8
-#: Tokens in more than a thousandth of a partition's classes are frequent; so many of them are told to all tasks.
-FREQUENT, SHARE = 1 << 16, 1000
+#: Tokens of more than one in so many classes are frequent; so many of them are told to all tasks, and about so many
+#: classes, thinned by hash, are looked at to find them.
+SHARE, FREQUENT, THINNED = 4096, 1 << 16, 1 << 16
+#: Equal coordinates from which a row is taken to be linked with its list's hub until full sets are compared.
+SURE = 28
+#: Links that a task joins at a time: the number of tasks follows the number of links.
+LINKS = 1 << 18
 #: Rows of a block of a list, and buckets of ids that preselect texts: bounds of their own.
 BLOCK, BUCKETS = 2048, 1 << 18
 #: Parts of a frequent token's list that have a hub of their own.
@@ -180,32 +186,24 @@ def _signed(column: pa.Array) -> np.ndarray:
 
 
 def frequent_tokens(classes: DataFrame) -> np.ndarray:
-    """Sorted tokens of many classes, as far as one partition shows them; a bounded hint on the posting order."""
+    """Sorted tokens of more than one in ``SHARE`` of all classes with about how many they have; a hint on the posting order.
+
+    Classes are thinned by their key to a bounded number first, so what is found depends on neither files nor partitions.
+    """
+    total = classes.count()
+    every = max(1, total // THINNED)
+    thinned = classes.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, rows = [], 0
-        counted: dict[int, int] = {}
         for batch in batches:
-            found.append(_tokens(_signed(batch.column(0))).ravel())
-            rows += batch.num_rows
-            if sum(map(len, found)) > 4_000_000:
-                _count(found, counted)
-                found = []
-        _count(found, counted)
-        often = {t: n for t, n in counted.items() if n > max(2, rows // SHARE)}
-        yield pa.record_batch([pa.array(list(often), pa.int64()), pa.array(list(often.values()), pa.int64())], names=["token", "n"])
-
-    counts = classes.select("signature").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
-    order = np.argsort(top["token"].to_numpy(np.int64))
-    return np.stack([top["token"].to_numpy(np.int64)[order], top["n"].to_numpy(np.int64)[order]])
-
+            tokens, counts = np.unique(_tokens(_signed(batch.column(0))).ravel(), return_counts=True)
+            yield pa.record_batch([pa.array(tokens), pa.array(counts)], names=["token", "n"])
 
-def _count(found: list[np.ndarray], counted: dict[int, int]) -> None:
-    if found:
-        values, counts = np.unique(np.concatenate(found), return_counts=True)
-        for value, n in zip(values[counts > 1].tolist(), counts[counts > 1].tolist(), strict=True):
-            counted[value] = counted.get(value, 0) + n
+    counts = thinned.select("signature").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    often = counts.where(F.col("n") > max(2, total // every // SHARE))
+    top = often.orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
+    order = np.argsort(top["token"].to_numpy(np.int64))
+    return np.stack([top["token"].to_numpy(np.int64)[order], top["n"].to_numpy(np.int64)[order] * every])
 
 
 def _lookup(frequent: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -236,7 +234,7 @@ def lists(classes: DataFrame, frequent: np.ndarray) -> DataFrame:
     """token, key, n, part, blocks for the posts of all tokens that have several.
 
     A frequent token's posts are dealt over parts, so the windows that count posts are bounded. ``blocks`` is how
-    many blocks the token's list needs at most: frequent tokens are known to miss a thousandth of the classes.
+    many blocks the token's list needs, by its counted rows or, for frequent tokens, by the thinned count and a margin.
     """
     found = posts(classes, frequent)
     part = F.when(F.col("often") > 0, F.pmod(F.xxhash64("key"), F.lit(PARTS))).otherwise(0).cast("int")
@@ -252,15 +250,16 @@ def _runs_of(table: pa.Table, columns: tuple[str, ...]) -> np.ndarray:
     return np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)]
 
 
-def _proposed(a: np.ndarray, b: np.ndarray, table: pa.Table) -> pa.RecordBatch:
-    """Rows ``a`` and ``b`` as pairs of keys with their texts' buckets, the smaller key first."""
+def _proposed(a: np.ndarray, b: np.ndarray, table: pa.Table, sure: np.ndarray | None = None) -> pa.RecordBatch:
+    """Rows ``a`` and ``b`` as pairs of keys with their texts' buckets, the smaller key first, and whether they are sure."""
     key, bucket = np.array(table.column("key").to_pylist(), dtype=object), np.asarray(table.column("bucket"))
-    pairs = sorted({min((key[x], key[y], bucket[x], bucket[y]), (key[y], key[x], bucket[y], bucket[x])) for x, y in zip(a.tolist(), b.tolist(), strict=True)})
-    types = (pa.binary(), pa.binary(), pa.int32(), pa.int32())
-    return pa.record_batch([pa.array([p[i] for p in pairs], t) for i, t in enumerate(types)], names=["a", "b", "bucket_a", "bucket_b"])
+    sure = np.zeros(len(a), bool) if sure is None else sure
+    pairs = sorted({(*min((key[x], key[y], bucket[x], bucket[y]), (key[y], key[x], bucket[y], bucket[x])), s) for x, y, s in zip(a.tolist(), b.tolist(), sure.tolist(), strict=True)})
+    types = (pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.bool_())
+    return pa.record_batch([pa.array([p[i] for p in pairs], t) for i, t in enumerate(types)], names=["a", "b", "bucket_a", "bucket_b", "sure"])
 
 
-_PAIRS = "a binary, b binary, bucket_a int, bucket_b int"
+_PAIRS = "a binary, b binary, bucket_a int, bucket_b int, sure boolean"
 
 
 def hub_pairs(posted: DataFrame, facts: DataFrame) -> DataFrame:
@@ -285,15 +284,16 @@ def hub_pairs(posted: DataFrame, facts: DataFrame) -> DataFrame:
             n, (low, odd) = np.asarray(table.column("n")), _sketched(table.column("sketch"))
             sizes = n[of] + n[here]
             kept = np.minimum(n[of], n[here]) * 100 >= np.maximum(n[of], n[here]) * SIMILARITY
-            kept &= _bounded(_differing(odd[of], odd[here]), sizes) & ((low[of] == low[here]).sum(axis=1) >= MATCHES)
-            yield _proposed(of[kept], here[kept], table)
+            equal = (low[of] == low[here]).sum(axis=1)
+            kept &= _bounded(_differing(odd[of], odd[here]), sizes) & (equal >= MATCHES)
+            yield _proposed(of[kept], here[kept], table, equal[kept] >= SURE)
             hub = table.slice(starts[-1], 1)
 
-    return rows.mapInArrow(run, _PAIRS).distinct()
+    return rows.mapInArrow(run, _PAIRS)
 
 
 def rest_pairs(posted: DataFrame, facts: DataFrame, linked: DataFrame, nearest: bool) -> DataFrame:
-    """Distinct pairs of different components that may be linked, from all lists.
+    """Pairs of different components that may be linked, from all lists.
 
     ``linked`` names the components of keys that have links. A list longer than a block is dealt over pairs of
     blocks, so that no task holds a list. Rows come in order of size; each is compared with the rows behind it
@@ -319,7 +319,7 @@ def rest_pairs(posted: DataFrame, facts: DataFrame, linked: DataFrame, nearest:
         if held is not None:
             yield _compared(held, nearest)
 
-    return rows.mapInArrow(run, _PAIRS).distinct()
+    return rows.mapInArrow(run, _PAIRS)
 
 
 def _compared(table: pa.Table, nearest: bool) -> pa.RecordBatch:
@@ -417,36 +417,75 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """key, component (the smallest key that can be reached) for every key in ``links`` (a, b).
+    """key, component (the smallest key that can be reached) for every key in ``links`` (a, b) but that smallest one.
 
-    Large-star and small-star steps: every key's larger, then smaller, neighbours are tied to the least one around, until
-    nothing changes. Only links are kept, in the shared folder; neighbourhoods are never gathered.
+    A task joins ``LINKS`` links by union and find and points each key to the least one around. Where that takes several
+    tasks, pointers are dealt by the pointing key, of which a task sent one at most, and joined again, until every
+    key has one pointer; then they are followed, twice as far in each step, to where they end. Pointers are kept
+    in the shared folder, neighbourhoods are never gathered, and what still moves is read from the step's own rows.
+    ``links`` is counted first, so it should be a written table.
     """
-
-    def star(edges: DataFrame, large: bool) -> DataFrame:
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        both = both.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))) if large else both
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        joined = join_groups(both, least, ["u"], "star-least")
-        if large:
-            made = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        else:
-            made = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(joined.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        return stored(made.where("a != b").distinct(), "star-edges")
-
-    def mark(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "star-edges")
-    before = mark(edges)
-    while before[0]:
-        edges = star(star(edges, True), False)
-        after = mark(edges)
-        if after == before:
+    tasks = max(1, -(-links.count() // LINKS))
+    pointers = links.coalesce(tasks).mapInArrow(_joined(None), _POINTERS)
+    if tasks == 1:
+        return stored(pointers, "near-pointers").select(F.col("a").alias("key"), F.col("b").alias("component"))
+    while True:
+        dealt = pointers.select("a", "b").repartition("a").sortWithinPartitions("a")
+        pointers = stored(dealt.mapInArrow(_joined("a"), _POINTERS), "near-pointers")
+        if pointers.where("open").isEmpty():
             break
-        before = after
-    tied = edges.select(F.col("a").alias("key"), F.col("b").alias("component"))
-    return stored(tied.unionByName(tied.select(F.col("component").alias("key"), "component").distinct()), "near-components")
+    while True:
+        ends = pointers.select(F.col("a").alias("b"), F.col("b").alias("further"))
+        followed = pointers.select("a", "b").join(ends, "b", "left")
+        followed = followed.select("a", F.coalesce("further", "b").alias("b"), F.col("further").isNotNull().alias("open"))
+        pointers = stored(followed, "near-pointers")
+        if pointers.where("open").isEmpty():
+            return pointers.select(F.col("a").alias("key"), F.col("b").alias("component"))
+
+
+_POINTERS = "a binary, b binary, open boolean"
+
+
+def _joined(key: str | None):
+    """A step of :func:`components` on a task's rows (a, b): a pointer to the least key around for every other key.
+
+    ``open`` tells that the pointing key may be dealt elsewhere too. Beyond the keys of ``LINKS`` links, rows sorted by
+    ``key`` are let go where a new key begins, others at once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[bytes, bytes] = {}
+        own: set[bytes] = set()
+
+        def top(x: bytes) -> bytes:
+            root = x
+            while (up := parent.get(root, root)) != root:
+                root = up
+            while x != root:
+                parent[x], x = root, parent[x]
+            return root
+
+        def made() -> pa.RecordBatch:
+            found = [(x, top(x)) for x in parent]
+            found = [(x, root, key is None or x not in own) for x, root in found if x != root]
+            return pa.record_batch([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.binary(), pa.binary(), pa.bool_()))], names=["a", "b", "open"])
+
+        before = None
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                if len(parent) >= 2 * LINKS and (key is None or a != before):
+                    yield made()
+                    parent.clear()
+                    own.clear()
+                before = a
+                own.add(a)
+                one, two = top(a), top(b)
+                parent.setdefault(a, a)
+                parent.setdefault(b, b)
+                parent[max(one, two)] = min(one, two)
+        yield made()
+
+    return run
 
 
 def near_classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -457,12 +496,12 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
     classes = stored(classes.select("key", F.col("best.id").alias("first_id"), "best.n_shingles", "best.signature", "best.sketch"), "near-classes")
     facts = classes.withColumn("bucket", _bucket(F.col("first_id")))
     posted = stored(lists(classes, frequent_tokens(classes)), "near-lists")
-    links = _confirm(docs, hub_pairs(posted, facts), id_col, text_col)
-    # a first sketch of the components is enough to leave out most pairs
+    hubs = stored(hub_pairs(posted, facts), "near-hubs")
+    # a sketch of the components, from signatures alone, is enough to leave out most pairs
     ends = F.explode(F.array(F.struct(F.col("b").alias("key"), F.col("a").alias("component")), F.struct(F.col("a").alias("key"), F.col("a").alias("component"))))
-    rough = links.select(ends.alias("end")).groupBy("end.key").agg(F.min("end.component").alias("component"))
-    near = _confirm(docs, rest_pairs(posted, facts, rough, True), id_col, text_col)
-    linked = components(links.unionByName(near))
+    rough = hubs.where("sure").select(ends.alias("end")).groupBy("end.key").agg(F.min("end.component").alias("component"))
+    links = _confirm(docs, hubs.unionByName(rest_pairs(posted, facts, rough, True)), id_col, text_col)
+    linked = components(links)
     last = _confirm(docs, rest_pairs(posted, facts, linked, False), id_col, text_col)
     if not last.isEmpty():
         linked = components(linked.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(last))
@@ -470,7 +509,7 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
 
 
 def _confirm(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    pairs = stored(pairs, "near-pairs")
+    pairs = stored(pairs.drop("sure").distinct(), "near-pairs")
     return stored(confirmed(pairs, sets_of(docs, pairs, id_col, text_col)), "near-links")
 
 

@@ -53,8 +53,11 @@ def test_hard_rows(spark, hard, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_copies_and_passages(spark, seed):
+@pytest.mark.parametrize("seed", range(4))
+def test_copies_and_passages(spark, monkeypatch, seed):
+    if seed == 3:
+        monkeypatch.setattr(minhash, "LINKS", 5)
+        monkeypatch.setattr(minhash, "THINNED", 20)
     rows = list(enumerate(make_texts(seed)))
     random.Random(seed).shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
@@ -66,7 +69,7 @@ def test_copies_and_passages(spark, seed):
 def test_lists_longer_than_a_block(spark, monkeypatch):
     """A passage makes one list of all rows; hubs are switched off, so that blocks do all the work."""
     monkeypatch.setattr(minhash, "BLOCK", 7)
-    monkeypatch.setattr(minhash, "hub_pairs", lambda posted, facts: posted.selectExpr("key as a", "key as b", "0 as bucket_a", "0 as bucket_b").limit(0))
+    monkeypatch.setattr(minhash, "hub_pairs", lambda posted, facts: posted.selectExpr("key as a", "key as b", "0 as bucket_a", "0 as bucket_b", "true as sure").limit(0))
     rnd = random.Random(5)
     passage = [f"p{i}" for i in range(80)]
     rows = [(n, " ".join([f"own{n}-{i}" for i in range(rnd.choice([4, 8, 30, 60]))] + passage)) for n in range(60)]
@@ -74,13 +77,18 @@ def test_lists_longer_than_a_block(spark, monkeypatch):
     assert found(minhash.near_duplicates(df)) == expected(rows)
 
 
-def test_long_chains_of_links(spark):
-    """Components by stars reach along a chain of links in which only neighbours are alike."""
+@pytest.mark.parametrize("links", [1 << 18, 10, 1])
+def test_long_chains_of_links(spark, monkeypatch, links):
+    """Components reach along a chain of links in which only neighbours are alike, in one task and in many."""
+    monkeypatch.setattr(minhash, "LINKS", links)
     key = lambda n: n.to_bytes(16, "big")
     edges = [(key(i), key(i + 1)) for i in range(60)] + [(key(100 + i), key(100)) for i in range(1, 20)]
+    edges += [(key(200 + i * 37 % 60), key(200 + (i + 1) * 37 % 60)) for i in range(59)]  # in no order
     random.Random(2).shuffle(edges)
-    tied = minhash.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
-    assert {int.from_bytes(r.key): int.from_bytes(r.component) for r in tied} == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(20)}}
+    df = spark.createDataFrame([*edges, *edges[:9]], "a binary, b binary").repartition(7)
+    tied = minhash.components(df).collect()
+    expected = {i: 0 for i in range(1, 61)} | {100 + i: 100 for i in range(1, 20)} | {200 + i: 200 for i in range(1, 60)}
+    assert len(tied) == len(expected) and {int.from_bytes(r.key): int.from_bytes(r.component) for r in tied} == expected
 
 
 def test_parities_bound_the_difference():
