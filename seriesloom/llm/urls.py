@@ -75,35 +75,42 @@ def cell_of(at: Column, ends: list[bytes], spread: Column) -> Column:
     return low + F.pmod(spread, high - low + 1).cast("int")
 
 
+def probes(rows: DataFrame, depth: int) -> DataFrame:
+    """``rows`` (url, ...) with host and path, and ``at``: a row per level of the host, of the last ``depth`` ones."""
+    host, path = url_parts(F.col("url"))
+    labels = F.split("host", r"\.", -1)
+    levels = F.transform(F.sequence(F.greatest(F.size(labels) - depth + 1, F.lit(1)), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."))
+    levelled = rows.withColumn("host", host).withColumn("path", path).withColumn("level", F.explode(levels))
+    return levelled.withColumn("at", key(F.col("level"), F.col("path")).cast("binary")).drop("level")
+
+
+def cell_ends(pages: DataFrame, depth: int, cells: int, id_col: str = "page_id", url_col: str = "url") -> list[bytes]:
+    """Keys that cut the probes into about ``cells`` cells, even by a sample of ``SAMPLE`` probes; a heavy key ends several."""
+    hashed = pages.select(F.col(url_col).alias("url"), F.xxhash64(id_col, url_col).alias("h"))
+    # about twice the sample passes the hash test, so no task sends more than its share of it; repeated rows are one
+    hashed = hashed.where(F.pmod(F.col("h"), F.lit(max(1, pages.count() // (2 * SAMPLE)))) == 0).distinct()
+    asked = probes(hashed, depth).select("at", F.xxhash64("h", "at").alias("h"))
+    sample = sorted(bytes(r["at"]) for r in asked.orderBy("h").limit(SAMPLE).collect())
+    every = max(1, len(sample) // cells)
+    return sample[every // 2::every]
+
+
 def url_verdicts(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict for every row of ``pages``.
 
     A rule (host, path, verdict) fits its host and all subdomains if the path starts with the rule's. The longest
     rule wins, host and path counted together, then the longer host. Without one the verdict is ``allow``.
 
-    Each url is probed once per level of its host, up to the depth of the deepest rule. Probes and rule boundaries are swept together in key order: the
-    last boundary before a probe names the innermost rule. The key range is cut into cells at a bounded sample
-    of the keys, a heavy key being dealt over several cells, and every cell starts with the rule then
-    active, so cells are swept apart and no host or url gathers in a task. Rows alike in id and url are probed once
-    and counted. Null or odd urls get an empty host and path, which no rule with a host fits.
+    Each url is probed once per level of its host, up to the depth of the deepest rule. Probes and rule boundaries are
+    swept together in key order: the last boundary before a probe names the innermost rule. The key range is cut into
+    cells at a bounded sample of the probes, a heavy key being dealt over several cells, and every cell starts with
+    the rule then active, so cells are swept apart and no host or url gathers in a task. Rows alike in id and url are
+    probed once and counted. Null or odd urls get an empty host and path, which no rule with a host fits.
     """
     spark = pages.sparkSession
-    host, path = url_parts(F.col("url"))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).groupBy("page_id", "url").agg(F.count("*").alias("n"))
-    rows = rows.withColumn("host", host).withColumn("path", path)
     depth = rules.agg(F.max(F.size(F.split("host", r"\.", -1)))).first()[0] or 1
-    labels = F.split("host", r"\.", -1)
-    levels = F.transform(F.sequence(F.greatest(F.size(labels) - depth + 1, F.lit(1)), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."))
-    probes = rows.withColumn("level", F.explode(levels)).withColumn("at", key(F.col("level"), F.col("path")).cast("binary")).drop("level")
-
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hashed = pages.select(F.col(url_col).alias("url"), F.xxhash64(id_col, url_col).alias("h"))
-    # about twice the sample passes the hash test, so no task sends more than its share of it
-    hashed = hashed.where(F.pmod(F.col("h"), F.lit(max(1, pages.count() // (2 * SAMPLE)))) == 0)
-    pages_key = hashed.select(key(*url_parts(F.col("url"))).cast("binary").alias("at"), "h")
-    sample = sorted(bytes(r["at"]) for r in pages_key.orderBy("h").limit(SAMPLE).collect())
-    every = max(1, len(sample) // (4 * shuffles))
-    ends = sample[every // 2::every]
+    ends = cell_ends(pages, depth, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), id_col, url_col)
 
     bounds = boundaries(rules)
     cells = spark.range(1, len(ends) + 1).select(F.col("id").cast("int").alias("cell")) if ends else spark.range(0).select(F.col("id").cast("int").alias("cell"))
@@ -115,7 +122,7 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", ur
     top = active.groupBy("cell").agg(F.max_by("rule", F.length("at")).alias("rule"))
     first = starts.join(top, "cell", "left").select("cell", F.lit(None).cast("binary").alias("at"), F.lit(0).alias("kind"), "rule")
     inside = bounds.select(F.explode(F.sequence(cell_of(F.col("at"), ends, F.lit(0)), _last_cell(F.col("at"), ends))).alias("cell"), "at", F.lit(1).alias("kind"), "rule")
-    asked = probes.select(cell_of(F.col("at"), ends, F.xxhash64("page_id", "url")).alias("cell"), "at", F.lit(2).alias("kind"), "page_id", "url", "host", "path", "n")
+    asked = probes(rows, depth).select(cell_of(F.col("at"), ends, F.xxhash64("page_id", "url")).alias("cell"), "at", F.lit(2).alias("kind"), "page_id", "url", "host", "path", "n")
     events = first.unionByName(inside).withColumn("known", F.struct("rule")).drop("rule").unionByName(asked, allowMissingColumns=True)
     # a boundary comes before the probes at its key
     sweep = Window.partitionBy("cell").orderBy(F.col("at").asc_nulls_first(), "kind")

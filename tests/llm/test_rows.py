@@ -45,6 +45,16 @@ def test_odd_urls(spark):
     check_urls(spark, [], queries.URL_RULES)
 
 
+def test_cells_are_even_with_one_top_level_domain(spark):
+    """Most probes of ``com`` share their label; cells are cut between them by path, equal ones are dealt."""
+    rows = [(i, f"https://www{i % 7}.site{i % 3}.com/p{i * 7919 % 4000}/x") for i in range(8000)] + [(9000 + i, "http://hot.com/") for i in range(4000)] + [(20000 + i, None) for i in range(500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(5)
+    ends = urls.cell_ends(pages, 2, 64)
+    asked = urls.probes(pages, 2).select(urls.cell_of(F.col("at"), ends, F.xxhash64("page_id", "url")).alias("cell"))
+    sizes = [r["count"] for r in asked.groupBy("cell").count().collect()]
+    assert len(sizes) > 48 and max(sizes) < 4 * sum(sizes) / len(sizes)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_nested_rules_and_hot_urls(spark, monkeypatch, seed):
     """Rules nested in host and path; a third of all rows share one url."""
