@@ -141,9 +141,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     describe = functools.partial(_describe, keys_of)
     rows = stored(map_texts(docs, "fingerprint string, text_sha256 string, n_points long", describe, id_col, text_col, raw=True), "exact-rows")
     several = stored(rows.groupBy("fingerprint").count().where("count > 1"), "exact-groups")
-    clash = mismatches(docs, several, text_col, keys_of)
+    clash = stored(mismatches(docs, several, text_col, keys_of), "exact-clash")
     part = F.when(F.col("clash"), F.col("text_sha256")).otherwise("")
-    # written first: the join can then split a large group, and the grouping has an exchange of its own
+    # clashes are written first: Spark then knows their size, which is next to nothing, and rows stay where they are; should
+    # there be many, the join can split a large group, as the grouping has an exchange of its own
     same = stored(rows.join(clash.withColumn("clash", F.lit(True)), "fingerprint", "left").withColumn("part", part), "exact-same")
     same = stored(same.groupBy("fingerprint", "part", "text_sha256", "n_points", "doc_id").agg(F.count("*").alias("n")), "exact-parts")
     order = F.struct((-F.col("n_points")).alias("n"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
