@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesloom.functions.identity import tags_from_key
 from seriesloom.functions.values import u64_unwrap, u64_wrap
 from seriesloom.operators.segments import pack_next_fit
-from seriesloom.operators.spread import ROWS_PER_CELL, rank_in_key
+from seriesloom.operators.spread import ROWS_PER_CELL, null_safe, rank_in_key
 from seriesloom.schema import CHANNEL_KEY, KINDS, NULL_VALUE
 
 MAX_POINTS = 250_000  # fixed value: default points per record
@@ -105,23 +106,51 @@ def block_point_count(timestamps: Column) -> Column:
     return F.coalesce(F.size(timestamps), F.lit(0)).cast("bigint")
 
 
+#: Series of a channel whose sizes are added up in one window; a hot channel has many such windows.
+SERIES_PER_SUM = 4096
+
+
+def _numbered_series(series: DataFrame) -> DataFrame:
+    """``series`` with ``_start``, the ``seq`` of its first point: the points of the channel's series before it, added up.
+
+    The first series of a channel keeps its ``first_seq``. Only sizes and plain columns are added up, in runs of
+    ``SERIES_PER_SUM`` series and then over the runs; each start is joined back on the plain columns.
+    """
+    plain = [f.name for f in series.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    deliveries = [c for c in ("stream_id", "batch_id") if c in plain]
+    order = [*deliveries, "batch", "kind", *[c for c in plain if c not in (*deliveries, "batch", "kind", *CHANNEL_KEY)]]
+    sizes = series.select(*plain, F.size("timestamps").cast("bigint").alias("_size"))
+    sizes = sizes.groupBy(*plain).agg(F.sum("_size").alias("_size"))
+    run = [*CHANNEL_KEY, *deliveries, "_run"]
+    sizes = sizes.withColumn("_run", F.call_function("div", F.col("batch"), F.lit(SERIES_PER_SUM).cast("bigint")))
+    before = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("_size").over(before(W.partitionBy(*run).orderBy(*order))), F.lit(0))
+    runs = sizes.groupBy(*run).agg(F.sum("_size").alias("_all"), F.min("first_seq").alias("_low"))
+    earlier = F.coalesce(F.sum("_all").over(before(W.partitionBy(*CHANNEL_KEY).orderBy(*deliveries, "_run"))), F.lit(0))
+    lowest = F.first("_low").over(W.partitionBy(*CHANNEL_KEY).orderBy(*deliveries, "_run"))
+    runs = runs.select(*run, (earlier + lowest).alias("_earlier"))
+    starts = null_safe(sizes.withColumn("_inside", inside), runs, run)
+    starts = starts.select(*plain, (F.col("_earlier") + F.col("_inside")).alias("_start"))
+    return null_safe(series, starts, plain)
+
+
 def unpack_series(series: DataFrame, kinds: tuple[str, ...] = tuple(KINDS)) -> DataFrame:
-    """Series back to canonical points; ``seq`` is the position in the series after ``first_seq``.
+    """Series back to canonical points; ``seq`` numbers a channel's points in the order of its series.
 
-    Series of one channel follow each other in ``seq``, so the points can be packed again in
-    their order.
+    The numbers begin with the channel's least ``first_seq`` and have no gap, so the points are packed again in their order
+    whatever their ``seq`` was: equal arrivals don't mix. Series alike in all plain columns share numbers.
     """
     arrays = [  # the arrays of the other kinds are null, which would make the whole zip null
         F.coalesce(column, F.array().cast(f"array<{ddl}>")).alias(column)
         for k, (_, ddl, column, _) in KINDS.items() if k in kinds
     ]
-    flat = series.select(
-        "channel", "tags", "tags_key", "kind", "batch", "first_seq",
+    flat = _numbered_series(series).select(
+        "channel", "tags", "tags_key", "kind", "batch", "_start",
         F.posexplode(F.arrays_zip(F.col("timestamps"), *arrays)).alias("pos", "p"),
     )
     return flat.select(
         "channel", "tags", "tags_key", F.col("p.timestamps").alias("ts_ns"),
-        (F.col("first_seq") + F.col("pos")).alias("seq"), "kind",
+        (F.col("_start") + F.col("pos")).alias("seq"), "kind",
         *[
             (F.col("p")[column] if k in kinds else F.lit(None)).cast(ddl).alias(name)
             for k, (name, ddl, column, _) in KINDS.items()

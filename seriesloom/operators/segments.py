@@ -6,8 +6,11 @@ of an Arrow batch at once. Rows stream through the task sorted by key and order,
 of the open key carried from batch to batch: no group is ever held whole.
 
 A hot key is walked by many tasks. Each of its cells is first summarised, in parallel, by what
-any cut entering it leads to at its end; the short chain of cells is then followed to find the
-state that each cell starts from; last, all cells are numbered in parallel like ordinary keys.
+any cut entering it leads to at its end. Such a summary is a function from state to state, and two
+in a row compose to one of the same form, so ``FAN`` neighbouring cells become one, and again, until
+``FAN`` are left. From there the states are followed down, level by level, to the one that each cell
+starts from; last, all cells are numbered in parallel like ordinary keys. No task follows more than
+``FAN`` summaries of a key in a row.
 """
 
 from __future__ import annotations
@@ -23,9 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesloom.operators.spread import ROWS_PER_CELL, null_safe, present, split_hot_keys
+from seriesloom.session import scratch_dir
 
 _SEGMENTS_PER_CELL = 64
 
+# Neighbouring summaries that are composed, and followed, by one task.
+FAN = 64
+
 
 def _first_above(values: np.ndarray, limit: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """For each row the first later index whose value exceeds the row's limit, at most its end."""
@@ -85,6 +92,14 @@ class DelayRule:
     def reaches(self, state, at, guard):
         return (guard <= state[0] + self.delay) & (at <= self.max_points - state[1] - 1)
 
+    def last_reached(self, at, guard, x, y):
+        by_count = np.searchsorted(at, self.max_points - y - 1, side="right")
+        return np.minimum(np.searchsorted(guard, x + self.delay, side="right"), by_count) - 1
+
+    def behind(self, none, at, guard):
+        """An entry of the next cell, seen from this one's start; ``none`` is this cell's row without a cut."""
+        return none[0] + at, np.maximum(guard, none[1])
+
     @property
     def max_entries(self):
         return self.max_points
@@ -143,6 +158,13 @@ class FitRule:
     def reaches(self, state, at, guard):
         return (at == 0) | ((state[1] > 0) & (state[1] + guard <= self.capacity))
 
+    def last_reached(self, at, guard, x, y):
+        fits = np.searchsorted(guard, self.capacity - y, side="right") - 1
+        return np.where(y == 0, 0, np.maximum(fits, 0))
+
+    def behind(self, none, at, guard):
+        return none[0] + at, none[1] + guard
+
     @property
     def max_entries(self):
         return self.capacity
@@ -228,6 +250,30 @@ def step(rule: Rule, cell: Summary, state):
     return (x, y), cuts - (1 if not rule.closes and state[1] == 0 else 0)
 
 
+def compose(rule: Rule, first: int, cell: Summary, following: Summary) -> Summary:
+    """The summary of two cells in a row; ``first`` is the weight of the first row of the first one.
+
+    What enters the first cell leads to a state in which the second one is entered. What passes the first one
+    without a cut may be cut in the second, whose entries are counted from the first one's start.
+    """
+    own, none = cell[:-1], cell[-1]
+    reached = rule.last_reached(following[:, 0], following[:, 1], own[:, 2], own[:, 3])
+    _, _, x, y, cuts = following[reached].T
+    passed = reached == len(following) - 1
+    if rule.closes:
+        passed_x, passed_y = own[:, 2], own[:, 3] + following[-1, 0]
+    else:
+        passed_x, passed_y = np.zeros_like(x), own[:, 3] + following[-1, 1]
+        cuts = cuts - ((own[:, 3] == 0) & ~passed)
+    led = np.stack([own[:, 0], own[:, 1], np.where(passed, passed_x, x), np.where(passed, passed_y, y), own[:, 4] + np.where(passed, 0, cuts)], axis=1)
+    at, guard = rule.behind(none, following[:, 0], following[:, 1])
+    behind = np.stack([at, guard, *following[:, 2:].T], axis=1)
+    keep = (at[:-1] < rule.max_points) & (guard[:-1] <= first + rule.delay) if rule.closes else guard[:-1] < rule.capacity
+    both = np.concatenate([led, behind[:-1][keep]])
+    differs = (both[1:, 2:] != both[:-1, 2:]).any(axis=1)
+    return np.concatenate([both[np.concatenate(([True], differs))], behind[-1:]])
+
+
 def _run_starts(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     """Index of the first row of each run of equal keys."""
     changed = np.zeros(batch.num_rows, dtype=bool)
@@ -284,11 +330,33 @@ def _in_order(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.repartition(F.xxhash64(*keys)).sortWithinPartitions(*keys, *order)
 
 
-def _cell_states(hot: DataFrame, rule: Rule, keys: list[str], order: list[str], weight: str) -> DataFrame:
-    """State and segment number that each cell of a hot key starts from.
+def _cells_of(batches: Iterator[pa.RecordBatch], names: list[str], values: tuple[str, ...]):
+    """Each cell (values of ``names``, its first row as a batch of one, numbers of its rows); rows come sorted by ``names``."""
+    open_cell, head, parts = None, None, []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        numbers = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in values], axis=1)
+        starts = _run_starts(batch, names).tolist()
+        for lo, hi in zip(starts, [*starts[1:], batch.num_rows]):
+            cell = tuple(batch.column(c)[lo].as_py() for c in names)
+            if cell != open_cell:
+                if parts:
+                    yield open_cell, head, np.concatenate(parts)
+                open_cell, head, parts = cell, batch.slice(lo, 1), []
+            parts.append(numbers[lo:hi])
+    if parts:
+        yield open_cell, head, np.concatenate(parts)
+
+
+def _cell_states(
+    hot: DataFrame, rule: Rule, keys: list[str], order: list[str], weight: str, cells: int, states: DataFrame | None
+) -> DataFrame:
+    """State and segment number that each cell of a hot key starts from; a key starts from its row of ``states``.
 
-    Cells are summarised in parallel. The summaries of a key then stream, cell after cell,
-    through one task that keeps nothing but the state.
+    Cells are summarised in parallel and the summaries kept in the shared folder. ``FAN`` neighbours are composed
+    to one until a key, which has ``cells`` at most, has ``FAN``; these are followed, and the states found are handed
+    down to the cells that were composed.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -297,12 +365,12 @@ def _cell_states(hot: DataFrame, rule: Rule, keys: list[str], order: list[str],
 
     summary_type, state_type = longs("_cell", *_SUMMARY, "_start"), longs("_cell", "_x", "_y", "_first")
     summary_arrow, state_arrow = to_arrow_schema(summary_type), to_arrow_schema(state_type)
+    spark = hot.sparkSession
 
-    def cell_rows(cell: tuple, summary: Summariser) -> pa.RecordBatch:
-        parts = summary.result()
+    def cell_rows(cell: tuple, parts: Summary, first: int) -> pa.RecordBatch:
         columns = dict(zip([*keys, "_cell"], [[v] * len(parts) for v in cell]))
         columns |= {c: parts[:, i] for i, c in enumerate(_SUMMARY)}
-        columns["_start"] = np.full(len(parts), rule.start([summary.first])[0])
+        columns["_start"] = np.full(len(parts), first)
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[f.name], f.type) for f in summary_arrow], schema=summary_arrow
         )
@@ -318,45 +386,70 @@ def _cell_states(hot: DataFrame, rule: Rule, keys: list[str], order: list[str],
                 cell = tuple(batch.column(c)[lo].as_py() for c in [*keys, "_cell"])
                 if cell != open_cell:
                     if summary:
-                        yield cell_rows(open_cell, summary)
+                        yield cell_rows(open_cell, summary.result(), summary.first)
                     open_cell, summary = cell, Summariser(rule)
                 summary.feed(values[lo:hi])
         if summary:
-            yield cell_rows(open_cell, summary)
+            yield cell_rows(open_cell, summary.result(), summary.first)
+
+    def composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = whole = first = None
+        for (*key, _, parent), head, parts in _cells_of(batches, [*keys, "_cell", "_parent"], _SUMMARY):
+            start = head.column("_start")[0].as_py()
+            if (*key, parent) != group:
+                if group:
+                    yield cell_rows(group, whole, first)
+                group, whole, first = (*key, parent), parts, start
+            else:
+                whole = compose(rule, first, whole, parts)
+        if group:
+            yield cell_rows(group, whole, first)
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_cell, parts, open_key, state, first = None, [], None, None, 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            found = []
-            numbers = np.stack([batch.column(c).to_numpy() for c in _SUMMARY], axis=1)
-            starts = _run_starts(batch, [*keys, "_cell"]).tolist()
-            for lo, hi in zip(starts, [*starts[1:], batch.num_rows]):
-                cell = tuple(batch.column(c)[lo].as_py() for c in [*keys, "_cell"])
-                if cell != open_cell:
-                    if parts:
-                        state, cuts = step(rule, np.concatenate(parts), state)
-                        first += cuts
-                    if cell[:-1] != open_key:
-                        open_key, state, first = cell[:-1], (batch.column("_start")[lo].as_py(), 0), 0
-                    found.append((*cell, *state, first))
-                    open_cell, parts = cell, []
-                parts.append(numbers[lo:hi])
-            columns = zip(*found) if found else [[]] * len(state_arrow)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, state_arrow)], schema=state_arrow)
-
-    found = _in_order(hot, ["_cell", *keys], order).mapInArrow(summaries, summary_type)
-    return _in_order(found, keys, ["_cell", "_at"]).mapInArrow(follow, state_type)
+        group, state, first, found = None, None, 0, []
+        for (*key, cell, parent), head, parts in _cells_of(batches, [*keys, "_cell", "_parent"], _SUMMARY):
+            if (*key, parent) != group:
+                group, state, first = (*key, parent), (rule.start([head.column("_start")[0].as_py()])[0], 0), 0
+                if head.column("_first")[0].is_valid:
+                    state, first = tuple(head.column(c)[0].as_py() for c in ("_x0", "_y0")), head.column("_first")[0].as_py()
+            found.append((*key, cell, *state, first))
+            state, cuts = step(rule, parts, state)
+            first += cuts
+        columns = zip(*found) if found else [[]] * len(state_arrow)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, state_arrow)], schema=state_arrow)
+
+    def kept(found: DataFrame) -> DataFrame:
+        path = scratch_dir(spark, "summaries")
+        found.write.parquet(path)
+        return spark.read.schema(summary_type).parquet(path)
+
+    parent = F.call_function("div", F.col("_cell"), F.lit(FAN).cast("bigint"))
+    levels = [kept(_in_order(hot, ["_cell", *keys], order).mapInArrow(summaries, summary_type))]
+    while cells > FAN:
+        grouped = _in_order(levels[-1].withColumn("_parent", parent), [*keys, "_parent"], ["_cell", "_at"])
+        levels.append(kept(grouped.mapInArrow(composed, summary_type)))
+        cells = -(-cells // FAN)
+    # the topmost summaries begin where the key does, the others where their parent does
+    begin = states.select(*keys, F.lit(0).cast("bigint").alias("_parent"), F.col("_x").alias("_x0"), F.col("_y").alias("_y0"), "_first") if states is not None else None
+    for level in reversed(levels):
+        own = level.withColumn("_parent", F.lit(0).cast("bigint") if level is levels[-1] else parent)
+        if begin is None:
+            own = own.select("*", *[F.lit(None).cast("bigint").alias(c) for c in ("_x0", "_y0", "_first")])
+        else:
+            own = null_safe(own, begin, [*keys, "_parent"])
+        found = _in_order(own, [*keys, "_parent"], ["_cell", "_at"]).mapInArrow(follow, state_type)
+        begin = found.select(*keys, F.col("_cell").alias("_parent"), F.col("_x").alias("_x0"), F.col("_y").alias("_y0"), "_first")
+    return found
 
 
 def segment(
     df: DataFrame, keys: list[str], order: list[str], weight: str, rule: Rule, name: str,
-    rows_per_cell: int = ROWS_PER_CELL,
+    rows_per_cell: int = ROWS_PER_CELL, states: DataFrame | None = None,
 ) -> DataFrame:
     """Append the segment number ``name`` of each row, walking each key in ``order``.
 
-    A null in the first column of ``order`` is an error; keys may be null.
+    A null in the first column of ``order`` is an error; keys may be null. ``states`` (the keys, ``_x``, ``_y`` and
+    ``_first``) has what keys start from that were walked before; others start anew.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -366,14 +459,17 @@ def segment(
     df = df.withColumn(order[0], present(order[0]))
     # rows that arrive at one time stay in one cell: a batch closes by the time alone
     cells, any_hot = split_hot_keys(df, keys, order[:1] if rule.closes else order, enough)
-    run_keys = list(keys)
+    run_keys, rows = list(keys), df
     if any_hot:
         run_keys = ["_cell", *keys]  # the cell first: it tells the rows of a hot key apart when sorting
         hot = cells.where(F.col("_cell").isNotNull()).select(*dict.fromkeys([*run_keys, *order, weight]))
-        rows = null_safe(cells, _cell_states(hot, rule, keys, order, weight), run_keys)
-    else:
-        rows = df
-    worker = _numbering(rule, run_keys, weight, name, to_arrow_schema(schema), any_hot)
+        rows = null_safe(cells, _cell_states(hot, rule, keys, order, weight, any_hot, states), run_keys)
+    if states is not None:
+        carried = [F.col(c).alias(f"_s{c}") for c in ("_x", "_y", "_first")]
+        rows = null_safe(rows, states.select(*keys, *carried), keys)
+        for c in ("_x", "_y", "_first"):
+            rows = rows.withColumn(c, F.coalesce(c, f"_s{c}") if any_hot else F.col(f"_s{c}")).drop(f"_s{c}")
+    worker = _numbering(rule, run_keys, weight, name, to_arrow_schema(schema), any_hot or states is not None)
     return _in_order(rows, run_keys, order).mapInArrow(worker, schema)
 
 

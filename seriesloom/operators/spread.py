@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from seriesloom.session import scratch_dir
+
 ROWS_PER_CELL = 1_000_000
 
 # Sampled rows per cell: a cell is then off its size by an eighth or so.
@@ -45,21 +47,31 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "le
 def hot_cuts(df: DataFrame, keys: list[str], order: list[str], rows_per_cell: int) -> pa.Table:
     """``_kid`` and the order columns of every cut of the hot keys, in order.
 
-    A sample by hash, the one extra pass over key and order columns, is ordered per key; every
-    row of it that closes a cell's share is a cut. An ordinary key closes none, so the result
-    has one row per ``rows_per_cell`` rows of hot keys and is usually empty, in which case the
-    caller's plan needs neither the cuts nor a join. Keys are kept as hashes: a collision would
-    merely cut another key too.
+    A sample by hash is counted per key; without hot keys that is all, and the caller's plan needs neither the cuts
+    nor a join. The sampled rows of hot keys are then sorted into ranges of key and order, which Spark keeps even
+    whatever the keys are, and numbered by their place in the range and the rows of the key in ranges before; every
+    row that closes a cell's share is a cut. No key's sample gathers in a task, and as the counts tell the number of cuts
+    beforehand, they are thinned before any leaves the executors: ``MAX_CUTS`` at most. Keys are kept as hashes: a
+    collision would merely cut another key too.
     """
     rate = max(1, rows_per_cell // SAMPLES)
     share = max(1, rows_per_cell // rate)
-    sample = df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(rate)) == 0)
-    ranked = sample.select(F.xxhash64(*keys).alias("_kid"), *order).withColumn(
-        "_i", F.row_number().over(W.partitionBy("_kid").orderBy(*order))
-    )
-    cuts = ranked.where(F.col("_i") % share == 0).orderBy("_kid", "_i").drop("_i").toArrow()
-    thin = -(-cuts.num_rows // MAX_CUTS)
-    return cuts if thin <= 1 else cuts.take(pa.array(range(0, cuts.num_rows, thin)))
+    sample = df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(rate)) == 0).select(F.xxhash64(*keys).alias("_kid"), *order)
+    hot = sample.groupBy("_kid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= share)
+    known = hot.agg(F.count(F.lit(1)), F.sum(F.call_function("div", F.col("_n"), F.lit(share).cast("bigint")))).first()
+    if not known[0]:
+        return sample.limit(0).toArrow()
+    share *= max(1, -(-known[1] // MAX_CUTS))
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "cuts")
+    ranged = sample.join(hot.select("_kid"), "_kid", "left_semi").repartitionByRange("_kid", *order)
+    ranged.withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
+    sizes = ranged.groupBy("_kid", "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.partitionBy("_kid").orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
+    sizes = sizes.select("_kid", "_range", F.coalesce(before, F.lit(0)).alias("_before"))  # a row per range of a hot key
+    here = F.row_number().over(W.partitionBy("_range", "_kid").orderBy(*order))
+    placed = ranged.withColumn("_i", here).join(sizes, ["_kid", "_range"]).withColumn("_i", F.col("_i") + F.col("_before"))
+    return placed.where(F.col("_i") % share == 0).orderBy("_kid", "_i").select("_kid", *order).toArrow()
 
 
 def _cell(cuts: Column, step: Column, here: Column) -> Column:
@@ -72,11 +84,11 @@ def _cell(cuts: Column, step: Column, here: Column) -> Column:
 
 def split_hot_keys(
     df: DataFrame, keys: list[str], order: list[str], rows_per_cell: int = ROWS_PER_CELL
-) -> tuple[DataFrame, bool]:
-    """Add ``_cell`` (null for an ordinary key); also tell whether any key is hot."""
+) -> tuple[DataFrame, int]:
+    """Add ``_cell`` (null for an ordinary key); also tell how many cells a key may have, 0 if no key is hot."""
     cuts = hot_cuts(df, keys, order, rows_per_cell)
     if cuts.num_rows == 0:
-        return df.withColumn("_cell", F.lit(None).cast("bigint")), False
+        return df.withColumn("_cell", F.lit(None).cast("bigint")), 0
     step = max(1, isqrt(cuts.num_rows))
     at = F.col("_at")
     grouped = (
@@ -98,7 +110,7 @@ def split_hot_keys(
         .join(F.broadcast(grouped), "_kid", "left")
         .withColumn("_cell", cell)
         .drop("_kid", "_cuts")
-    ), True
+    ), cuts.num_rows + 1
 
 
 def rank_in_key(

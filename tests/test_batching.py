@@ -49,6 +49,7 @@ def test_rules_equal_folds_whole_and_in_cells(seed):
     if seed % 2:  # cells are cut by arrival time, so equal times stay together
         cuts = [c for c in cuts if rows[c] != rows[c - 1]]
     state, first, got = rule.start(rows), 0, []
+    whole = None  # all cells composed, as one function of the state that the key starts from
     for cell in np.split(rows, cuts):
         jump = rule.jumps(cell, np.full(len(cell), len(cell))).tolist()
         numbers, _, _ = segments.walk(rule, cell, jump, 0, state, first)
@@ -60,6 +61,8 @@ def test_rules_equal_folds_whole_and_in_cells(seed):
             at += size
         state, made = segments.step(rule, summary.result(), state)
         first += made
+        whole = summary.result() if whole is None else segments.compose(rule, int(rows[0]), whole, summary.result())
+        assert segments.step(rule, whole, rule.start(rows)) == (state, first)
     assert got == want
 
 
@@ -94,10 +97,11 @@ def test_c2_rank_and_count_batches(arrivals, per_cell):
     assert {r.seq: r.batch for r in batched.collect()} == {s: i // 7 for s, i in want.items()}
 
 
-@pytest.mark.parametrize("per_cell", [10**6, 300, 20])
+@pytest.mark.parametrize("per_cell, fan", [(10**6, 64), (300, 64), (20, 64), (20, 3)])
 @pytest.mark.parametrize("max_points, delay", [(5, 10), (1000, 45), (3, 0), (1, 5)])
-def test_c3_delay_batches(arrivals, monkeypatch, per_cell, max_points, delay):
+def test_c3_delay_batches(arrivals, monkeypatch, per_cell, fan, max_points, delay):
     df, rows = arrivals
+    monkeypatch.setattr(segments, "FAN", fan)
     want = {}
     for group in by_key(rows).values():
         want.update(zip([r[3] for r in group], delay_fold([r[2] for r in group], max_points, delay)))
@@ -107,10 +111,11 @@ def test_c3_delay_batches(arrivals, monkeypatch, per_cell, max_points, delay):
     assert got.columns == [*df.columns, "batch"]
 
 
-@pytest.mark.parametrize("per_cell", [10**6, 300, 20])
+@pytest.mark.parametrize("per_cell, fan", [(10**6, 64), (300, 64), (20, 64), (20, 3)])
 @pytest.mark.parametrize("capacity", [1, 10, 250])
-def test_c4_requests(arrivals, monkeypatch, per_cell, capacity):
+def test_c4_requests(arrivals, monkeypatch, per_cell, fan, capacity):
     df, rows = arrivals
+    monkeypatch.setattr(segments, "FAN", fan)
     want = {}
     for group in by_key(rows).values():
         want.update(zip([r[3] for r in group], fit_fold([r[4] for r in group], capacity)))
@@ -152,6 +157,39 @@ def test_there_are_no_cuts_without_hot_keys(arrivals):
     assert hot_cuts(df, ["channel"], ["seq"], 1000).num_rows in (3, 4, 5)
 
 
+def test_cuts_are_thinned_before_they_leave(arrivals, monkeypatch):
+    """With room for few cuts, cells grow evenly; every hot key keeps some."""
+    from seriesloom.operators import spread
+
+    df, _ = arrivals
+    whole = hot_cuts(df, ["channel"], ["seq"], 50)
+    monkeypatch.setattr(spread, "MAX_CUTS", 10)
+    thin = hot_cuts(df, ["channel"], ["seq"], 50)
+    assert whole.num_rows > 60 and 5 <= thin.num_rows <= 10
+    numbers = thin.column("seq").to_pylist()
+    assert numbers == sorted(numbers)
+    assert max(b - a for a, b in zip(numbers, numbers[1:], strict=False)) < 2 * 6000 / len(numbers)
+
+
+@pytest.mark.parametrize("per_cell, fan", [(10**6, 64), (20, 3)])
+def test_keys_go_on_from_carried_states(spark, monkeypatch, per_cell, fan):
+    monkeypatch.setattr(segments, "_SEGMENTS_PER_CELL", 0)
+    monkeypatch.setattr(segments, "FAN", fan)
+    rnd = random.Random(3)
+    times = sorted(rnd.randrange(900) for _ in range(400))
+    df = spark.createDataFrame([(c, t, i) for c in ("a", None) for i, t in enumerate(times)] + [("new", 5, 0)], "k string, t long, seq long")
+    rule = segments.DelayRule(7, 20)
+    state, first = (int(times[150]), 3), 40
+    states = spark.createDataFrame([(c, *state, first) for c in ("a", None)], "k string, _x long, _y long, _first long")
+    late = df.where((F.col("seq") > 150) | (F.col("k") == "new"))
+    got = segments.segment(late, ["k"], ["t", "seq"], "t", rule, "batch", per_cell, states)
+    rows = np.array(times[151:])
+    want = segments.walk(rule, rows, rule.jumps(rows, np.full(len(rows), len(rows))).tolist(), 0, state, first)[0].tolist()
+    for key in ("a", None):
+        assert [r.batch for r in got.where(F.col("k").eqNullSafe(F.lit(key))).orderBy("seq").collect()] == want
+    assert got.where("k = 'new'").first().batch == 0 and got.columns == ["k", "t", "seq", "batch"]
+
+
 def test_hot_channel_is_spread_over_cells(arrivals):
     """No cell of the hot channel is much larger than asked for, whatever the bursts."""
     df, _ = arrivals

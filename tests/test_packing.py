@@ -140,6 +140,31 @@ def test_pack_and_unpack_keep_order_and_values(spark, kind):
     assert rows(again) == rows(series)
 
 
+@pytest.mark.parametrize("per_sum", [4096, 2])
+def test_equal_arrivals_stay_in_order_when_packed_again(spark, monkeypatch, per_sum):
+    """Eight points at one instant, and a channel whose ``seq`` has gaps."""
+    monkeypatch.setattr(packing, "SERIES_PER_SUM", per_sum)
+    rows = [("a", 5, float(i), 9) for i in range(8)] + [("b", i, float(i), 100 * i) for i in range(7)]
+    df = spark.createDataFrame(rows, "ch string, ts long, v double, seq long")
+    series = packing.pack_series(src.points_from_rows(df, "ch", "ts", "v", seq="seq"), 3)
+    back = packing.unpack_series(series)
+    numbers = {c: sorted(r.seq for r in back.where(F.col("channel") == c).collect()) for c in "ab"}
+    assert numbers == {"a": list(range(9, 17)), "b": list(range(7))}
+    values = lambda s: sorted((r.channel, r.batch, r.v_double) for r in packing.unpack_series(s).collect())
+    again = packing.pack_series(check_points(back).drop("batch", "pos"), 3)
+    assert values(again) == values(series)
+    arrays = lambda s: sorted((r.channel, r.batch, r.doubles) for r in s.collect())
+    assert arrays(again) == arrays(series)
+
+
+def test_deliveries_follow_each_other_when_unpacked(spark):
+    """Batches begin again at 0 with every delivery."""
+    df = spark.range(10).selectExpr("id", "cast(id as double) as v")
+    series = packing.pack_series(src.points_typed(df, "double", F.lit("c"), "id", "v"), 4)
+    both = series.withColumn("batch_id", F.lit(0)).unionByName(series.withColumn("batch_id", F.lit(1)))
+    assert sorted(r.seq for r in packing.unpack_series(both).collect()) == list(range(20))
+
+
 def test_requests_round_trip(spark):
     series = requests_of(src.union_points(*[blocks(spark, k, 1, 100, tagged=False) for k in KINDS]), 150)
     requests = packing.build_requests(series)
