@@ -15,6 +15,7 @@ from seriesloom.streaming import (
     FileSink,
     IngestJob,
     IngestOptions,
+    LiveBatches,
     SendSink,
     SpoolIngest,
     TableSink,
@@ -44,13 +45,12 @@ def stream_equals_batch(spark, sf):
 
 
 def batch_stream_q(spark, sf):
-    """Live count- and delay-bounded batches, state kept per channel."""
+    """Live count- and delay-bounded batches, state carried per channel."""
     points = _live_events(spark, sf).select("channel", "tags_key", "seq", F.col("ts_ns").alias("arrival_ns"))
     out = scratch_dir(spark, "batches")
-    numbered = batch_stream(points, BATCH, t.DAY_NS).writeStream.format("parquet")
-    numbered = numbered.option("checkpointLocation", scratch_dir(spark, "state")).option("path", out)
-    numbered.outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out).groupBy("channel", "tags_key", "batch").agg(F.count(F.lit(1)).alias("n"))
+    numbered = batch_stream(points, out, scratch_dir(spark, "state"), BATCH, t.DAY_NS)
+    numbered.trigger(availableNow=True).start().awaitTermination()
+    return LiveBatches(out, BATCH).read(spark).groupBy("channel", "tags_key", "batch").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _requests(spark, sf):

@@ -1,4 +1,4 @@
-from seriesloom.streaming.batching import batch_stream
+from seriesloom.streaming.batching import LiveBatches, batch_stream
 from seriesloom.streaming.job import IngestJob, IngestOptions
 from seriesloom.streaming.sinks import (
     DeliveryFailed,
@@ -14,5 +14,5 @@ from seriesloom.streaming.spool import SpoolIngest
 
 __all__ = [
     "DeliveryFailed", "DualSink", "FallbackSink", "FileSink", "IngestJob", "IngestOptions",
-    "ListeningSink", "MissingCredential", "SendSink", "SpoolIngest", "TableSink", "batch_stream",
+    "ListeningSink", "LiveBatches", "MissingCredential", "SendSink", "SpoolIngest", "TableSink", "batch_stream",
 ]

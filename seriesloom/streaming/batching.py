@@ -1,138 +1,123 @@
-"""Batches of an unbounded stream: count and delay bounds with per-channel state (C2, C3 live)."""
+"""Batches of an unbounded stream: count and delay bounds carried from micro-batch to micro-batch (C2, C3 live)."""
 
 from __future__ import annotations
 
-import os
-import pickle
-import tempfile
-from collections.abc import Iterator
-from contextlib import ExitStack
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
-from seriesloom.operators.segments import DelayRule, walk
+from seriesloom.operators.segments import DelayRule, segment
+from seriesloom.operators.spread import ROWS_PER_CELL, null_safe
 from seriesloom.schema import CHANNEL_KEY
 
-_STATE = T.StructType([T.StructField(c, T.LongType()) for c in ("last", "waiting", "batch")])
 _NEVER = 2**62  # a delay that no clock reaches
-ROWS_IN_MEMORY = 1 << 17
-_RUNS_AT_ONCE = 8
-
-
-def _sorted(frames: list[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    return pd.concat(frames, ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
-
-
-def _spill(frames: Iterator[pd.DataFrame], folder: str, block: int) -> str:
-    """A sorted run as a file of blocks."""
-    handle, path = tempfile.mkstemp(dir=folder)
-    with os.fdopen(handle, "wb") as file:
-        for frame in frames:
-            for at in range(0, len(frame), block):
-                pickle.dump(frame.iloc[at : at + block], file, protocol=5)
-    return path
-
-
-def _blocks(path: str) -> Iterator[pd.DataFrame]:
-    """The blocks of a run; the file goes with its last one."""
-    with open(path, "rb") as file:
-        size = os.fstat(file.fileno()).st_size
-        while file.tell() < size:
-            yield pickle.load(file)
-    os.remove(path)
-
-
-def _upto(frame: pd.DataFrame, order: list[str], end: tuple) -> int:
-    """The number of rows of a sorted frame up to ``end``; nulls come last."""
-    less, same = np.zeros(len(frame), dtype=bool), np.ones(len(frame), dtype=bool)
-    for name, bound in zip(order, end):
-        values = frame[name].to_numpy()
-        none = pd.isna(values)
-        less |= same & (~none if bound == np.inf else values < bound)
-        same &= none if bound == np.inf else values == bound
-    return int((less | same).sum())
-
-
-def _merged(runs: list[str], order: list[str]) -> Iterator[pd.DataFrame]:
-    """Sorted runs as one, with a block of each in memory."""
-    files = [_blocks(run) for run in runs]
-    heads = [next(file, None) for file in files]
-    while live := [i for i, head in enumerate(heads) if head is not None]:
-        lasts = [[heads[i][c].iloc[-1] for c in order] for i in live]
-        end = min(tuple(np.inf if pd.isna(v) else v for v in last) for last in lasts)
-        ready = []
-        for i in live:  # no run has a row up to the end beyond its block but ties, which stay in any order
-            n = _upto(heads[i], order, end)
-            ready.append(heads[i].iloc[:n])
-            heads[i] = heads[i].iloc[n:] if n < len(heads[i]) else next(files[i], None)
-        yield _sorted(ready, order)
-
-
-def in_order(parts: Iterator[pd.DataFrame], order: list[str], rows: int = ROWS_IN_MEMORY) -> Iterator[pd.DataFrame]:
-    """The rows of all parts in ``order``, frame by frame, with about ``rows`` and one part in memory.
-
-    What is more goes through sorted runs in the task's temporary folder.
+_CARRIED = ["_x", "_y", "_first"]  # time of the last close, points waiting, number of the open batch
+
+
+@dataclass(frozen=True)
+class LiveBatches:
+    """Numbers the batches of every channel of a stream of micro-batches.
+
+    What a channel carries to the next micro-batch are three numbers, a row of the state table: the time of its last
+    close, the points waiting and the open batch. Within a micro-batch Spark sorts the points and walks them as in
+    :func:`segment`, so a hot channel is worked on by many tasks. Nothing fires without a point, so no timer is needed.
+
+    Both tables lie under ``path``: ``batches/batch_id=N`` and two states, the one that a micro-batch started from and
+    the one it leaves. A repeated micro-batch starts from the same state and replaces its own rows, so its numbers are
+    the same. The state has a row per channel seen so far and is written whole each time.
     """
-    held, count, runs, block = [], 0, [], max(1, rows // _RUNS_AT_ONCE)
-    with ExitStack() as scratch:
-        for part in parts:
-            held.append(part)
-            count += len(part)
-            if count > rows:
-                if not runs:
-                    folder = scratch.enter_context(tempfile.TemporaryDirectory(prefix="batches-"))
-                runs.append(_spill(iter([_sorted(held, order)]), folder, block))
-                held, count = [], 0
-        if not runs:
-            if count:
-                yield _sorted(held, order)
-            return
-        if count:
-            runs.append(_spill(iter([_sorted(held, order)]), folder, block))
-        del held
-        while len(runs) > _RUNS_AT_ONCE:
-            groups = [runs[i : i + _RUNS_AT_ONCE] for i in range(0, len(runs), _RUNS_AT_ONCE)]
-            runs = [_spill(_merged(group, order), folder, block) for group in groups]
-        yield from _merged(runs, order)
+
+    path: str
+    max_points: int
+    delay_ns: int | None = None
+    arrival: str = "arrival_ns"
+    rows_per_cell: int = ROWS_PER_CELL
+
+    @property
+    def clock(self) -> str:
+        return "seq" if self.delay_ns is None else self.arrival
+
+    @property
+    def rule(self) -> DelayRule:
+        return DelayRule(self.max_points, _NEVER if self.delay_ns is None else self.delay_ns)
+
+    def _state_folder(self, number: int) -> str:
+        return f"{self.path}/states/{number % 2}"
+
+    def state(self, spark: SparkSession, number: int) -> DataFrame | None:
+        """What micro-batch ``number`` starts from."""
+        if number == 0:
+            return None
+        state = spark.read.parquet(self._state_folder(number - 1))
+        other = F.raise_error(F.lit(f"the state before micro-batch {number} is missing under {self.path}")).cast("bigint")
+        return state.where(F.when(F.col("batch_id") == number - 1, True).otherwise(other.isNotNull()))
+
+    def write(self, points: DataFrame, number: int) -> None:
+        """Number one micro-batch; points go by ``arrival``, then ``seq``."""
+        spark, folder = points.sparkSession, f"{self.path}/batches/batch_id={number}"
+        before = self.state(spark, number)
+        order = list(dict.fromkeys([self.clock, "seq"]))
+        points = points.persist()  # read by the hot-key pass and by the walk
+        try:
+            numbered = segment(points, CHANNEL_KEY, order, self.clock, self.rule, "batch", self.rows_per_cell, before)
+            numbered.write.mode("overwrite").parquet(folder)
+        finally:
+            points.unpersist()
+        after = self._after(spark.read.parquet(folder), before).withColumn("batch_id", F.lit(number).cast("bigint"))
+        after.write.mode("overwrite").parquet(self._state_folder(number))
+
+    def _after(self, numbered: DataFrame, before: DataFrame | None) -> DataFrame:
+        """The state that numbered points leave, from their last two batches, and that of channels that had none.
+
+        A batch ends with the point that closes it, so the last close is the end of the batch before the last one, or
+        of the last one if that is full or ended late. Batches are counted where their points are; of each channel
+        the last two meet.
+        """
+        batches = numbered.groupBy(*CHANNEL_KEY, "batch").agg(
+            F.count(F.lit(1)).alias("n"), F.min(self.clock).alias("begin"), F.max(self.clock).alias("end")
+        )
+        place = F.row_number().over(W.partitionBy(*CHANNEL_KEY).orderBy(F.desc("batch")))
+        last = batches.withColumn("_place", place).where(F.col("_place") <= 2)
+        at = lambda place, value: F.max(F.when(F.col("_place") == place, F.col(value)))
+        last = last.groupBy(*CHANNEL_KEY).agg(
+            at(1, "batch").alias("batch"), at(1, "n").alias("n"), at(1, "begin").alias("begin"),
+            at(1, "end").alias("end"), at(2, "end").alias("closed"),
+        )
+        if before is None:
+            last = last.select("*", *[F.lit(None).cast("bigint").alias(c) for c in _CARRIED])
+        else:
+            last = null_safe(last, before.select(*CHANNEL_KEY, *_CARRIED), CHANNEL_KEY)
+        same = F.col("_first").eqNullSafe(F.col("batch"))  # the batch was open before
+        waiting = F.col("n") + F.when(same, F.col("_y")).otherwise(0)
+        # a channel's clock starts with its first point
+        start = F.coalesce("closed", F.when(F.col("_first").isNotNull(), F.col("_x")).otherwise(F.col("begin")))
+        full = (waiting >= self.max_points) | (F.col("end") - start > self.rule.delay)
+        after = last.select(
+            *CHANNEL_KEY, F.when(full, F.col("end")).otherwise(start).cast("bigint").alias("_x"),
+            F.when(full, 0).otherwise(waiting).cast("bigint").alias("_y"),
+            (F.col("batch") + full.cast("int")).cast("bigint").alias("_first"),
+        )
+        if before is None:
+            return after
+        seen = after.select(*CHANNEL_KEY, F.lit(True).alias("_seen"))
+        silent = null_safe(before.select(*CHANNEL_KEY, *_CARRIED), seen, CHANNEL_KEY).where("_seen is null").drop("_seen")
+        return after.unionByName(silent)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """All numbered points so far."""
+        return spark.read.parquet(f"{self.path}/batches")
 
 
 def batch_stream(
-    points: DataFrame, max_points: int, delay_ns: int | None = None, arrival: str = "arrival_ns",
-    rows_in_memory: int = ROWS_IN_MEMORY,
-) -> DataFrame:
-    """Number the batches of each channel of a streaming DataFrame.
-
-    The state of a channel is three numbers: the time of its last close, the points waiting and
-    the open batch. Nothing fires without a point, so no timer is needed. Points of one
-    micro-batch are taken in order of ``arrival`` and ``seq``. They pass through one task per
-    channel, which holds about ``rows_in_memory`` of them and sorts the others on its disk, so a
-    long channel of a large micro-batch takes time there but no memory.
+    points: DataFrame, path: str, checkpoint: str, max_points: int, delay_ns: int | None = None,
+    arrival: str = "arrival_ns", rows_per_cell: int = ROWS_PER_CELL,
+) -> DataStreamWriter:
+    """Number the batches of each channel of a streaming DataFrame into tables under ``path``.
+
+    The result is a writer to trigger and start; :class:`LiveBatches` tells what it writes and reads it.
     """
-    schema = T.StructType([*points.schema.fields, T.StructField("batch", T.LongType())])
-    rule = DelayRule(max_points, _NEVER if delay_ns is None else delay_ns)
-    clock = "seq" if delay_ns is None else arrival
-    order = list(dict.fromkeys([clock, "seq"]))
-    names = [f.name for f in schema.fields]
-
-    def number(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        carried = state.get if state.exists else None
-        for rows in in_order(parts, order, rows_in_memory):
-            times = rows[clock].to_numpy(dtype=np.int64)
-            last, waiting, batch = carried or (*rule.start(times), 0)
-            if delay_ns is None:
-                times, last = np.zeros_like(times), 0
-            jump = rule.jumps(times, np.full(len(times), len(times))).tolist()
-            numbers, (last, waiting), batch = walk(rule, times, jump, 0, (last, waiting), batch)
-            carried = int(last), int(waiting), int(batch)
-            rows["batch"] = numbers
-            yield rows[names]
-        if carried:
-            state.update(carried)
-
-    return points.groupBy(*CHANNEL_KEY).applyInPandasWithState(
-        number, schema, _STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    live = LiveBatches(path, max_points, delay_ns, arrival, rows_per_cell)
+    return points.writeStream.option("checkpointLocation", checkpoint).foreachBatch(live.write)

@@ -5,13 +5,11 @@ import random
 import sys
 import time
 
-import numpy as np
-import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from seriesloom.operators import packing, reports
+from seriesloom.operators import packing, reports, segments
 from seriesloom.sources import points as src
 from seriesloom.sources import series_avro
 from seriesloom.streaming import (
@@ -22,13 +20,13 @@ from seriesloom.streaming import (
     IngestJob,
     IngestOptions,
     ListeningSink,
+    LiveBatches,
     MissingCredential,
     SendSink,
     SpoolIngest,
     TableSink,
     batch_stream,
 )
-from seriesloom.streaming.batching import in_order
 from seriesloom.streaming.job import admitted
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # senders run on workers
@@ -298,56 +296,6 @@ def test_f1_remote_with_file_fallback_end_to_end(spark, folder, tmp_path):
     assert files.agg(F.max(F.size("timestamps")), F.min("dataset_id")).first()[:] == (50, "ds")
 
 
-def test_c2_c3_live_batches_continue_across_micro_batches(spark, tmp_path):
-    arrivals = [0, 101, 202, 203, 204, 205, 500, 501, 502, 503]
-    for i in range(0, len(arrivals), 3):
-        rows = [("c", "", i + k, a) for k, a in enumerate(arrivals[i : i + 3])]
-        df = spark.createDataFrame(rows, "channel string, tags_key string, seq bigint, arrival_ns bigint")
-        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        time.sleep(0.02)
-    for name, delay, want in (("d", 100, [0, 0, 1, 1, 1, 2, 2, 3, 3, 3]), ("n", None, [0, 0, 0, 0, 1, 1, 1, 1, 2, 2])):
-        reader = spark.readStream.schema("channel string, tags_key string, seq bigint, arrival_ns bigint")
-        stream = reader.option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-        query = batch_stream(stream, 4, delay).writeStream.option("checkpointLocation", str(tmp_path / f"cp{name}"))
-        query.trigger(availableNow=True).start(str(tmp_path / name)).awaitTermination()
-        got = spark.read.parquet(str(tmp_path / name)).orderBy("seq").collect()
-        assert [r.batch for r in got] == fold(arrivals, 4, delay), name
-
-
-def test_c3_live_batches_of_a_long_channel_in_little_memory(spark, tmp_path):
-    """A micro-batch of many parts out of order; runs are merged in several rounds."""
-    rnd = random.Random(5)
-    arrivals = sorted(rnd.randrange(6_000) for _ in range(4_000))
-    rows = [("c", "", i, a) for i, a in enumerate(arrivals)]
-    rnd.shuffle(rows)
-    schema = "channel string, tags_key string, seq bigint, arrival_ns bigint"
-    for half in (rows[:1], [r for r in rows[1:] if r[2] < 3_900], [r for r in rows[1:] if r[2] >= 3_900]):
-        time.sleep(0.02)
-        spark.createDataFrame(half, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    late = rows[0][2]
-    want = fold([arrivals[late], *arrivals[:late], *arrivals[late + 1 :]], 4, 3)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
-    try:
-        query = batch_stream(stream, 4, 3, rows_in_memory=100).writeStream.option("checkpointLocation", str(tmp_path / "cp"))
-        query.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
-    got = {r.seq: r.batch for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert [got[late], *(got[i] for i in range(4_000) if i != late)] == want
-
-
-def test_c3_parts_are_sorted_without_holding_them_all():
-    rnd = np.random.default_rng(3)
-    frame = pd.DataFrame({"arrival_ns": rnd.integers(0, 200, 4_000), "seq": rnd.permutation(4_000).astype(float), "v": "x"})
-    frame.loc[::7, "seq"] = None
-    order = ["arrival_ns", "seq"]
-    got = list(in_order((frame.iloc[i : i + 20] for i in range(0, 4_000, 20)), order, 100))
-    assert max(map(len, got)) <= 200 and list(in_order(iter([]), order, 100)) == []
-    pd.testing.assert_frame_equal(pd.concat(got)[order].reset_index(drop=True), frame.sort_values(order, ignore_index=True)[order])
-
-
 def fold(arrivals, cap, delay):
     last, waiting, batch, out = arrivals[0], 0, 0, []
     for a in arrivals:
@@ -358,6 +306,54 @@ def fold(arrivals, cap, delay):
     return out
 
 
+LIVE = "channel string, tags_key string, seq bigint, arrival_ns bigint"
+
+
+def add_arrivals(spark, folder, rows):
+    time.sleep(0.02)  # files are admitted in the order of their times
+    spark.createDataFrame(rows, LIVE).coalesce(1).write.mode("append").parquet(folder)
+
+
+@pytest.mark.parametrize("per_cell", [10**6, 2])
+def test_c2_c3_live_batches_continue_across_micro_batches(spark, tmp_path, monkeypatch, per_cell):
+    monkeypatch.setattr(segments, "_SEGMENTS_PER_CELL", 0)
+    arrivals = [0, 101, 202, 203, 204, 205, 500, 501, 502, 503]
+    for i in range(0, len(arrivals), 3):
+        add_arrivals(spark, str(tmp_path / "in"), [("c", "", i + k, a) for k, a in enumerate(arrivals[i : i + 3])])
+    for name, delay, want in (("d", 100, [0, 0, 1, 1, 1, 2, 2, 3, 3, 3]), ("n", None, [0, 0, 0, 0, 1, 1, 1, 1, 2, 2])):
+        stream = spark.readStream.schema(LIVE).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        out = str(tmp_path / name)
+        query = batch_stream(stream, out, str(tmp_path / f"cp{name}"), 4, delay, rows_per_cell=per_cell)
+        query.trigger(availableNow=True).start().awaitTermination()
+        got = LiveBatches(out, 4).read(spark).orderBy("seq").collect()
+        assert [r.batch for r in got] == fold(arrivals, 4, delay), name
+
+
+def test_c3_live_batches_of_a_hot_channel_in_many_tasks(spark, tmp_path, monkeypatch):
+    """One channel has nearly all points of each micro-batch, out of order; others are silent at times."""
+    monkeypatch.setattr(segments, "_SEGMENTS_PER_CELL", 0)
+    monkeypatch.setattr(segments, "FAN", 4)
+    rnd = random.Random(5)
+    arrivals = sorted(rnd.randrange(3_000) for _ in range(3_000))
+    rows = [("hot", "", i, a) for i, a in enumerate(arrivals)] + [("b", "", 0, 7), (None, "", 1, 8), ("b", "", 2, 2_900)]
+    live = LiveBatches(str(tmp_path / "out"), 5, 2, rows_per_cell=60)
+    batch = lambda lo, hi: spark.createDataFrame(rnd.sample(part := [r for r in rows if lo <= r[3] < hi], len(part)), LIVE)
+    for number, (lo, hi) in enumerate([(0, 1), (1, 1_000), (1_000, 2_500), (2_500, 3_000)]):
+        live.write(batch(lo, hi), number)
+        if number == 2:
+            before = sorted(map(str, live.read(spark).collect()))
+            live.write(batch(lo, hi), number)  # a repeated micro-batch gives the same numbers
+            assert sorted(map(str, live.read(spark).collect())) == before
+    got = {(r.channel, r.seq): r.batch for r in live.read(spark).collect()}
+    assert len(got) == len(rows)
+    assert [got["hot", i] for i in range(3_000)] == fold(arrivals, 5, 2)
+    assert (got["b", 0], got[None, 1], got["b", 2]) == (0, 0, 0)
+    state = {r.channel: (r._x, r._y, r._first) for r in live.state(spark, 4).collect()}
+    assert state[None] == (8, 1, 0) and state["b"] == (2_900, 0, 1) and len(state) == 3
+    with pytest.raises(Exception, match="state before micro-batch 2 is missing"):
+        live.write(batch(1_000, 2_500), 2)  # its state was replaced long ago
+
+
 def test_e9_spool(spark, tmp_path):
     spool, table = str(tmp_path / "spool"), TableSink(str(tmp_path / "table"))
     os.makedirs(spool)
