@@ -56,8 +56,11 @@ def hot_cuts(df: DataFrame, keys: list[str], order: list[str], rows_per_cell: in
     """
     rate = max(1, rows_per_cell // SAMPLES)
     share = max(1, rows_per_cell // rate)
-    sample = df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(rate)) == 0).select(F.xxhash64(*keys).alias("_kid"), *order)
-    hot = sample.groupBy("_kid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= share)
+    sampled, kid = F.pmod(F.xxhash64(*keys, *order), F.lit(rate)) == 0, F.xxhash64(*keys)
+    sample = df.where(sampled).select(kid.alias("_kid"), *order)
+    # the other rows are counted as one: what observes ``df`` is then told of all its rows by this pass
+    counts = df.select(F.when(sampled, kid).alias("_kid")).groupBy("_kid").agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_kid").isNotNull() & (F.col("_n") >= share))
     known = hot.agg(F.count(F.lit(1)), F.sum(F.call_function("div", F.col("_n"), F.lit(share).cast("bigint")))).first()
     if not known[0]:
         return sample.limit(0).toArrow()

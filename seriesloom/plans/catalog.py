@@ -316,6 +316,16 @@ def unpack_series(spark, sf):
     return points.select("channel", "tags_key", "ts_ns", "v_double")
 
 
+def unpack_series_ties(spark, sf):
+    """Line items arrive by the day, many at a time: unpacked numbers are unique and without a gap all the same."""
+    tax = src.points_from_rows(t.table(spark, sf, "lineitem"), F.lit("li.tax"), "l_shipdate", "l_tax", {"returnflag": F.col("l_returnflag")})
+    points = packing.unpack_series(packing.pack_series(tax, 1000, kinds=("double",)), kinds=("double",))
+    return points.groupBy("channel", "tags_key").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("seq").alias("n_seq"),
+        (F.max("seq") - F.min("seq") + 1).alias("span"),
+    )
+
+
 # -- file encoding -------------------------------------------------------------------------
 
 
@@ -450,6 +460,7 @@ QUERIES = {
     "kind_conflicts": kind_conflicts,
     "block_point_count": block_point_count,
     "unpack_series": unpack_series,
+    "unpack_series_ties": unpack_series_ties,
     "encode_union": encode_union,
     "encode_empty": encode_empty,
     "file_records": file_records,

@@ -176,6 +176,8 @@ ORACLES = {
     "block_point_count": """select 'emb.' || label as channel, vec_id as block_id,
       case when label <> 0 then len(embedding) else 0 end as n from embeddings""",
     "unpack_series": f"select channel, tags_key, ts_ns, v_double from ({EV})",
+    "unpack_series_ties": """select 'li.tax' as channel, 'returnflag=' || l_returnflag as tags_key, count(*) as n,
+      count(*) as n_seq, count(*) as span from lineitem group by 2""",
     "encode_union": _BRANCHES,
     "encode_empty": """select 'emb.' || label as channel,
       sum(case when label <> 0 then len(embedding) else 0 end)::bigint as n_ts,
@@ -202,6 +204,7 @@ _EV_BLOCKS_50 = f"""select 0 as shard, channel, tags_key, batch, count(*) as n,
   group by channel, tags_key, batch"""
 
 DELIVERY_ORACLES = {
+    "admitted_points": f"select channel, 'double' as kind, count(*) as n, true as bounded from ({EV}) group by 1",
     "stream_equals_batch": f"select channel, 'double' as kind, count(*) as n from ({EV}) group by 1",
     "batch_stream": ORACLES["batch_by_delay"],
     "fallback_route": f"""select case when channel = 'ev.click' then 'fallback' else 'primary' end as sink, channel,

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import logging
 import threading
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from seriesloom.operators.packing import BLOCK_KEY, pack_series, request_blocks, with_shard
 from seriesloom.schema import check_points
-from seriesloom.streaming.sinks import BatchId, DualSink, FallbackSink, FileSink, ListeningSink, SendSink, Sink
+from seriesloom.streaming.sinks import BatchId, DualSink, FallbackSink, FileSink, ListeningSink, SendSink, Sink, observed
 
 log = logging.getLogger(__name__)
 
@@ -23,12 +25,26 @@ class IngestOptions:
 
     max_points_per_record: int = 250_000  # points per series and per request
     max_request_delay: float = 0.1  # seconds between micro-batches
-    max_buffered_requests: int = 4  # new files admitted per micro-batch
+    max_buffered_requests: int = 4  # new files admitted per micro-batch, where points are not bounded
     request_dispatcher_tasks: int = 8  # parallel request sequences and senders
+    max_points_in_flight: int | None = None  # points admitted per micro-batch
 
 
-def admitted(reader: DataStreamReader, options: IngestOptions) -> DataStreamReader:
-    """Back-pressure: a micro-batch takes a bounded number of new files."""
+def points_per_byte(rows: DataFrame) -> float:
+    """The most rows that a byte of a source file holds, over all files of a static DataFrame; 0 without rows."""
+    files = rows.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path", "file_size").count()
+    return files.agg(F.coalesce(F.max(F.col("count") / F.col("file_size")), F.lit(0.0))).first()[0]
+
+
+def admitted(reader: DataStreamReader, options: IngestOptions, density: float | None = None) -> DataStreamReader:
+    """Back-pressure: a micro-batch takes a bounded number of points, or of new files.
+
+    With ``max_points_in_flight`` and a ``density``, the points in a byte of the densest file, Spark admits files up to the
+    bytes that can hold so many points, however unequal they are. A file is never divided: one that is larger by
+    itself is a micro-batch of its own.
+    """
+    if options.max_points_in_flight and density:
+        return reader.option("maxBytesPerTrigger", max(1, int(options.max_points_in_flight / density)))
     return reader.option("maxFilesPerTrigger", options.max_buffered_requests)
 
 
@@ -84,6 +100,23 @@ class IngestJob:
 
     # -- definition (F1) -------------------------------------------------------------------
 
+    @classmethod
+    def from_files(
+        cls, spark: SparkSession, path: str, schema: T.StructType | str, to_points: Callable[[DataFrame], DataFrame],
+        checkpoint: str, options: IngestOptions = IngestOptions(), on_failure: str = "fail", format: str = "parquet",
+        points_per_row: int = 1,
+    ) -> IngestJob:
+        """A job over the files under ``path``, admitted as the options say.
+
+        ``to_points`` makes points of rows, ``points_per_row`` at most. The files' density is measured once, when the job
+        is defined; for the columnar formats this reads no column.
+        """
+        density = None
+        if options.max_points_in_flight:
+            density = points_per_row * points_per_byte(spark.read.schema(schema).format(format).load(path))
+        rows = admitted(spark.readStream.schema(schema).format(format), options, density).load(path)
+        return cls(to_points(rows), checkpoint, options, on_failure)
+
     def with_options(self, **changes) -> IngestJob:
         self.options = replace(self.options, **changes)
         return self
@@ -123,7 +156,7 @@ class IngestJob:
             target = self.remote or self.file
             if self.fallback:
                 target = FallbackSink(target, self.fallback)
-        return ListeningSink(target, [*self.listeners, _Log(), self._gauge])
+        return ListeningSink(target, [*self.listeners, _Log(), self._gauge], self.options.request_dispatcher_tasks)
 
     # -- one micro-batch -------------------------------------------------------------------
 
@@ -134,11 +167,14 @@ class IngestJob:
             self._known.wait()
             batch_id = BatchId(number, str(self.query.id))
             points = batch.persist()  # read by the hot-key pass and by the packing
-            packed = pack_series(points, options.max_points_per_record)
+            taken = Observation()
+            # the hot-key pass reads every point and counts them on its way
+            packed = pack_series(points.observe(taken, F.count(F.lit(1)).alias("points")), options.max_points_per_record)
             packed = with_shard(packed, options.request_dispatcher_tasks).persist()
             requests = request_blocks(packed, options.max_points_per_record).persist()
             try:
-                accepted = packed.agg(F.sum("n")).first()[0]
+                seen = observed(taken)
+                accepted = seen["points"] if seen else points.count()
                 if accepted:  # an empty buffer sends nothing (C9)
                     self._gauge.accepted += accepted
                     target.write(packed.join(requests, BLOCK_KEY), batch_id)

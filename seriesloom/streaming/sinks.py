@@ -9,13 +9,14 @@ so a repeated batch replaces itself and nothing else.
 from __future__ import annotations
 
 import logging
+import threading
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any, Protocol
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.operators.packing import build_requests
@@ -259,23 +260,64 @@ def summarise(series: DataFrame, batch_id: int) -> dict:
     return {"batch_id": batch_id, "requests": counts[0], "points": counts[1] or 0}
 
 
+#: Seconds in which what a finished write has observed must be there; a sink that reads nothing observes nothing.
+OBSERVED_S = 10.0
+
+
+def observed(watch: Observation) -> dict | None:
+    """What a finished action has observed; none if none ran over the observed rows, or there were no rows."""
+    found: list[dict] = []
+
+    def wait() -> None:  # it waits for an action
+        try:
+            found.append(watch.get)
+        except Exception:  # noqa: BLE001 - a plan that turned out empty has lost what observes it
+            log.debug("nothing was observed")
+
+    waiting = threading.Thread(target=wait, daemon=True)
+    waiting.start()
+    waiting.join(OBSERVED_S)
+    return found[0] if found else None
+
+
 @dataclass
 class ListeningSink:
-    """Tells all listeners, in order, how a write went, and passes the error on."""
+    """Tells all listeners, in order, how a write went, and passes the error on.
+
+    With ``shards`` known, requests and points are observed while the sink's own job reads the series: request
+    numbers of a shard have no gap, so the largest of each tells how many there are (E10). Otherwise, and
+    for a failed write, they are counted by a job of its own.
+    """
 
     sink: Sink
     listeners: list
+    shards: int | None = None
+
+    def _watched(self, series: DataFrame) -> tuple[DataFrame, Observation | None]:
+        if self.shards is None:
+            return series, None
+        watch = Observation()
+        highest = [F.max(F.when(F.col("shard") == i, F.col("request_id"))).alias(f"shard_{i}") for i in range(self.shards)]
+        return series.observe(watch, F.sum("n").alias("points"), *highest), watch
 
     def write(self, series: DataFrame, batch_id: int) -> None:
-        summary = summarise(series, batch_id)
+        rows, watch = self._watched(series)
         started = time.monotonic()
         try:
-            self.sink.write(series, batch_id)
+            self.sink.write(rows, batch_id)
         except Exception as e:
+            summary = summarise(series, batch_id)
             for listener in self.listeners:
                 listener.on_error(e, summary)
             raise
-        summary["millis"] = int(1000 * (time.monotonic() - started))
+        millis = int(1000 * (time.monotonic() - started))
+        seen = observed(watch) if watch else None
+        if seen is None:
+            summary = summarise(series, batch_id)
+        else:
+            requests = sum(1 + seen[f"shard_{i}"] for i in range(self.shards) if seen[f"shard_{i}"] is not None)
+            summary = {"batch_id": batch_id, "requests": requests, "points": seen["points"] or 0}
+        summary["millis"] = millis
         for listener in self.listeners:
             if hasattr(listener, "on_success"):
                 listener.on_success(summary)

@@ -27,7 +27,9 @@ from seriesloom.streaming import (
     TableSink,
     batch_stream,
 )
+from seriesloom.streaming import sinks
 from seriesloom.streaming.job import admitted
+from seriesloom.streaming.sinks import summarise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # senders run on workers
 
@@ -234,6 +236,38 @@ def test_f2_f3_context_manager_drains(spark, folder, tmp_path):
     assert job.unflushed() == 0  # C10
 
 
+def test_f5_points_of_unequal_files_are_bounded(spark, tmp_path):
+    """Files of very different size: no micro-batch takes more points than asked for, unless one file has more."""
+    folder, sizes = str(tmp_path / "in"), [900, 20, 500, 40, 40, 700, 30, 2_000, 100]
+    for i, n in enumerate(sizes):
+        add_file(spark, folder, i * 10_000, n)
+        time.sleep(0.02)
+    schema, points = "id bigint, ch string, v double", lambda df: src.points_typed(df, "double", "ch", "id", "v", None, "id")
+    table, options = TableSink(str(tmp_path / "out")), IngestOptions(max_points_in_flight=1_500)
+    job = IngestJob.from_files(spark, folder, schema, points, str(tmp_path / "cp"), options).to_file(table)
+    job.run()
+    taken = [p["numInputRows"] for p in job.query.recentProgress if p["numInputRows"]]
+    assert sum(taken) == sum(sizes) and all(n <= 1_500 or n == 2_000 for n in taken) and max(sorted(taken)[:-1]) > 500
+    assert table.read(spark).agg(F.sum("n")).first()[0] == sum(sizes) and job.unflushed() == 0
+    # an empty folder has no density: files are admitted by number until the job is defined anew
+    os.makedirs(tmp_path / "none")
+    IngestJob.from_files(spark, str(tmp_path / "none"), schema, points, str(tmp_path / "cp2"), options).to_file(table).run()
+
+
+def test_e10_observed_figures_equal_counted_ones(spark, tmp_path, monkeypatch):
+    """The sink's own job tells requests and points; a sink that reads nothing has them counted."""
+    monkeypatch.setattr(sinks, "OBSERVED_S", 2.0)
+    series = packing.pack_series(src.union_points(*[points_of(spark, n, f"c{n}") for n in (10, 25, 3, 40)]), 8)
+    series = packing.assign_requests(packing.with_shard(series, 3), 16).persist()
+    for sink, quick in ((TableSink(str(tmp_path / "t")), True), (Recorder([], "x"), False)):
+        if not quick:
+            sink = type("Idle", (), {"write": lambda self, rows, batch_id: None})()
+        log = []
+        ListeningSink(sink, [type("L", (), {"on_success": lambda self, summary: log.append(summary)})()], 3).write(series, 4)
+        want = summarise(series, 4)
+        assert [{k: v for k, v in s.items() if k != "millis"} for s in log] == [want] and want["points"] == 78
+
+
 def test_f4_cancel_then_resume(spark, folder, tmp_path):
     table = TableSink(str(tmp_path / "out"))
     options = IngestOptions(max_buffered_requests=1)
