@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from seriesloom.functions.identity import tags_from_key
 from seriesloom.functions.values import u64_unwrap, u64_wrap
-from seriesloom.operators.segments import pack_next_fit
+from seriesloom.operators.segments import SizeRule, pack_next_fit, segment
 from seriesloom.operators.spread import ROWS_PER_CELL, null_safe, rank_in_key
 from seriesloom.schema import CHANNEL_KEY, KINDS, NULL_VALUE
 
@@ -34,6 +34,47 @@ def batch_by_count(
     return ranked.withColumn("batch", batch).drop("_rank", "_tie")
 
 
+#: Bytes that a point counts besides its payload: time stamp and order.
+POINT_BYTES = 16
+
+
+def _payload(kind: str, value: Column) -> Column:
+    if kind in ("string", "struct"):
+        return F.octet_length(value)
+    if kind == "string_array":
+        return F.aggregate(value, F.lit(0), lambda total, s: total + F.lit(8) + F.coalesce(F.octet_length(s), F.lit(0)))
+    return 8 * F.size(value) if kind == "double_array" else F.when(value.isNotNull(), 8)
+
+
+def point_bytes(kinds: tuple[str, ...] = tuple(KINDS)) -> Column:
+    """What a point counts against a bound in bytes: ``POINT_BYTES`` and its payload."""
+    return (F.lit(POINT_BYTES) + F.coalesce(*[_payload(k, F.col(KINDS[k][0])) for k in kinds], F.lit(0))).cast("bigint")
+
+
+def series_bytes(kinds: tuple[str, ...] = tuple(KINDS)) -> Column:
+    """The same for a whole series."""
+
+    def whole(kind: str) -> Column:
+        return F.aggregate(KINDS[kind][2], F.lit(0).cast("bigint"), lambda total, value: total + _payload(kind, value).cast("bigint"))
+
+    return POINT_BYTES * F.col("n") + F.coalesce(*map(whole, kinds), F.lit(0))
+
+
+def batch_by_size(
+    points: DataFrame, max_points: int, max_bytes: int, kinds: tuple[str, ...] = tuple(KINDS), rows_per_cell: int = ROWS_PER_CELL
+) -> DataFrame:
+    """Number the batches of each channel, bounded by points and bytes.
+
+    A batch takes the next point unless it has ``max_points``, or the point does not fit into ``max_bytes``; a larger point
+    is a batch of its own. Points go as in :func:`batch_by_count`, and hot channels are walked by many tasks.
+    """
+    plain = [f.name for f in points.schema.fields if not isinstance(f.dataType, T.MapType)]
+    tied = points.withColumn("_tie", F.xxhash64(*plain)).withColumn("_bytes", point_bytes(kinds))
+    order = ["seq", *[c for c in ("ts_ns",) if c in plain], "_tie"]
+    numbered = segment(tied, CHANNEL_KEY, order, "_bytes", SizeRule(max_points, max_bytes), "batch", rows_per_cell)
+    return numbered.drop("_tie", "_bytes")
+
+
 # Slots that the values of a batch are collected in: text and JSON share one, as do both
 # integer kinds (an unsigned number travels as its two's complement).
 _SLOTS = {
@@ -95,10 +136,12 @@ def pack_batches(batched: DataFrame, kinds: tuple[str, ...] = tuple(KINDS), on_c
 
 def pack_series(
     points: DataFrame, max_points: int = MAX_POINTS, kinds: tuple[str, ...] = tuple(KINDS),
-    on_conflict: str = "fail", rows_per_cell: int = ROWS_PER_CELL,
+    on_conflict: str = "fail", rows_per_cell: int = ROWS_PER_CELL, max_bytes: int | None = None,
 ) -> DataFrame:
-    """Points to series of at most ``max_points`` (C2 then C1)."""
-    return pack_batches(batch_by_count(points, max_points, rows_per_cell), kinds, on_conflict)
+    """Points to series of at most ``max_points``, and of ``max_bytes`` where given (C2 then C1)."""
+    if max_bytes is None:
+        return pack_batches(batch_by_count(points, max_points, rows_per_cell), kinds, on_conflict)
+    return pack_batches(batch_by_size(points, max_points, max_bytes, kinds, rows_per_cell), kinds, on_conflict)
 
 
 def block_point_count(timestamps: Column) -> Column:
@@ -176,11 +219,19 @@ BLOCK_KEY = [*CHANNEL_KEY, "batch"]
 
 
 def request_blocks(
-    series: DataFrame, max_points: int = MAX_POINTS, rows_per_cell: int = ROWS_PER_CELL
+    series: DataFrame, max_points: int = MAX_POINTS, rows_per_cell: int = ROWS_PER_CELL, max_bytes: int | None = None,
+    kinds: tuple[str, ...] = tuple(KINDS),
 ) -> DataFrame:
-    """The request of every series, by key (C4). Only keys and sizes go through the packing."""
-    blocks = pack_requests(series.select("shard", *BLOCK_KEY, "last_seq", "n"), max_points, rows_per_cell)
-    return blocks.select(*BLOCK_KEY, "request_id")
+    """The request of every series, by key (C4). Only keys and sizes go through the packing.
+
+    With ``max_bytes`` a series counts as many points as it has, or as its share of the bytes is worth, whichever
+    is more, so a request stays within both bounds.
+    """
+    sizes = series.select("shard", *BLOCK_KEY, "last_seq", "n")
+    if max_bytes is not None:
+        worth = F.ceil(series_bytes(kinds) * F.lit(max_points) / F.lit(max_bytes)).cast("bigint")
+        sizes = series.select("shard", *BLOCK_KEY, "last_seq", F.greatest("n", worth).alias("n"))
+    return pack_requests(sizes, max_points, rows_per_cell).select(*BLOCK_KEY, "request_id")
 
 
 def assign_requests(

@@ -100,6 +100,14 @@ class DelayRule:
         """An entry of the next cell, seen from this one's start; ``none`` is this cell's row without a cut."""
         return none[0] + at, np.maximum(guard, none[1])
 
+    def passed(self, x, y, at, guard):
+        """The state after a cell without a cut, whose last row of the summary has ``at`` and ``guard``."""
+        return x, y + at
+
+    def keeps(self, first, at, guard):
+        """Whether an entry behind a passed cell that begins with ``first`` can be reached at all."""
+        return (at < self.max_points) & (guard <= first + self.delay)
+
     @property
     def max_entries(self):
         return self.max_points
@@ -165,12 +173,86 @@ class FitRule:
     def behind(self, none, at, guard):
         return none[0] + at, none[1] + guard
 
+    def passed(self, x, y, at, guard):
+        return 0 * x, y + guard
+
+    def keeps(self, first, at, guard):
+        return guard < self.capacity
+
     @property
     def max_entries(self):
         return self.capacity
 
 
-Rule = DelayRule | FitRule
+@dataclass(frozen=True)
+class SizeRule:
+    """Start a new segment when it holds ``max_points`` rows, or the next row's bytes do not fit.
+
+    Rows weigh one byte at least. State: (points, bytes of the open segment), (0, 0) at the start. A cut row
+    starts its segment; one row may be larger than ``max_bytes`` by itself.
+    """
+
+    max_points: int
+    max_bytes: int
+    closes: bool = False
+
+    def start(self, rows):
+        return 0, 0
+
+    def _until(self, rows):
+        return np.concatenate(([0], np.cumsum(rows)))
+
+    def jumps(self, rows, ends):
+        total, here = self._until(rows), np.arange(len(rows))
+        fits = np.searchsorted(total[1:], total[:-1] + self.max_bytes, side="right")
+        return np.minimum(np.minimum(np.maximum(fits, here + 1), here + self.max_points), ends)
+
+    def enter(self, rows, state):
+        at, free = self.enter_all(rows, np.array([state[0]]), np.array([state[1]]))
+        return int(at[0]), int(free[0])
+
+    def leave(self, rows, cut, state):
+        return (len(rows) - cut, int(rows[cut:].sum())) if cut >= 0 else (state[0] + len(rows), state[1] + int(rows.sum()))
+
+    def enter_all(self, rows, x, y):
+        fits = np.searchsorted(self._until(rows)[1:], self.max_bytes - y, side="right")
+        return np.where(x == 0, 0, np.minimum(fits, self.max_points - x)), (x == 0).astype(np.int64)
+
+    def leave_all(self, rows, cuts):
+        total = self._until(rows)
+        return len(rows) - cuts, total[-1] - total[cuts]
+
+    def pass_all(self, rows, x, y):
+        return x + len(rows), y + rows.sum()
+
+    def guards(self, rows, seen):
+        return seen.total + self._until(rows)[:-1]
+
+    def possible(self, seen, at, guards):
+        return (at == 0) | ((guards < self.max_bytes) & (at < self.max_points))
+
+    def reaches(self, state, at, guard):
+        return (at == 0) | ((state[0] > 0) & (state[1] + guard <= self.max_bytes) & (state[0] + at <= self.max_points))
+
+    def last_reached(self, at, guard, x, y):
+        fits = np.searchsorted(guard, self.max_bytes - y, side="right")
+        return np.where(x == 0, 0, np.maximum(np.minimum(fits, np.searchsorted(at, self.max_points - x, side="right")) - 1, 0))
+
+    def behind(self, none, at, guard):
+        return none[0] + at, none[1] + guard
+
+    def passed(self, x, y, at, guard):
+        return x + at, y + guard
+
+    def keeps(self, first, at, guard):
+        return (guard < self.max_bytes) & (at < self.max_points)
+
+    @property
+    def max_entries(self):
+        return self.max_points
+
+
+Rule = DelayRule | FitRule | SizeRule
 
 
 def walk(rule: Rule, rows: np.ndarray, jump: list[int], base: int, state, first: int):
@@ -246,7 +328,7 @@ def step(rule: Rule, cell: Summary, state):
     reached = np.flatnonzero(rule.reaches(state, cell[:, 0], cell[:, 1]))[-1]
     at, guard, x, y, cuts = cell[reached].tolist()
     if cuts == 0:
-        return ((state[0], state[1] + at) if rule.closes else (0, state[1] + guard)), 0
+        return rule.passed(*state, at, guard), 0
     return (x, y), cuts - (1 if not rule.closes and state[1] == 0 else 0)
 
 
@@ -260,16 +342,13 @@ def compose(rule: Rule, first: int, cell: Summary, following: Summary) -> Summar
     reached = rule.last_reached(following[:, 0], following[:, 1], own[:, 2], own[:, 3])
     _, _, x, y, cuts = following[reached].T
     passed = reached == len(following) - 1
-    if rule.closes:
-        passed_x, passed_y = own[:, 2], own[:, 3] + following[-1, 0]
-    else:
-        passed_x, passed_y = np.zeros_like(x), own[:, 3] + following[-1, 1]
+    passed_x, passed_y = rule.passed(own[:, 2], own[:, 3], *following[-1, :2])
+    if not rule.closes:
         cuts = cuts - ((own[:, 3] == 0) & ~passed)
     led = np.stack([own[:, 0], own[:, 1], np.where(passed, passed_x, x), np.where(passed, passed_y, y), own[:, 4] + np.where(passed, 0, cuts)], axis=1)
     at, guard = rule.behind(none, following[:, 0], following[:, 1])
     behind = np.stack([at, guard, *following[:, 2:].T], axis=1)
-    keep = (at[:-1] < rule.max_points) & (guard[:-1] <= first + rule.delay) if rule.closes else guard[:-1] < rule.capacity
-    both = np.concatenate([led, behind[:-1][keep]])
+    both = np.concatenate([led, behind[:-1][rule.keeps(first, at[:-1], guard[:-1])]])
     differs = (both[1:, 2:] != both[:-1, 2:]).any(axis=1)
     return np.concatenate([both[np.concatenate(([True], differs))], behind[-1:]])
 

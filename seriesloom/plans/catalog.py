@@ -316,6 +316,14 @@ def unpack_series(spark, sf):
     return points.select("channel", "tags_key", "ts_ns", "v_double")
 
 
+def pack_series_by_size(spark, sf):
+    """Texts of documents as points: series end with 50 points or 20 000 bytes."""
+    docs = t.table(spark, sf, "documents")
+    points = src.points_from_rows(docs, t.named("doc.", "lang"), "doc_id", "text", {}, "doc_id")
+    series = packing.pack_series(points, 50, kinds=("string",), max_bytes=20_000)
+    return series.select("channel", "batch", "n", packing.series_bytes(("string",)).alias("bytes"))
+
+
 def unpack_series_ties(spark, sf):
     """Line items arrive by the day, many at a time: unpacked numbers are unique and without a gap all the same."""
     tax = src.points_from_rows(t.table(spark, sf, "lineitem"), F.lit("li.tax"), "l_shipdate", "l_tax", {"returnflag": F.col("l_returnflag")})
@@ -461,6 +469,7 @@ QUERIES = {
     "block_point_count": block_point_count,
     "unpack_series": unpack_series,
     "unpack_series_ties": unpack_series_ties,
+    "pack_series_by_size": pack_series_by_size,
     "encode_union": encode_union,
     "encode_empty": encode_empty,
     "file_records": file_records,

@@ -114,10 +114,10 @@ def admitted_points(spark, sf):
     """Events in files of unequal size, a bounded number of points per micro-batch; channels and whether the bound held."""
     folder = scratch_dir(spark, "unequal")
     events = t.table(spark, sf, "events")
-    # eight small files and four large ones; the bound is a third of all rows
+    # eight small files and four large ones; the bound is half of all rows
     groups = events.withColumn("part", F.when(F.col("event_id") % 7 < 2, F.col("event_id") % 8).otherwise(8 + F.col("event_id") % 4))
     groups.repartition("part").write.partitionBy("part").parquet(folder)
-    bound = max(1, events.count() // 3)
+    bound = max(1, events.count() // 2)
     options = IngestOptions(max_points_in_flight=bound)
     table = TableSink(scratch_dir(spark, "delivered"))
 
@@ -128,7 +128,7 @@ def admitted_points(spark, sf):
     job.run()
     taken = [p["numInputRows"] for p in job.query.recentProgress if p["numInputRows"]]
     counts = reports.series_counts_by_channel(table.read(spark))
-    return counts.withColumn("bounded", F.lit(bool(taken) and max(taken) <= bound and len(taken) > 2))
+    return counts.withColumn("bounded", F.lit(bool(taken) and max(taken) <= bound and len(taken) > 1))
 
 
 DELIVERY_QUERIES = {

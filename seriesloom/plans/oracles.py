@@ -176,6 +176,16 @@ ORACLES = {
     "block_point_count": """select 'emb.' || label as channel, vec_id as block_id,
       case when label <> 0 then len(embedding) else 0 end as n from embeddings""",
     "unpack_series": f"select channel, tags_key, ts_ns, v_double from ({EV})",
+    "pack_series_by_size": """with recursive b as (
+  select 'doc.' || lang as channel, 16 + strlen(text) as size, row_number() over (partition by lang order by doc_id) as i from documents),
+ w as (
+  select channel, i, size, size as bytes, 1 as points, 0::bigint as batch from b where i = 1
+  union all
+  select b.channel, b.i, b.size, case when w.bytes + b.size <= 20000 and w.points < 50 then w.bytes + b.size else b.size end,
+    case when w.bytes + b.size <= 20000 and w.points < 50 then w.points + 1 else 1 end,
+    case when w.bytes + b.size <= 20000 and w.points < 50 then w.batch else w.batch + 1 end
+  from w join b on b.channel = w.channel and b.i = w.i + 1)
+select channel, batch, count(*) as n, sum(size)::bigint as bytes from w group by channel, batch""",
     "unpack_series_ties": """select 'li.tax' as channel, 'returnflag=' || l_returnflag as tags_key, count(*) as n,
       count(*) as n_seq, count(*) as span from lineitem group by 2""",
     "encode_union": _BRANCHES,

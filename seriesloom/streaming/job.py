@@ -28,6 +28,7 @@ class IngestOptions:
     max_buffered_requests: int = 4  # new files admitted per micro-batch, where points are not bounded
     request_dispatcher_tasks: int = 8  # parallel request sequences and senders
     max_points_in_flight: int | None = None  # points admitted per micro-batch
+    max_bytes_per_record: int | None = None  # bytes per series and per request, for wide values
 
 
 def points_per_byte(rows: DataFrame) -> float:
@@ -169,9 +170,9 @@ class IngestJob:
             points = batch.persist()  # read by the hot-key pass and by the packing
             taken = Observation()
             # the hot-key pass reads every point and counts them on its way
-            packed = pack_series(points.observe(taken, F.count(F.lit(1)).alias("points")), options.max_points_per_record)
+            packed = pack_series(points.observe(taken, F.count(F.lit(1)).alias("points")), options.max_points_per_record, max_bytes=options.max_bytes_per_record)
             packed = with_shard(packed, options.request_dispatcher_tasks).persist()
-            requests = request_blocks(packed, options.max_points_per_record).persist()
+            requests = request_blocks(packed, options.max_points_per_record, max_bytes=options.max_bytes_per_record).persist()
             try:
                 seen = observed(taken)
                 accepted = seen["points"] if seen else points.count()

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seriesloom.operators import segments
+from seriesloom.operators import packing, segments
 from seriesloom.operators.packing import batch_by_count
 from seriesloom.operators.spread import hot_cuts, rank_in_key, split_hot_keys
 from seriesloom.sources import points as src
@@ -33,6 +33,17 @@ def fit_fold(sizes, capacity):
     return out
 
 
+def size_fold(sizes, max_points, max_bytes):
+    points = filled = batch = 0
+    out = []
+    for n in sizes:
+        if points and (points == max_points or filled + n > max_bytes):
+            points, filled, batch = 0, 0, batch + 1
+        points, filled = points + 1, filled + n
+        out.append(batch)
+    return out
+
+
 @pytest.mark.parametrize("seed", range(300))
 def test_rules_equal_folds_whole_and_in_cells(seed):
     rnd = random.Random(seed)
@@ -41,6 +52,10 @@ def test_rules_equal_folds_whole_and_in_cells(seed):
         rows = np.sort(np.array([rnd.randint(0, rnd.choice([30, 300])) for _ in range(length)], dtype=np.int64))
         rule = segments.DelayRule(rnd.randint(1, 9), rnd.randint(0, 40))
         want = delay_fold(rows.tolist(), rule.max_points, rule.delay)
+    elif seed % 4:
+        rows = np.array([rnd.choice([1, 1, rnd.randint(1, 12), rnd.randint(1, 4)]) for _ in range(length)], dtype=np.int64)
+        rule = segments.SizeRule(rnd.randint(1, 8), rnd.randint(1, 20))
+        want = size_fold(rows.tolist(), rule.max_points, rule.max_bytes)
     else:
         rows = np.array([rnd.choice([0, 0, rnd.randint(0, 12), rnd.randint(0, 4)]) for _ in range(length)], dtype=np.int64)
         rule = segments.FitRule(rnd.randint(1, 10))
@@ -124,6 +139,26 @@ def test_c4_requests(arrivals, monkeypatch, per_cell, fan, capacity):
     assert {r.seq: r.request_id for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("per_cell, fan", [(10**6, 64), (20, 3)])
+def test_c1_batches_bounded_by_points_and_bytes(spark, monkeypatch, per_cell, fan):
+    """Wide values: no series of more than the bytes but single points; many narrow ones end by number."""
+    monkeypatch.setattr(segments, "_SEGMENTS_PER_CELL", 0)
+    monkeypatch.setattr(segments, "FAN", fan)
+    rnd = random.Random(11)
+    texts = [("x" * rnd.choice([0, 1, 5, 5, 90, 700, 2_000]), i) for i in range(600)]
+    points = src.points_from_rows(spark.createDataFrame(texts, "v string, i long").repartition(4), F.lit("c"), "i", "v")
+    series = packing.pack_series(points, 12, rows_per_cell=per_cell, max_bytes=1_000)
+    want = size_fold([16 + len(v) for v, _ in texts], 12, 1_000)
+    got = {ts: r.batch for r in series.select("batch", "timestamps").collect() for ts in r.timestamps}
+    assert [got[i] for i in range(600)] == want
+    sizes = series.select("n", packing.series_bytes().alias("bytes"), F.size("strings").alias("k")).collect()
+    assert all(r.bytes <= 1_000 or r.n == 1 for r in sizes) and all(r.n == r.k <= 12 for r in sizes) and max(r.n for r in sizes) == 12
+    blocks = packing.with_shard(series, 1)
+    assigned = blocks.join(packing.request_blocks(blocks, 30, max_bytes=3_000), packing.BLOCK_KEY)
+    requests = assigned.groupBy("request_id").agg(F.sum("n").alias("n"), F.sum(packing.series_bytes()).alias("bytes"), F.count("*").alias("k")).collect()
+    assert all((r.n <= 30 and r.bytes <= 3_000) or r.k == 1 for r in requests) and max(r.k for r in requests) > 1
+
+
 def test_c4_after_a_join_on_the_same_keys(spark, arrivals):
     """The join below may lose its partitioning at run time; numbering must not rely on it."""
     df, rows = arrivals
