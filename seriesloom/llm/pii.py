@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 from bisect import bisect_right
@@ -31,23 +32,35 @@ _HIDDEN = "​‌‍⁠﻿­"
 #: The digits' names.
 DIGITS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 
+#: Letters that stand for digits, in runs with a digit and no other letter.
+LETTERS = str.maketrans("OolI", "0011")
+
 _NAME = f"(?:{'|'.join(DIGITS)})"
 _OPEN, _CLOSE = r" ?[\[({<] ?", r" ?[\])}>] ?"
 
 
-def _disguise(least: int) -> re.Pattern:
-    """Everything that is spelled otherwise; digits' names in runs of ``least`` further items or more."""
+@functools.cache
+def _disguise(least: int, mixed: bool, spaced: bool) -> re.Pattern:
+    """Everything that is spelled otherwise; digits' names in runs of ``least`` further items or more.
+
+    Letters among digits and spaced signs are looked for where a quick test has found some.
+    """
     run = rf"\b{_NAME}(?:[ ,-]{{1,2}}(?:{_NAME}|[0-9]++)){{{least},}}\b"
     label, dot = "[a-z0-9-]++", rf"{_OPEN}(?:dot|\.){_CLOSE}"
+    letters = r"(?<![a-z0-9])(?=[oli]*[0-9])(?=[0-9]*[oli])(?-i:[0-9OolI]++)(?![a-z0-9])"
+    # a sign with spaces around it, before a domain with plain dots or with spaces around all of them
+    signs = rf"(?<=[a-z0-9]) +@ +(?:{label}(?:\.{label})*\.(?-i:[a-z]{{2,}}+)|{label}(?: +\. +(?-i:[a-z0-9-]++))* +\. +(?-i:[a-z]{{2,}}+))(?![\w-])"
     return re.compile(
         rf"(?P<hidden>[{_HIDDEN}]+)|(?P<at>{_OPEN}(?:at|@){_CLOSE}|(?<=[a-z0-9]) +at +(?={label}(?:\.{label})*+(?: +dot +(?!dot\b)|{dot})))"
-        rf"|(?P<dot>{dot}|(?<=[a-z0-9])(?<!\bdot) +dot +(?!dot\b)(?=[a-z0-9]))|(?P<plus>\bplus +(?={_NAME}\b|[0-9]))|(?P<run>{run})",
+        rf"|(?P<dot>{dot}|(?<=[a-z0-9])(?<!\bdot) +dot +(?!dot\b)(?=[a-z0-9]))|(?P<plus>\bplus +(?={_NAME}\b|[0-9]))|(?P<run>{run})"
+        + (rf"|(?P<mixed>{letters})" if mixed else "") + (rf"|(?P<spaced>{signs})" if spaced else ""),
         re.IGNORECASE | re.ASCII,
     )
 
 
-_RUNS, _NAMES = _disguise(1), _disguise(0)
+_AMONG_DIGITS = re.compile(r"[0-9][OolI]|[OolI][0-9]")
 _ITEM = re.compile(rf"{_NAME}|[0-9]++", re.IGNORECASE | re.ASCII)
+_SPACED = re.compile(r" *[@.] *")
 
 
 class _Lookalikes(dict):
@@ -107,10 +120,13 @@ def plain_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 
 class Normalised:
-    """A text in plain spelling with the way back: segments as (start here, start there, end there, copied)."""
+    """A text in plain spelling with the way back: segments as (start here, start there, end there, copied).
+
+    A copied segment is as long here as there: its places, if not its letters, are the same.
+    """
 
     def __init__(self, text: str, loose: bool = True):
-        """Lookalikes are replaced one by one; then at, dot, plus and digits' names by their sign.
+        """Lookalikes are replaced one by one; then at, dot, plus and digits' names by their sign, and letters by digits.
 
         Without ``loose``, names that stand alone and lookalikes of the space stay. ``loose`` and ``other`` then tell
         whether one of these, or anything else, was replaced.
@@ -124,7 +140,8 @@ class Normalised:
         self.segments: list[tuple[int, int, int, bool]] = []
         self.loose, self.other = bool(spaces), any(chr(c) != sign != " " for c, sign in alike.items())
         self._length = at = 0
-        for m in (_NAMES if loose else _RUNS).finditer(plain):
+        pattern = _disguise(0 if loose else 1, bool(_AMONG_DIGITS.search(plain)), " @ " in plain)
+        for m in pattern.finditer(plain):
             self._put(plain[at : m.start()], at, m.start(), True)
             if m.lastgroup == "run" and m[0].isalpha():
                 self.loose = True
@@ -134,6 +151,16 @@ class Normalised:
                 for item in _ITEM.finditer(plain, *m.span()):
                     word = item[0].lower()
                     self._put(DIGITS.get(word, word), item.start(), item.end(), word not in DIGITS)
+            elif m.lastgroup == "mixed":
+                self.other = True
+                self._put(m[0].translate(LETTERS), m.start(), m.end(), True)
+            elif m.lastgroup == "spaced":
+                self.other, upto = True, m.start()
+                for sign in _SPACED.finditer(plain, *m.span()):
+                    self._put(plain[upto : sign.start()], upto, sign.start(), True)
+                    self._put(sign[0].strip(), sign.start(), sign.end(), False)
+                    upto = sign.end()
+                self._put(plain[upto : m.end()], upto, m.end(), True)
             else:
                 self.other = True
                 self._put({"at": "@", "dot": ".", "plus": "+", "hidden": ""}[m.lastgroup], m.start(), m.end(), False)
@@ -156,6 +183,12 @@ class Normalised:
         return first, there + end - here if copied else last
 
 
+def _led_by_a_name(email: str) -> bool:
+    """Whether the last label of an address is a digit or its name: ``look at one dot three`` is no address."""
+    last = email.rpartition(".")[2].lower()
+    return not last[:1].isalpha() or last in DIGITS
+
+
 def spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Plain spans, and those that appear only after normalising, as (kind, start, end) in code points.
 
@@ -171,6 +204,8 @@ def spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, i
     for read in [normal, Normalised(text, loose=False)] if normal.loose and normal.other else [normal]:
         for kind, found in plain_spans(read.text).items():
             for a, b in found:
+                if kind == "email" and _led_by_a_name(read.text[a:b]):
+                    continue
                 start, end = read.source(a, b)
                 if text[start:end] != read.text[a:b] and (kind, start, end) not in known:
                     known.add((kind, start, end))

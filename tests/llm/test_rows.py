@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -242,6 +243,91 @@ def test_signs_and_spaces_in_ordinary_text_add_nothing(text):
     assert pii.spans(text) == (plain(text), [])
 
 
+def spark_hash(*values):
+    """Spark's xxhash64 of longs and strings; a null leaves the seed as it is."""
+    import xxhash
+
+    seed = 42
+    for v in values:
+        if v is not None:
+            seed = xxhash.xxh64(v.encode() if isinstance(v, str) else v.to_bytes(8, "little", signed=True), seed=seed).intdigest()
+    return seed - (1 << 64) if seed >= 1 << 63 else seed
+
+
+def plain_shards(rows, n_shards, seed=17):
+    """(doc_id, size, crc, shard, slot) by sorting all rows and walking the permutation one number at a time."""
+    from math import isqrt
+
+    counted = Counter()
+    for doc, text in rows:
+        text = text or ""
+        counted[doc, len(text.encode()) + 8, zlib.crc32(text.encode()), spark_hash(text)] += 1
+    blocks = []
+    for key, n in counted.items():
+        for start in range(0, n, sharding.BLOCK):
+            order = [(v is not None, v or 0) for v in key]
+            blocks.append((spark_hash(*key, start) % sharding.BUCKETS, order, start, min(sharding.BLOCK, n - start), key))
+    total, side, out, number = len(rows), isqrt(max(len(rows) - 1, 0)) + 1, [], 0
+
+    def once(x):
+        left, right = divmod(x, side)
+        for multiplier, addend in sharding.ROUNDS:
+            addend = (addend + seed) % sharding.PRIME
+            first = (right % sharding.PRIME * multiplier + addend) % sharding.PRIME
+            left, right = right, (left + (first * first + addend) % sharding.PRIME % side) % side
+        return left * side + right
+
+    for _, _, _, n, key in sorted(blocks, key=lambda b: b[:3]):
+        for _ in range(n):
+            place = once(number)
+            while place >= total:
+                place = once(place)
+            out.append((key[0], key[1], key[2], place % n_shards, place // n_shards))
+            number += 1
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block", [4096, 3])
+def test_shards_equal_the_walk_written_out(spark, hard, monkeypatch, block):
+    monkeypatch.setattr(sharding, "BLOCK", block)
+    rnd = random.Random(9)
+    rows = [(r.doc_id, r.text) for r in hard.collect()] + [(i % 300, rnd.choice(["", "same", f"text {i}", None])) for i in range(700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = [(r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in sharding.shards(df, 24).collect()]
+    assert sorted(got, key=str) == plain_shards(rows, 24)
+
+
+LETTERS_AND_SPACED_SIGNS = [
+    ("card 4111-1111-1111-111l now", "card", "4111-1111-1111-111l"),
+    ("card 4III l1l1 1111 1111 now", "card", "4III l1l1 1111 1111"),
+    ("host 1o.0.0.5 is up", "ip", "1o.0.0.5"),
+    ("host 192.168.O1.2l is up", "ip", "192.168.O1.2l"),
+    ("call +1 555 01O 9999 now", "phone", "+1 555 01O 9999"),
+    ("write john @ example . com now", "email", "john @ example . com"),
+    ("write john.b @ mail.example.org, please", "email", "john.b @ mail.example.org"),
+    ("write john @ mail . example . org", "email", "john @ mail . example . org"),
+]
+
+
+@pytest.mark.parametrize("text, kind, found", LETTERS_AND_SPACED_SIGNS)
+def test_letters_for_digits_and_spaced_signs(text, kind, found):
+    base, added = pii.spans(text)
+    assert base == plain(text)
+    assert [(k, text[a:b]) for k, a, b in added] == [(kind, found)]
+
+
+ORDINARY = [
+    "look at one dot three", "please look at page dot one two three", "look at page dot five", "1l and 2o of 10Ol",
+    "4111-1111-1111-111x", "4lll and O0", "a 1l@example.com b", "we met @ noon. Then we left", "x @ y", "at 3 @ 4 . 5",
+    "4111-1111-1111-112l",  # fails its test
+]
+
+
+@pytest.mark.parametrize("text", ORDINARY)
+def test_ordinary_letters_and_signs_add_nothing(text):
+    assert pii.spans(text) == (plain(text), [])
+
+
 @pytest.mark.parametrize("text", ["one of 10 or two.", "4111 1111 1111 1111 one more", "one@example.com or one.two@example.com", "at 10.0.0.1 one may"])
 def test_ordinary_digit_names_add_nothing(text):
     assert pii.spans(text) == (plain(text), [])
@@ -355,6 +441,44 @@ def test_quality_on_held_out_rows(spark):
     assert quality.fit(docs, flipped) == model  # held-out labels are never seen
 
 
+def test_quality_equals_sizes_and_line_written_out(spark):
+    """Sizes of every piece with both dictionaries, their difference by their sum, through the logistic line."""
+    import math
+
+    import zstandard
+
+    rnd = random.Random(6)
+    text = lambda words, n: " ".join(rnd.choices(words, k=n))
+    rows = [(i, text(["tree", "wind", "slow", "rain", "é"] if i % 2 else ["WIN!!", "$$", "##", "|"], rnd.choice([1, 9, 200, 900]))) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (1000, None), (1001, "")], "doc_id long, text string")
+    model = quality.fit(docs, spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int"))
+    assert model.good and model.bad
+    scores = {r.doc_id: r.score for r in quality.quality_scores(docs, model).collect()}
+    for doc_id, body in [*rows, (1000, ""), (1001, "")]:
+        sizes = []
+        for dictionary in (model.good, model.bad):
+            packer = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=False, write_content_size=False, write_dict_id=False)
+            sizes.append(sum(len(packer.compress(body[at : at + 512].encode())) for at in range(0, len(body), 512)))
+        apart = (sizes[1] - sizes[0]) / sum(sizes) if body else 0.0
+        assert math.isclose(scores[doc_id], 1 / (1 + math.exp(-max(-30, min(30, model.slope * apart + model.offset)))), rel_tol=1e-9)
+
+
+def test_one_huge_labelled_document_does_not_fill_the_fit(spark):
+    rnd = random.Random(8)
+    good, bad = ["river", "green", "house", "walks"], ["$$$", "BUY!!", "%%", "##"]
+    text = lambda words, n: " ".join(rnd.choices(words, k=n))
+    first = next(i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 == 4)
+    rows = [(i, text(good if i % 2 else bad, 150), i % 2) for i in range(400) if i != first]
+    rows.append((first, text([f"odd{i}" for i in range(50)], 400_000), 1))  # over three million code points
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    pieces = quality.sample(docs, labels, "doc_id", "text", "quality")
+    assert pieces.groupBy("_id").count().agg(F.max("count")).first()[0] == quality.PER_DOCUMENT
+    model = quality.fit(docs, labels)
+    scored = {r.doc_id: r.predicted for r in quality.quality_scores(docs, model).collect()}
+    assert all(scored[i] == label for i, _, label in rows if i != first)
+
+
 def test_quality_of_hard_rows(spark, hard, nothing):
     rows = [(1, 1), (1, 0), (2, None), (None, 1), (8, 1), (9, 0), (8, 1)]
     labels = spark.createDataFrame([(i, q, None, "x") for i, q in rows], "doc_id long, quality int, toxic int, text string")
