@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, stored
@@ -17,9 +17,9 @@ from .common import slices, stored
 #: Code points of the pieces that are compressed; a text's sizes are the sums over its pieces. In longer ones the
 #: dictionary counts for less and less against what the piece itself has shown.
 PIECE = 512
-#: Labelled documents that are taken per class to fit with, and pieces of them for a dictionary and to calibrate with
-#: per class: the fit's bound.
-DOCUMENTS, PIECES = 2000, 6000
+#: Labelled documents that are taken per class to fit with, pieces of each, spread over its whole text, and pieces for a
+#: class's dictionary: the fit's bounds.
+DOCUMENTS, PER_DOCUMENT, PIECES = 2000, 12, 6000
 #: Bytes of a dictionary.
 DICTIONARY = 96 << 10
 LEVEL = 3
@@ -68,37 +68,52 @@ def remainder(id_col: Column) -> Column:
     return (F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5).cast("int")
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """Fit on a bounded sample of the labelled rows whose remainder is not 0.
-
-    Of each class the ``DOCUMENTS`` ids first in hash order are taken, and their whole texts cut into pieces. Of
-    remainders 1 to 3 the ``PIECES`` first in hash order build the class's dictionary; of remainder 4 as many pieces,
-    document by document, calibrate. That is all that reaches the driver. Ids with differing labels, null labels or null ids are left out; with a class
-    missing, or too little text for a dictionary, the model scores its prior, the share of label 1 (0.5 without labels).
-    """
+def _clear(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """_id, label, part, h of the ids whose labels agree; null labels and ids are left out, and remainder 0 is held out."""
     clear = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
     clear = clear.agg(F.min(label_col).alias("low"), F.max(label_col).alias("high")).where("low = high").select("_id", F.col("low").alias("label"))
-    clear = clear.withColumn("part", remainder(F.col("_id"))).where("part > 0").withColumn("h", F.xxhash64("_id"))
+    return clear.withColumn("part", remainder(F.col("_id"))).where("part > 0").withColumn("h", F.xxhash64("_id"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """_id, label, part, at, piece: of each class the ``DOCUMENTS`` ids first in hash order, of each id ``PER_DOCUMENT`` pieces.
+
+    Whole texts are cut into pieces and those first in hash order are taken, so they are spread over the text, and a
+    huge one counts as much as others.
+    """
+    clear = _clear(labels, id_col, label_col)
     chosen = [clear.where(F.col("label") == k).orderBy("h", "_id").limit(DOCUMENTS) for k in (0, 1)]
     ids = F.broadcast(chosen[0].unionByName(chosen[1]))  # 2 * DOCUMENTS rows at most
     cut = F.expr(f"regexp_extract_all(_text, '(?s).{{1,{PIECE}}}', 0)")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(ids, "_id").where("_text != ''")
-    pieces = stored(texts.select("_id", "label", "part", "h", F.posexplode(cut).alias("at", "piece")), "quality-pieces")
-    first = {"part < 4": (F.xxhash64("piece"), "piece"), "part = 4": ("h", "_id", "at", "piece")}
-    rows = {(which, k): pieces.where(which).where(F.col("label") == k).orderBy(*order).limit(PIECES).collect() for which, order in first.items() for k in (0, 1)}
+    pieces = texts.select("_id", "label", "part", F.posexplode(cut).alias("at", "piece"))
+    place = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("at", "piece"), "at", "piece"))
+    return pieces.withColumn("_place", place).where(F.col("_place") <= PER_DOCUMENT).drop("_place")
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
+    """Fit on a bounded sample of the labelled rows whose remainder is not 0; see :func:`sample`.
+
+    Of remainders 1 to 3 the ``PIECES`` pieces first in hash order build the class's dictionary; all documents taken of
+    remainder 4 calibrate, each by its pieces. That is all that reaches the driver. With a class missing, or
+    too little text for a dictionary, the model scores its prior, the share of label 1 (0.5 without labels).
+    """
+    clear = _clear(labels, id_col, label_col)
+    pieces = stored(sample(docs, labels, id_col, text_col, label_col), "quality-pieces")
+    built_of = {k: pieces.where("part < 4").where(F.col("label") == k).orderBy(F.xxhash64("piece"), "piece").limit(PIECES).collect() for k in (0, 1)}
+    held_of = pieces.where("part = 4").orderBy("label", "_id", "at", "piece").collect()  # 2 * DOCUMENTS * PER_DOCUMENT rows at most
     share = clear.agg(F.avg("label")).first()[0]
     prior = 0.5 if share is None else float(share)
     built = {}
     for k in (0, 1):
-        samples = [r["piece"].encode() for r in rows["part < 4", k]]
+        samples = [r["piece"].encode() for r in built_of[k]]
         try:
             built[k] = zstandard.train_dictionary(DICTIONARY, samples, level=LEVEL).as_bytes()
         except (zstandard.ZstdError, ValueError):
             return Model(prior=prior)
     whole: dict[tuple, str] = {}
-    for k in (0, 1):
-        for r in rows["part = 4", k]:
-            whole[k, r["_id"]] = whole.get((k, r["_id"]), "") + r["piece"]
+    for r in held_of:
+        whole[r["label"], r["_id"]] = whole.get((r["label"], r["_id"]), "") + r["piece"]
     held = [(difference(text, built[1], built[0]), k) for (k, _), text in whole.items()]
     if {label for _, label in held} != {0, 1}:
         return Model(prior=prior)
