@@ -10,10 +10,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, slices
+from .common import map_texts, slices, stored
 
 #: Bytes of a payload's unit and of an image row: 24 pixels of 3 samples.
 UNIT, ROW = 576, 72
@@ -184,37 +184,59 @@ def payload(text: bytes) -> bytes:
     return text + b"\xff" * (UNIT * max(1, -(-len(text) // UNIT)) - len(text))
 
 
-def _store(texts: list[bytes]) -> dict[str, list]:
-    media = [encode_pnm(np.frombuffer(p, np.uint8).reshape(-1, ROW // 3, 3)) for p in map(payload, texts)]
-    return {"n_bytes": [len(t) for t in texts], "media": media}
+#: How a picture is stored, by the name of its format.
+ENCODERS = {"pnm": encode_pnm, "bmp": encode_bmp}
 
 
-def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, media: every whole text as a binary PPM of 24 pixels a row, one sample a byte.
+def _storing(formats: tuple[str, ...]):
+    encoders = [ENCODERS[name] for name in formats]
 
-    A null or empty text gives a picture of 255s. Equal texts give equal media; there is one row per row.
+    def store(texts: list[bytes]) -> dict[str, list]:
+        media = [
+            encoders[zlib.crc32(t) % len(encoders)](np.frombuffer(payload(t), np.uint8).reshape(-1, ROW // 3, 3)) for t in texts
+        ]
+        return {"n_bytes": [len(t) for t in texts], "media": media}
+
+    return store
+
+
+def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", formats: tuple[str, ...] = ("pnm",)) -> DataFrame:
+    """doc_id, n_bytes, media: every whole text as a picture of 24 pixels a row, one 8-bit sample a byte.
+
+    Of several ``formats`` (``pnm``, ``bmp``) the checksum of the text chooses one. A null or empty text gives a
+    picture of 255s. Equal texts give equal media; there is one row per row.
     """
-    return map_texts(docs, "n_bytes long, media binary", _store, id_col, text_col, raw=True)
+    return map_texts(docs, "n_bytes long, media binary", _storing(formats), id_col, text_col, raw=True)
+
+
+_FEATURES = {
+    "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(),
+    "media_sha256": pa.string(), "feature": pa.string(),
+    "tiles": pa.list_(pa.struct([("row", pa.int32()), ("col", pa.int32()), ("content", pa.binary())])), "error": pa.string(),
+}
+_FEATURES_DDL = (
+    "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, "
+    "tiles array<struct<row: int, col: int, content: binary>>, error string"
+)
 
 
 def features(media: DataFrame, column: str = "media") -> DataFrame:
     """All columns but the picture's bytes, and what is read back from them.
 
     payload_bytes, payload_sha256, tail_crc32 (of the samples and their last unit), media_bytes, media_sha256,
-    feature (difference hash), tiles_sha256, error. Bytes that hold no readable picture, nulls and pictures
-    without pixels give nulls and a message in ``error``.
+    feature (difference hash), tiles (row, column and NPY bytes), error. Bytes that hold no readable picture, nulls and
+    pictures without pixels give nulls and a message in ``error``.
     """
     rest = [f for f in media.schema.fields if f.name != column]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tiles_sha256 string, error string"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), _FEATURES_DDL])
     names = [f.name for f in rest]
 
     def run(batches):
-        types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
-        made = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tiles_sha256", "error"]
         for batch in batches:
             for part in slices(batch, column):
                 found = [_read(data) for data in part.column(column).to_pylist()]
-                yield pa.record_batch([*(part.column(n) for n in names), *(pa.array([f[i] for f in found], t) for i, t in enumerate(types))], names=[*names, *made])
+                made = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(_FEATURES.values())]
+                yield pa.record_batch([*(part.column(n) for n in names), *made], names=[*names, *_FEATURES])
 
     return media.select(*names, column).mapInArrow(run, schema)
 
@@ -222,16 +244,31 @@ def features(media: DataFrame, column: str = "media") -> DataFrame:
 def _read(data: bytes | None) -> tuple:
     if data is None:
         return (None,) * 7 + ("null",)
-    stored = len(data), hashlib.sha256(data).hexdigest()
+    size = len(data), hashlib.sha256(data).hexdigest()
     try:
         image = decode(data)
         if not image.size:
             raise Unreadable("no pixels")
     except Unreadable as e:
-        return None, None, None, *stored, None, None, str(e)
+        return None, None, None, *size, None, None, str(e)
     samples = memoryview(image.reshape(-1))
-    digest = hashlib.sha256(b"".join(t for _, _, t in tiles(image))).hexdigest()
-    return len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-UNIT:]), *stored, difference_hash(image), digest, None
+    cut = [{"row": y, "col": x, "content": content} for y, x, content in tiles(image)]
+    return len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-UNIT:]), *size, difference_hash(image), cut, None
+
+
+def written_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", formats: tuple[str, ...] = ("pnm", "bmp")) -> DataFrame:
+    """Texts stored as pictures, the pictures read back, their features and NPY tiles written, and those read back.
+
+    doc_id, n_bytes and the columns of ``features``. Both tables are Parquet in the shared folder, so a lost executor
+    repeats its own tasks only.
+    """
+    media = stored(store_texts(docs, id_col, text_col, formats), "media", compression="zstd")
+    return stored(features(media), "tiles", compression="zstd")
+
+
+def tiles_digest(tiles: Column) -> Column:
+    """SHA-256 of the contents of an array of tiles, one after the other; null for null."""
+    return F.sha2(F.aggregate(tiles, F.lit(b""), lambda all_, tile: F.concat(all_, tile["content"])), 256)
 
 
 def tile_rows(media: DataFrame, id_col: str = "doc_id", column: str = "media", thumb: int = THUMB, tile: int = TILE) -> DataFrame:

@@ -25,8 +25,9 @@ def vocabulary(name: str) -> str:
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = media.features(media.store_texts(table(spark, sf_dir, "documents")))
-    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tiles_sha256")
+    read = media.written_features(table(spark, sf_dir, "documents"))
+    digests = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    return read.select("doc_id", "n_bytes", *digests, media.tiles_digest(F.col("tiles")).alias("tiles_sha256"))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

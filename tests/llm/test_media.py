@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from seriesloom.llm import media
 
@@ -104,6 +105,32 @@ def test_texts_as_pictures(spark, hard, nothing):
     assert same.count() == 1 and same.first().error is None
 
 
+def test_written_pictures_and_tiles(spark, hard, nothing):
+    """Half of the texts as PPM, half as BMP: what is read back equals what plain Python makes of each text."""
+    rows = media.written_features(hard).withColumn("digest", media.tiles_digest(F.col("tiles"))).collect()
+    found = sorted((str(r.doc_id), r.n_bytes, r.media_sha256, r.payload_sha256, r.tail_crc32, r.feature, r.digest) for r in rows)
+    want, kinds = [], set()
+    for r in hard.collect():
+        data = (r.text or "").encode()
+        padded = data + b"\xff" * (576 * max(1, -(-len(data) // 576)) - len(data))
+        image = np.frombuffer(padded, np.uint8).reshape(-1, 24, 3)
+        picture = media.encode_bmp(image) if zlib.crc32(data) % 2 else media.encode_pnm(image)
+        kinds.add(picture[:2])
+        grid = area_means(image, 8, 9) @ [0.299, 0.587, 0.114]
+        bits = "".join("1" if round(a, 6) < round(b, 6) else "0" for line in grid for a, b in zip(line, line[1:]))
+        small = np.clip(np.rint(area_means(image, 32, 32)), 0, 255).astype(np.uint8)
+        cut = []
+        for y, x in ((0, 0), (0, 16), (16, 0), (16, 16)):
+            out = io.BytesIO()
+            np.save(out, np.ascontiguousarray(small[y : y + 16, x : x + 16]))
+            cut.append(out.getvalue())
+        digest = hashlib.sha256(b"".join(cut)).hexdigest()
+        want.append((str(r.doc_id), len(data), hashlib.sha256(picture).hexdigest(), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-576:]), f"{int(bits, 2):016x}", digest))
+    assert found == sorted(want)
+    assert kinds == {b"P6", b"BM"}
+    assert media.written_features(nothing).count() == 0
+
+
 def test_unreadable_rows_and_tiles(spark, tmp_path):
     good = media.encode_bmp(image_of(5, 40, 40, 3))
     rows = [(1, good, "x"), (2, b"junk", "x"), (3, None, "x"), (4, b"P5\n0 0\n255\n", "x"), (None, good, "x")]
