@@ -12,10 +12,12 @@ import logging
 import threading
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any, Protocol
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ log = logging.getLogger(__name__)
 REQUEST_KEY = ["shard", "request_id"]
 RETRIES = 2  # fixed value: repeated attempts after the first
 BACKOFF_S = 0.01  # fixed value: one back-off slot
+_PARALLEL_MOVES = 32  # file renames under way at once when a batch is published
 
 
 class MissingCredential(Exception):
@@ -89,10 +92,36 @@ class TableSink:
         fs, plain = series_avro.open_fs(self._folder(batch_id))
         return fs.get_file_info(f"{plain}/_SUCCESS").is_file
 
+    def staging(self, batch_id: int) -> str:
+        """Where a batch is prepared; readers of the table pass over it."""
+        return batch_folder(f"{self.path}/_staging", batch_id)
+
+    def publish(self, folder: str, batch_id: int) -> None:
+        """Make the Parquet files of ``folder``, on the table's file system, the batch, by renaming them."""
+        fs, source = series_avro.open_fs(folder)
+        _, target = series_avro.open_fs(self._folder(batch_id))
+        if fs.get_file_info(target).type == pafs.FileType.Directory:
+            fs.delete_dir(target)  # of an attempt that was not finished
+        fs.create_dir(target, recursive=True)
+        names = [f.base_name for f in fs.get_file_info(pafs.FileSelector(source)) if f.base_name.endswith(".parquet")]
+        with ThreadPoolExecutor(_PARALLEL_MOVES) as pool:
+            list(pool.map(lambda name: fs.move(f"{source}/{name}", f"{target}/{name}"), names))
+        fs.open_output_stream(f"{target}/_SUCCESS").close()
+
+    def drop_staging(self, batch_id: int) -> None:
+        fs, plain = series_avro.open_fs(self.staging(batch_id))
+        if fs.get_file_info(plain).type == pafs.FileType.Directory:
+            fs.delete_dir(plain)
+
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
 
 
+def exists(folder: str) -> bool:
+    fs, plain = series_avro.open_fs(folder)
+    return fs.get_file_info(plain).type == pafs.FileType.Directory
+
+
 @dataclass
 class FileSink:
     """Series containers, one folder per stream and batch."""

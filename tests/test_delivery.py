@@ -10,6 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from seriesloom.operators import packing, reports, segments
+from seriesloom.operators.encoding import file_records
 from seriesloom.sources import points as src
 from seriesloom.sources import series_avro
 from seriesloom.streaming import (
@@ -413,10 +414,67 @@ def test_e9_spool(spark, tmp_path):
     assert table.read(spark).agg(F.sum("n")).first()[0] == 37
 
 
+def test_e9_large_files_are_decoded_in_splits(spark, tmp_path):
+    """One file in many splits: its series arrive once, and a bad block in its midst keeps all of it out."""
+    spool, table = str(tmp_path / "spool"), TableSink(str(tmp_path / "table"))
+    os.makedirs(spool)
+    rows = src.points_typed(
+        spark.range(20_000).selectExpr("concat('c', id % 40) as c", "id", "cast(hash(id) as double) as v"), "double", F.col("c"), "id", "v"
+    )
+    series_avro.register(spark)
+    packed = packing.pack_series(rows, 100)
+    write = file_records(packed.coalesce(1)).write.format(series_avro.FORMAT).mode("append")
+    write.option("blockBytes", 4_000).save(str(tmp_path / "w"))
+    (name,) = [f for f in os.listdir(tmp_path / "w") if f.endswith(".avro")]
+    data = (tmp_path / "w" / name).read_bytes()
+    middle = len(data) // 2
+    with open(os.path.join(spool, "bad.avro"), "wb") as f:
+        f.write(data[:middle] + bytes(40) + data[middle + 40 :])
+    with open(os.path.join(spool, "good.avro"), "wb") as f:
+        f.write(data)
+    ingest = SpoolIngest(spool, table, str(tmp_path / "cp"), split_bytes=20_000)
+    listed = spark.read.format("binaryFile").load(f"{spool}/good.avro").select("path", "length")
+    splits = sorted((r.start, r.stop) for r in ingest.splits(listed).collect())
+    assert len(splits) >= 8 and splits[0][0] == 0 and splits[-1][1] == len(data)
+    assert all(a[1] == b[0] for a, b in zip(splits, splits[1:]))
+    ingest.run(spark)
+    assert os.listdir(spool) == ["bad.avro"]
+    assert [r.path.endswith("bad.avro") for r in ingest.errors(spark).collect()] == [True]
+
+    def sums(df):
+        point = F.explode(F.arrays_zip("timestamps", "values"))
+        flat = df.select("channel", point.alias("p")).select("channel", "p.timestamps", "p.values.d")
+        return sorted(flat.groupBy("channel").agg(F.count("*"), F.sum("timestamps"), F.sum("d")).collect())
+
+    assert sums(table.read(spark)) == sums(series_avro.read_series(spark, str(tmp_path / "w")))
+    assert set(table.read(spark).columns) == {"channel", "tags", "timestamps", "values", "dataset_id", "file", "n", "stream_id", "batch_id"}
+    assert not os.listdir(tmp_path / "table" / "_staging" / os.listdir(tmp_path / "table" / "_staging")[0])
+
+
+@pytest.mark.parametrize("damage", ["empty", "header", "short", "all"])
+def test_e9_bad_files_stay(spark, tmp_path, damage):
+    spool, table = str(tmp_path / "spool"), TableSink(str(tmp_path / "table"))
+    series_avro.write_series(packing.pack_series(points_of(spark, 10)).coalesce(1), spool)
+    (name,) = [f for f in os.listdir(spool) if f.endswith(".avro")]
+    data = open(os.path.join(spool, name), "rb").read()
+    broken = {"empty": b"", "header": data[:20], "short": data[:-3], "all": b"no container"}[damage]
+    with open(os.path.join(spool, "bad.avro"), "wb") as f:
+        f.write(broken)
+    if damage == "all":  # and no sound file beside it
+        os.rename(os.path.join(spool, name), str(tmp_path / "kept"))
+    ingest = SpoolIngest(spool, table, str(tmp_path / "cp"))
+    ingest.run(spark)
+    assert table.read(spark).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] == (0 if damage == "all" else 10)
+    assert [f for f in os.listdir(spool) if f.endswith(".avro")] == ["bad.avro"]
+    # a file of no bytes is not listed at all
+    assert ingest.errors(spark).count() == (0 if damage == "empty" else 1)
+
+
 def test_e9_repeated_batch_does_not_lose_or_double(spark, tmp_path):
     spool, table = str(tmp_path / "spool"), TableSink(str(tmp_path / "table"))
     series_avro.write_series(packing.pack_series(points_of(spark, 10)), spool)
-    paths = spark.createDataFrame([(os.path.join(spool, f),) for f in os.listdir(spool) if f.endswith(".avro")], "path string")
+    files = [os.path.join(spool, f) for f in os.listdir(spool) if f.endswith(".avro")]
+    paths = spark.createDataFrame([(f, os.path.getsize(f)) for f in files], "path string, length bigint")
     ingest = SpoolIngest(spool, table, str(tmp_path / "cp"), errors_path=str(tmp_path / "checks"))
     ingest._ingest(paths, 0)
     ingest._ingest(paths, 0)  # as after a failure between the deletion and the commit
