@@ -256,13 +256,17 @@ def _read(data: bytes | None) -> tuple:
     return len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-UNIT:]), *size, difference_hash(image), cut, None
 
 
-def written_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", formats: tuple[str, ...] = ("pnm", "bmp")) -> DataFrame:
-    """Texts stored as pictures, the pictures read back, their features and NPY tiles written, and those read back.
-
-    doc_id, n_bytes and the columns of ``features``. Both tables are Parquet in the shared folder, so a lost executor
-    repeats its own tasks only.
+def written_features(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", formats: tuple[str, ...] = ("pnm", "bmp"), keep_media: bool = False
+) -> DataFrame:
+    """Texts as pictures, their features and NPY tiles written to the shared folder, and what is read back.
+
+    doc_id, n_bytes and the columns of ``features``. With ``keep_media`` the pictures are a table of their own first and
+    the features are made of the table; otherwise the bytes go from the step that makes them to the one that decodes
+    them. A lost executor repeats its own tasks only.
     """
-    media = stored(store_texts(docs, id_col, text_col, formats), "media", compression="zstd")
+    media = store_texts(docs, id_col, text_col, formats)
+    media = stored(media, "media", compression="zstd") if keep_media else media
     return stored(features(media), "tiles", compression="zstd")
 
 

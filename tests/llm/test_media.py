@@ -105,9 +105,10 @@ def test_texts_as_pictures(spark, hard, nothing):
     assert same.count() == 1 and same.first().error is None
 
 
-def test_written_pictures_and_tiles(spark, hard, nothing):
+@pytest.mark.parametrize("keep", [False, True])
+def test_written_pictures_and_tiles(spark, hard, nothing, keep):
     """Half of the texts as PPM, half as BMP: what is read back equals what plain Python makes of each text."""
-    rows = media.written_features(hard).withColumn("digest", media.tiles_digest(F.col("tiles"))).collect()
+    rows = media.written_features(hard, keep_media=keep).withColumn("digest", media.tiles_digest(F.col("tiles"))).collect()
     found = sorted((str(r.doc_id), r.n_bytes, r.media_sha256, r.payload_sha256, r.tail_crc32, r.feature, r.digest) for r in rows)
     want, kinds = [], set()
     for r in hard.collect():
@@ -128,7 +129,7 @@ def test_written_pictures_and_tiles(spark, hard, nothing):
         want.append((str(r.doc_id), len(data), hashlib.sha256(picture).hexdigest(), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-576:]), f"{int(bits, 2):016x}", digest))
     assert found == sorted(want)
     assert kinds == {b"P6", b"BM"}
-    assert media.written_features(nothing).count() == 0
+    assert media.written_features(nothing, keep_media=keep).count() == 0
 
 
 def test_unreadable_rows_and_tiles(spark, tmp_path):
