@@ -20,6 +20,8 @@ from seriesloom.streaming import (
     SpoolIngest,
     TableSink,
     batch_stream,
+    read_outcomes,
+    send_stream,
 )
 from seriesloom.streaming.sinks import delivery_stats as stats_of
 
@@ -81,6 +83,26 @@ def fallback_route(spark, sf):
     )
 
 
+def _accept(payload: bytes, meta: dict) -> None:
+    if not payload or not meta["idempotency_key"]:
+        raise ValueError("an empty request")
+
+
+def streamed_requests(spark, sf):
+    """Every vector is a request of its own, sent by the streaming writer; outcomes of the committed epochs."""
+    schema = t.table(spark, sf, "embeddings").schema
+    vectors = spark.readStream.schema(schema).parquet(f"{sf}/[e]mbeddings.parquet")
+    checkpoint, outcomes = scratch_dir(spark, "sender"), scratch_dir(spark, "outcomes")
+    sent = send_stream(
+        vectors, _accept, checkpoint, t.named("emb.", "label"), F.to_json(F.struct("vec_id", "embedding")),
+        F.size("embedding"), outcomes=outcomes,
+    )
+    sent.trigger(availableNow=True).start().awaitTermination()
+    return read_outcomes(spark, outcomes).groupBy("channel", "ok").agg(
+        F.count(F.lit(1)).alias("requests"), F.count_distinct("request_key").alias("keys"), F.sum("points").alias("n")
+    )
+
+
 def dual_write(spark, sf):
     """The same series in a table and in containers."""
     table, files = TableSink(scratch_dir(spark, "table")), FileSink(scratch_dir(spark, "files"))
@@ -136,6 +158,7 @@ DELIVERY_QUERIES = {
     "stream_equals_batch": stream_equals_batch,
     "batch_stream": batch_stream_q,
     "fallback_route": fallback_route,
+    "streamed_requests": streamed_requests,
     "dual_write": dual_write,
     "spool_ingest": spool_ingest,
     "delivery_stats": delivery_stats,

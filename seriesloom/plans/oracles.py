@@ -219,6 +219,8 @@ DELIVERY_ORACLES = {
     "batch_stream": ORACLES["batch_by_delay"],
     "fallback_route": f"""select case when channel = 'ev.click' then 'fallback' else 'primary' end as sink, channel,
       count(distinct request_id) as requests, sum(n)::bigint as n from ({REQUESTS}) group by 1, 2""",
+    "streamed_requests": """select 'emb.' || label as channel, true as ok, count(*) as requests,
+      count(distinct vec_id) as keys, sum(len(embedding))::bigint as n from embeddings group by 1""",
     "dual_write": f"""select s.sink, channel, n from (select channel, count(*) as n from ({EV}) group by 1),
       (values ('table'), ('files')) s(sink)""",
     "spool_ingest": f"select channel, count(*) as n from ({_all()}) group by 1",

@@ -1,5 +1,6 @@
 from seriesloom.streaming.batching import LiveBatches, batch_stream
 from seriesloom.streaming.job import IngestJob, IngestOptions
+from seriesloom.streaming.sender import read_outcomes, send_stream
 from seriesloom.streaming.sinks import (
     DeliveryFailed,
     DualSink,
@@ -15,4 +16,5 @@ from seriesloom.streaming.spool import SpoolIngest
 __all__ = [
     "DeliveryFailed", "DualSink", "FallbackSink", "FileSink", "IngestJob", "IngestOptions",
     "ListeningSink", "LiveBatches", "MissingCredential", "SendSink", "SpoolIngest", "TableSink", "batch_stream",
+    "read_outcomes", "send_stream",
 ]
