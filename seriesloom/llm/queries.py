@@ -103,15 +103,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def _terms(text: str) -> str:
+def _runs(text: str, held: str) -> str:
     lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    return rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"regexp_extract_all({lower}, '{held}+')"
+
+
+_TERMS, _WORDS, _FEATURES = (_runs("text", held) for held in (r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", r"[^\x20\x09-\x0D]", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"))
 
 
 _RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
 
-#: The same results as DuckDB SQL. Media, compression, deobfuscation, BPE, MinHash components, CRC, pieces, models of letters and
-#: hashed features have no SQL; their tests compare them with brute force or the libraries.
+#: The same results as DuckDB SQL; near duplicates from all texts that share a shingle. Media, compression, deobfuscation, BPE,
+#: op9's hash, pieces and models of letters have no SQL; their tests compare them with brute force or the libraries.
 ORACLES: dict[str, str] = {
     "op3_url_filter": rf"""with rest as (
   select page_id, row_number() over () as n, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest
@@ -151,12 +154,32 @@ from ordered""",
 select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partition by kept_text) as group_size,
   row_number() over best = 1 as kept, sha256(kept_text) as text_sha256
 from rows window best as (partition by kept_text order by length(text) desc, doc_id nulls last rows between unbounded preceding and unbounded following)""",
+    "op8_near_dedup": rf"""with recursive split as (
+  select row_number() over () as r, doc_id, {_WORDS} as words from documents),
+ placed as (select r, unnest(words) as word, generate_subscripts(words, 1) as k, len(words) as many from split),
+ runs as (
+  select r, k, many, concat_ws(' ', word, lead(word, 1) over near, lead(word, 2) over near, lead(word, 3) over near, lead(word, 4) over near) as shingle
+  from placed window near as (partition by r order by k)),
+ held as (select distinct r, shingle from runs where k <= greatest(many - 4, 1)),
+ sets as (select r, count(*) as n, sha256(string_agg(shingle, chr(10) order by shingle)) as class from held group by r),
+ keyed as (select r, doc_id, coalesce(n, 0) as n, coalesce(class, 'row ' || r) as class from split left join sets using (r)),
+ classes as (select class, min(r) as r, any_value(n) as n, min(doc_id) as least from keyed group by class),
+ posts as (select class, n, shingle from classes join held using (r)),
+ links as (
+  select a.class as one, b.class as other from posts a join posts b on a.shingle = b.shingle
+    and a.class <> b.class and 4 * a.n >= 3 * b.n and 4 * b.n >= 3 * a.n
+  group by a.class, b.class, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+ reach as (
+  select class, least from classes
+  union select other, reach.least from reach join links on one = reach.class join classes c on c.class = other where reach.least < c.least),
+ components as (select class, min(least) as component_id from reach group by class)
+select doc_id, n as n_shingles, component_id, doc_id = component_id as kept from keyed join components using (class)""",
     "op12_search": rf"""with docs as (
-  select row_number() over () as r, doc_id, {_terms("text")} as terms from documents),
+  select row_number() over () as r, doc_id, {_TERMS} as terms from documents),
  sizes as (select r, doc_id, len(terms) as n from docs),
  whole as (select count(*) filter (n > 0) as big_n, sum(n)::bigint as big_l from sizes),
  posts as (select r, term, count(*) as tf from (select r, unnest(terms) as term from docs) group by r, term),
- items as (select row_number() over () as q, item_id, {_terms("text")} as terms from benchmark),
+ items as (select row_number() over () as q, item_id, {_TERMS} as terms from benchmark),
  asked as (select q, term, count(*) as times from (select q, unnest(terms) as term from items) group by q, term),
  weights as (
   select term, floor(1000 * ln((2 * any_value(big_n) + 2)::double / (2 * count(*) + 1)))::bigint as w from posts, whole group by term),
@@ -167,4 +190,34 @@ from rows window best as (partition by kept_text order by length(text) desc, doc
   select item_id, (row_number() over (partition by q order by score desc, doc_id nulls last))::int as rank, doc_id, score
   from scores join items using (q) join sizes using (r) where score > 0)
 select item_id, rank, doc_id, score from ranked where rank <= {lexical.TOP}""",
+    "op13_resample": rf"""with crc as (
+  select list(c order by n) as entries from (
+    select n, list_reduce(list_prepend(n, range(8)), lambda c, i: case c % 2 when 1 then xor(3988292384::bigint, c // 2) else c // 2 end) as c from range(256) t(n))),
+ rows as (
+  select row_number() over () as r, true as source, doc_id, {_FEATURES} as words from documents
+  union all select -row_number() over (), false, null, {_FEATURES} from benchmark),
+ placed as (select r, source, unnest(words) as word, generate_subscripts(words, 1) as k from rows),
+ uses as (
+  select r, source, word as feature from placed
+  union all select * from (select r, source, word || ' ' || lead(word) over (partition by r order by k) as feature from placed) where feature is not null),
+ hashed as (
+  select feature, xor(4294967295::bigint, list_reduce(
+      list_prepend(4294967295::bigint, list_transform(range(1, strlen(feature) + 1), lambda i: ('0x' || substr(hex(feature), 2 * i - 1, 2))::bigint)),
+      lambda c, b: xor(c // 256, entries[xor(c & 255, b) + 1]))) % {resample.BUCKETS} as bucket
+  from (select distinct feature from uses), crc),
+ counts as (
+  select bucket, count(*) filter (source) as s, count(*) filter (not source) as t from uses join hashed using (feature) group by bucket),
+ gains as (
+  select bucket, floor(1000 * ln(((t + 1) * (sum(s) over () + {resample.BUCKETS}))::double / ((s + 1) * (sum(t) over () + {resample.BUCKETS}))::double))::bigint as gain from counts),
+ sums as (
+  select r, count(*) as n, sum(gain) as gain from uses join hashed using (feature) join gains using (bucket) where source group by r),
+ weighted as (
+  select r, doc_id, len(words) as n_words, coalesce(n, 0)::bigint as n_features, coalesce(floor(gain::double / n), 0)::bigint as weight,
+    ('0x' || substr(sha256('{resample.SEED}:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint as h
+  from rows left join sums using (r) where source),
+ scored as (
+  select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint as score from weighted),
+ ranked as (
+  select r, row_number() over (order by score desc, doc_id nulls last) as rank, count(*) over () as fit from scored where n_words >= {resample.WORDS})
+select doc_id, n_features, weight, score, case when rank <= {resample.PERCENT} * fit // 100 then rank end as rank from scored left join ranked using (r)""",
 }
