@@ -1,5 +1,7 @@
 """Scalar normalisation."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +46,28 @@ def test_a2_null_tag_value_is_refused(spark):
             one(spark, fn.tags_key(tags))
 
 
+def test_a2_entries_equal_a_plain_fold(spark):
+    rnd = random.Random(4)
+    names, values = ["b", "a", "ä", "", "k=", "k;", "\\", "Z"], ["1", "", "=;\\", "é"]
+    given = [[(rnd.choice(names), rnd.choice(values)) for _ in range(rnd.randint(0, 12))] for _ in range(200)] + [None, [("a", None), ("a", "1")]]
+    df = spark.createDataFrame([(g,) for g in given], "given array<struct<key:string,value:string>>").repartition(3)
+    # a list that is computed gives the same as one that is stored
+    made = F.transform("given", lambda e: F.struct(F.concat(e["key"], F.lit("")).alias("key"), e["value"].alias("value")))
+    both = [(fn.tags_key(c, entries=True), F.map_entries(fn.tag_map(c, entries=True))) for c in (F.col("given"), made)]
+    rows = df.select("given", *(c.alias(f"{name}{n}") for n, pair in enumerate(both) for name, c in zip(("key", "tags"), pair, strict=True))).collect()
+    escaped = lambda t: t.replace("\\", "\\\\").replace("=", "\\=").replace(";", "\\;")
+    for r in rows:
+        want = dict(sorted(dict(map(tuple, r.given or [])).items()))
+        assert r.tags0 == r.tags1 == list(want.items())
+        assert r.key0 == r.key1 == ";".join(f"{escaped(k)}={escaped(v)}" for k, v in want.items())
+
+
+@pytest.mark.parametrize("last", ["struct('a' as key, cast(null as string) as value)", "struct(cast(null as string) as key, '1' as value)"])
+def test_a2_null_entries_are_refused(spark, last):
+    with pytest.raises(Exception, match="must be strings"):
+        one(spark, fn.tags_key(F.expr(f"array(struct('a' as key, '1' as value), {last})"), entries=True))
+
+
 def test_a3_truncating_split(spark):
     ns = F.lit(-1_500_000_000).cast("bigint")
     assert tuple(one(spark, fn.ts_split_trunc(ns))[0]) == (-1, -500_000_000)
