@@ -220,10 +220,10 @@ _FEATURES_DDL = (
 )
 
 
-def features(media: DataFrame, column: str = "media") -> DataFrame:
+def features(media: DataFrame, column: str = "media", tail: int = UNIT) -> DataFrame:
     """All columns but the picture's bytes, and what is read back from them.
 
-    payload_bytes, payload_sha256, tail_crc32 (of the samples and their last unit), media_bytes, media_sha256,
+    payload_bytes, payload_sha256, tail_crc32 (of the samples and the last ``tail`` of them), media_bytes, media_sha256,
     feature (difference hash), tiles (row, column and NPY bytes), error. Bytes that hold no readable picture, nulls and
     pictures without pixels give nulls and a message in ``error``.
     """
@@ -234,14 +234,14 @@ def features(media: DataFrame, column: str = "media") -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, column):
-                found = [_read(data) for data in part.column(column).to_pylist()]
+                found = [_read(data, tail) for data in part.column(column).to_pylist()]
                 made = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(_FEATURES.values())]
                 yield pa.record_batch([*(part.column(n) for n in names), *made], names=[*names, *_FEATURES])
 
     return media.select(*names, column).mapInArrow(run, schema)
 
 
-def _read(data: bytes | None) -> tuple:
+def _read(data: bytes | None, tail: int = UNIT) -> tuple:
     if data is None:
         return (None,) * 7 + ("null",)
     size = len(data), hashlib.sha256(data).hexdigest()
@@ -253,21 +253,22 @@ def _read(data: bytes | None) -> tuple:
         return None, None, None, *size, None, None, str(e)
     samples = memoryview(image.reshape(-1))
     cut = [{"row": y, "col": x, "content": content} for y, x, content in tiles(image)]
-    return len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-UNIT:]), *size, difference_hash(image), cut, None
+    return len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-tail:]), *size, difference_hash(image), cut, None
 
 
 def written_features(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", formats: tuple[str, ...] = ("pnm", "bmp"), keep_media: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", formats: tuple[str, ...] = ("pnm", "bmp"), keep_media: bool = False,
+    tail: int = UNIT,
 ) -> DataFrame:
     """Texts as pictures, their features and NPY tiles written to the shared folder, and what is read back.
 
-    doc_id, n_bytes and the columns of ``features``. With ``keep_media`` the pictures are a table of their own first and
+    doc_id, n_bytes and the columns of ``features``, which takes ``tail``. With ``keep_media`` the pictures are a table of their own first and
     the features are made of the table; otherwise the bytes go from the step that makes them to the one that decodes
     them. A lost executor repeats its own tasks only.
     """
     media = store_texts(docs, id_col, text_col, formats)
     media = stored(media, "media", compression="zstd") if keep_media else media
-    return stored(features(media), "tiles", compression="zstd")
+    return stored(features(media, tail=tail), "tiles", compression="zstd")
 
 
 def tiles_digest(tiles: Column) -> Column:

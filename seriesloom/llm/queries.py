@@ -14,6 +14,9 @@ from .common import table
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+#: Bytes at a payload's end whose checksum ``op1`` returns.
+TAIL_BYTES = 32
+
 #: Vocabulary files, found where the package of public tokenizers lies.
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
 
@@ -25,7 +28,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = media.written_features(table(spark, sf_dir, "documents"))
+    read = media.written_features(table(spark, sf_dir, "documents"), tail=TAIL_BYTES)
     digests = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
     return read.select("doc_id", "n_bytes", *digests, media.tiles_digest(F.col("tiles")).alias("tiles_sha256"))
 

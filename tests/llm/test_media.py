@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from seriesloom.llm import media
+from seriesloom.llm import media, queries
 
 
 def image_of(seed, height, width, bands):
@@ -132,6 +132,22 @@ def test_written_pictures_and_tiles(spark, hard, nothing, keep):
     assert media.written_features(nothing, keep_media=keep).count() == 0
 
 
+def test_query_keeps_its_contract(spark, hard, tmp_path):
+    """The checksum of the query is that of the last 32 bytes of the padded payload."""
+    edges = spark.createDataFrame([(20 + n, "é" + "x" * (n - 2)) for n in (543, 544, 545, 575, 576, 577, 1152)], "doc_id long, text string")
+    rows = hard.select("doc_id", "text").unionByName(edges)
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    read = queries.op1_media(spark, str(tmp_path))
+    assert dict(read.dtypes)["tail_crc32"] == "bigint"
+    found = sorted((str(r.doc_id), r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in read.collect())
+    want = []
+    for r in rows.collect():
+        data = (r.text or "").encode()
+        padded = data + b"\xff" * (576 * max(1, -(-len(data) // 576)) - len(data))
+        want.append((str(r.doc_id), len(data), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-32:])))
+    assert found == sorted(want)
+
+
 def test_unreadable_rows_and_tiles(spark, tmp_path):
     good = media.encode_bmp(image_of(5, 40, 40, 3))
     rows = [(1, good, "x"), (2, b"junk", "x"), (3, None, "x"), (4, b"P5\n0 0\n255\n", "x"), (None, good, "x")]
