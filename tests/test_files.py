@@ -1,5 +1,6 @@
 """Series containers (B15, B16, D1 to D8, G6 to G8), also read by the JVM's own Avro reader."""
 
+import io
 import os
 import random
 
@@ -265,3 +266,37 @@ def test_overwrite_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
     assert [r.channel for r in series_avro.read_series(spark, path).collect()] == ["old"]
     series_avro.write_series(new, path)
     assert [r.channel for r in series_avro.read_series(spark, path).collect()] == ["new"]
+
+
+def test_a_long_series_is_encoded_in_parts(monkeypatch):
+    """Small parts and packs give the same records, and a long series is never encoded whole."""
+    texts = pa.array([f"text {n} é " + "x" * (n % 50) for n in range(3000)])
+    items = {
+        "string": texts, "double": pa.array(np.arange(3000) / 7), "int": pa.array(np.arange(3000) * 10**9),
+        "double_array": pa.array([[float(n)] * (n % 5) for n in range(3000)]),
+        "string_array": pa.array([["a", f"b{n}"] for n in range(3000)]),
+    }
+    monkeypatch.setattr(codec, "PART_BYTES", 4000, raising=False)
+    monkeypatch.setattr(codec, "PACK_BYTES", 1 << 16, raising=False)
+    kind = pa.struct([("tag", pa.int32()), ("d", pa.float64()), ("s", pa.string()), ("l", pa.int64()), ("da", pa.list_(pa.float64())), ("sa", pa.list_(pa.string())), ("json", pa.string())])
+    field = {"string": "s", "double": "d", "int": "l", "double_array": "da", "string_array": "sa"}
+    longest = 0
+    made = codec.Block()
+    for k, v in items.items():
+        parts = list(codec.pieces(k, [("t", "v")], np.arange(len(v)), k, v))
+        longest = max(longest, *map(len, parts))
+        made.add(parts)
+    assert longest < 10_000
+    out = io.BytesIO()
+    out.write(codec.header(b"s" * 16, {}))
+    made.write(out, b"s" * 16)
+    container = codec.Container(out, out.tell())
+    (count, raw), = container.blocks()
+    assert count == len(items)
+    cursor = codec.Cursor(raw)
+    for k, v in items.items():
+        channel, stamps, values, tags = codec.read_record(cursor, kind)
+        assert channel == k and stamps.tolist() == list(range(len(v))) and tags == [("t", "v")]
+        assert pa.concat_arrays(values).field(field[k]).to_pylist() == v.to_pylist()
+    cursor = codec.Cursor(raw)
+    assert [codec.read_record(cursor, kind, counts_only=True)[1] for _ in items] == [3000] * len(items)
