@@ -1,5 +1,9 @@
 """Cells of hot keys: by rows, however many are alike, and by bytes."""
 
+from contextlib import redirect_stdout
+from io import StringIO
+
+import pytest
 from pyspark.sql import functions as F
 
 from seriesloom.operators import packing, spread
@@ -36,3 +40,22 @@ def test_wide_rows_are_cut_by_bytes(spark, monkeypatch):
         points, held = points + 1, held + size + packing.POINT_BYTES
         want.append(batch)
     assert [r.batch for r in found] == want
+
+
+@pytest.mark.parametrize("alike", [1, 400])
+def test_cells_of_many_cuts_are_found_by_joins(spark, monkeypatch, alike):
+    """Sixty cells of one key, by several levels of joins; other columns are read only where the first does not suffice."""
+    monkeypatch.setattr(spread, "CELLS_PER_JOIN", 3, raising=False)
+    rows = spark.range(6000).select(
+        F.when(F.col("id") < 5990, "hot").otherwise("rare").alias("k"), F.expr(f"id div {alike}").alias("seq"),
+        F.xxhash64("id").alias("tie"),
+    )
+    cells, n = spread.split_hot_keys(rows, ["k"], ["seq", "tie"], 100)
+    found = cells.orderBy("seq", "tie").collect()
+    assert [r._cell for r in found if r.k == "rare"] == [None] * 10
+    hot = [r._cell for r in found if r.k == "hot"]
+    sizes = [hot.count(c) for c in range(n)]
+    assert n == 60 and hot == sorted(hot) and sum(sizes) == 5990 and max(sizes) <= 200
+    with redirect_stdout(StringIO()) as plan:
+        cells.select("k", "_cell").explain()
+    assert "lambda" not in plan.getvalue() and ("xxhash64(id" in plan.getvalue()) == (alike > 1)
